@@ -1,0 +1 @@
+"""Typed sources and sinks."""
