@@ -191,4 +191,7 @@ VIEW_SQL = {
 def with_views(sql: str, *views: str) -> str:
     """Prefix ``sql`` with the CTEs of the named clinical views (for the DuckDB oracle)."""
     ctes = ",\n".join(f"{v} AS ({VIEW_SQL[v]})" for v in views)
-    return f"WITH {ctes}\n{sql}"
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":  # merge the query's own CTE list into ours
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"
