@@ -1 +1,81 @@
-"""Registered queries."""
+"""Registered queries: notes before the anchor, concatenation, tokens, stop words, vocabulary, top-k."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cohortlab.functions.text import STOP_WORDS, tokens, without_stop_words
+from cohortlab.operators import notes
+from cohortlab.plans.catalog import register
+from cohortlab.sources.tables import Clinical, with_views
+
+VOCAB_SIZE = 10000
+TOP_K = 100
+
+_STOP_SQL = ",".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
+_TOK_SQL = r"regexp_extract_all(lower(text), '\p{L}+')"
+_NOTES_SQL = ("SELECT n.subject_id, n.note_id, n.chartdate, p.max_date, n.text FROM noteevents n JOIN patient_anchor p "
+              "ON n.subject_id = p.subject_id AND n.chartdate <= p.max_date")
+_BAG_SQL = (f"SELECT subject_id, term, count(*) AS n FROM (SELECT subject_id, unnest({_TOK_SQL}) AS term "
+            f"FROM ({_NOTES_SQL}) x) t WHERE term NOT IN ({_STOP_SQL}) GROUP BY subject_id, term")
+
+
+def _notes(spark, d):
+    c = Clinical(spark, d)
+    return notes.notes_before_anchor(c.patient_anchor, c.noteevents)
+
+
+@register("notes_before_anchor", with_views(_NOTES_SQL, "noteevents", "patient_anchor"))
+def notes_before_anchor(spark, d):
+    return _notes(spark, d)
+
+
+@register("notes_concat", with_views(
+    f"SELECT subject_id, string_agg(text, ' ' ORDER BY chartdate, note_id) AS text FROM ({_NOTES_SQL}) x "
+    f"WHERE text IS NOT NULL GROUP BY subject_id", "noteevents", "patient_anchor"))
+def notes_concat(spark, d):
+    return notes.notes_concat(_notes(spark, d))
+
+
+@register("tokenize", (
+    f"SELECT doc_id, len({_TOK_SQL}) AS n_tokens, len(list_distinct({_TOK_SQL})) AS n_distinct, "
+    f"length(array_to_string({_TOK_SQL}, '')) AS n_letters FROM documents"))
+def tokenize(spark, d):
+    docs = Clinical(spark, d).raw("documents").select("doc_id", tokens("text").alias("tok"))
+    return docs.select("doc_id", F.size("tok").cast("long").alias("n_tokens"),
+                       F.size(F.array_distinct("tok")).cast("long").alias("n_distinct"),
+                       F.length(F.array_join("tok", "")).cast("long").alias("n_letters"))
+
+
+@register("stopword_filter", (
+    f"SELECT doc_id, len(list_filter({_TOK_SQL}, lambda x: x NOT IN ({_STOP_SQL}))) AS n_kept, "
+    f"len({_TOK_SQL}) - len(list_filter({_TOK_SQL}, lambda x: x NOT IN ({_STOP_SQL}))) AS n_removed FROM documents"))
+def stopword_filter(spark, d):
+    docs = Clinical(spark, d).raw("documents").select("doc_id", tokens("text").alias("tok"))
+    kept = F.size(without_stop_words("tok")).cast("long")
+    return docs.select("doc_id", kept.alias("n_kept"), (F.size("tok") - kept).alias("n_removed"))
+
+
+@register("note_terms", with_views(_BAG_SQL, "noteevents", "patient_anchor"))
+def note_terms(spark, d):
+    return notes.note_terms(_notes(spark, d))
+
+
+@register("vocabulary", with_views(
+    f"SELECT cast(row_number() OVER (ORDER BY term_count DESC, term) - 1 AS INTEGER) AS idx, term, term_count, doc_freq "
+    f"FROM (SELECT term, cast(sum(n) AS BIGINT) AS term_count, count(*) AS doc_freq FROM ({_BAG_SQL}) b GROUP BY term) s "
+    f"QUALIFY row_number() OVER (ORDER BY term_count DESC, term) <= {VOCAB_SIZE}", "noteevents", "patient_anchor"))
+def vocabulary(spark, d):
+    return notes.vocabulary(notes.note_terms(_notes(spark, d)), VOCAB_SIZE)
+
+
+@register("topk_per_group", (
+    f"SELECT lang, term, n, cast(rank AS INTEGER) AS rank FROM (SELECT lang, term, n, row_number() OVER "
+    f"(PARTITION BY lang ORDER BY n DESC, term) AS rank FROM (SELECT lang, term, count(*) AS n FROM "
+    f"(SELECT lang, unnest({_TOK_SQL}) AS term FROM documents) t WHERE term NOT IN ({_STOP_SQL}) "
+    f"GROUP BY lang, term) c) r WHERE rank <= {TOP_K}"))
+def topk_per_group(spark, d):
+    docs = Clinical(spark, d).raw("documents").select("lang", "text")
+    counts = notes.note_terms(docs, key="lang")
+    return notes.topk_per_group(counts, "lang", [F.col("n").desc(), F.col("term").asc()], TOP_K, salt_col="term")\
+        .select("lang", "term", "n", F.col("rank").cast("int").alias("rank"))

@@ -52,21 +52,28 @@ def canon(pdf):
 def compare(spark, con, key: str, sf_dir: str) -> dict:
     t0 = time.time()
     sdf = catalog.QUERIES[key](spark, sf_dir)
-    spdf = sdf.toPandas()
+    sarrow = sdf.toArrow()
+    spdf = sarrow.to_pandas()
     t1 = time.time()
     res = {"key": key, "rows": len(spdf), "spark_sec": round(t1 - t0, 2)}
     sql = catalog.ORACLES.get(key)
     if sql is None:
         res["status"] = "rows-only"
         return res
-    dpdf = con.execute(sql).df()
+    darrow = con.sql(sql).arrow().read_all()
+    dpdf = darrow.to_pandas()
     res["oracle_rows"] = len(dpdf)
     if sorted(spdf.columns) != sorted(dpdf.columns):
         res["status"] = f"COLUMNS {sorted(spdf.columns)} vs {sorted(dpdf.columns)}"
         return res
+    norm = {"large_string": "string", "string_view": "string"}
+    ta = {f.name: norm.get(str(f.type), str(f.type)) for f in sarrow.schema}
+    tb = {f.name: norm.get(str(f.type), str(f.type)) for f in darrow.schema}
+    if ta != tb:
+        res["dtypes"] = {c: [ta[c], tb[c]] for c in ta if ta[c] != tb[c]}
     a, b = canon(spdf), canon(dpdf)
     if a == b:
-        res["status"] = "match"
+        res["status"] = "match" if "dtypes" not in res else "match-values-only"
     else:
         sa, sb = set(a), set(b)
         res["status"] = "MISMATCH"
