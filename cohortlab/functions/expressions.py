@@ -43,7 +43,7 @@ def later_of(a, b) -> Column:
 def parse_date(c, fmt: str | None = None) -> Column:
     """Lenient date parse: a bad string becomes NULL instead of failing the job (ANSI-safe)."""
     c = _c(c)
-    return F.try_to_date(c, F.lit(fmt)) if fmt else F.try_to_date(c)
+    return F.try_to_date(c, fmt) if fmt else F.try_to_date(c)
 
 
 def parse_us_date(c) -> Column:

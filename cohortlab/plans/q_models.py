@@ -1 +1,94 @@
-"""Registered queries."""
+"""Registered queries (rows-only): topic model, feature join, split, logistic scores, comparison."""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from cohortlab.operators import notes as notes_ops
+from cohortlab.operators import vitals
+from cohortlab.plans import models, topics
+from cohortlab.plans.catalog import register
+from cohortlab.session import scratch_dir
+from cohortlab.sources.tables import Clinical
+
+LABEL = "angus"
+
+
+def _topic_model(spark, d) -> topics.TopicModel:
+    c = Clinical(spark, d)
+    nb = notes_ops.notes_before_anchor(c.patient_anchor, c.noteevents)
+    return topics.fit_topics(nb.select("subject_id", "text"))
+
+
+def _features(spark, d):
+    c = Clinical(spark, d)
+    return vitals.vitals_features(c.chartevents, c.patient_anchor)
+
+
+def _features_with_topics(spark, d):
+    return _features(spark, d).join(_topic_model(spark, d).topic_columns(), "subject_id")
+
+
+def _feature_sets(df):
+    with_topics = models.feature_columns(df, LABEL)
+    without = [c for c in with_topics if not c.startswith("topic_")]
+    return {"logistic_with_notes": with_topics, "logistic_without_notes": without}
+
+
+@register("topic_columns")
+def topic_columns(spark, d):
+    return _topic_model(spark, d).topic_columns()
+
+
+@register("topic_terms")
+def topic_terms(spark, d):
+    return _topic_model(spark, d).topic_terms(topics.TOP_TERMS)
+
+
+@register("features_with_topics")
+def features_with_topics(spark, d):
+    return _features_with_topics(spark, d)
+
+
+@register("train_test_split")
+def train_test_split(spark, d):
+    return models.hash_split(_features(spark, d)).select("subject_id", LABEL, "split")
+
+
+@register("logistic_scores")
+def logistic_scores(spark, d):
+    data = _features_with_topics(spark, d)
+    table, _ = models.fit_and_score(data, _feature_sets(data), LABEL)
+    return table
+
+
+@register("model_comparison")
+def model_comparison(spark, d):
+    data = _features_with_topics(spark, d)
+    table, _ = models.fit_and_score(data, _feature_sets(data), LABEL)
+    return models.comparison(table)
+
+
+@register("top_coefficients")
+def top_coefficients(spark, d):
+    data = _features(spark, d)
+    cols = models.feature_columns(data, LABEL)
+    _, fitted = models.fit_and_score(data, {"logistic": cols}, LABEL)
+    return models.top_coefficients(fitted["logistic"], cols, 15)
+
+
+@register("model_roundtrip")
+def model_roundtrip(spark, d):
+    """Fit, save to the shared scratch folder, load back, and score with both: ``p_saved == p_loaded``."""
+    data = models.hash_split(_features(spark, d))
+    cols = models.feature_columns(data, LABEL)
+    train = data.where(F.col("split") == "train")
+    m = models.logistic_pipeline(cols, LABEL, train.count()).fit(train)
+    path = scratch_dir(spark, "model")
+    m.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    test = data.where(F.col("split") == "test")
+    a = models.scores(m, test, "subject_id", LABEL, "saved").select("subject_id", "y", F.col("p").alias("p_saved"))
+    b = models.scores(loaded, test, "subject_id", LABEL, "loaded").select("subject_id", F.col("p").alias("p_loaded"))
+    return a.join(b, "subject_id")

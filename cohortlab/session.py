@@ -17,6 +17,9 @@ from pyspark.sql import SparkSession
 _DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce by the advisory partition size, not "at least default parallelism":
+    # avoids hundreds of tiny tasks per stage on a busy cluster
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
