@@ -8,78 +8,12 @@ from __future__ import annotations
 import json
 import os
 import sys
-import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import duckdb  # noqa: E402
-
 from cohortlab.plans import catalog  # noqa: E402
+from cohortlab.plans.verify import compare, duck  # noqa: E402
 from cohortlab.session import build_session  # noqa: E402
-from cohortlab.sources.tables import RAW_TABLES  # noqa: E402
-
-
-def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
-    con = duckdb.connect()
-    for t in RAW_TABLES:
-        p = f"{sf_dir}/{t}.parquet"
-        if os.path.exists(p):
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
-    return con
-
-
-def canon(pdf):
-    import pandas as pd
-    pdf = pdf[sorted(pdf.columns)]
-    rows = []
-    for rec in pdf.itertuples(index=False, name=None):
-        out = []
-        for v in rec:
-            if v is None or (isinstance(v, float) and v != v) or v is pd.NaT:
-                out.append("NULL")
-            elif isinstance(v, float):
-                out.append(repr(round(v, 6)))
-            elif hasattr(v, "isoformat"):
-                out.append(str(pd.Timestamp(v)))
-            elif hasattr(v, "tolist"):
-                out.append(repr(v.tolist()))
-            else:
-                out.append(repr(v))
-        rows.append(tuple(out))
-    return sorted(rows)
-
-
-def compare(spark, con, key: str, sf_dir: str) -> dict:
-    t0 = time.time()
-    sdf = catalog.QUERIES[key](spark, sf_dir)
-    sarrow = sdf.toArrow()
-    spdf = sarrow.to_pandas()
-    t1 = time.time()
-    res = {"key": key, "rows": len(spdf), "spark_sec": round(t1 - t0, 2)}
-    sql = catalog.ORACLES.get(key)
-    if sql is None:
-        res["status"] = "rows-only"
-        return res
-    darrow = con.sql(sql).arrow().read_all()
-    dpdf = darrow.to_pandas()
-    res["oracle_rows"] = len(dpdf)
-    if sorted(spdf.columns) != sorted(dpdf.columns):
-        res["status"] = f"COLUMNS {sorted(spdf.columns)} vs {sorted(dpdf.columns)}"
-        return res
-    norm = {"large_string": "string", "string_view": "string"}
-    ta = {f.name: norm.get(str(f.type), str(f.type)) for f in sarrow.schema}
-    tb = {f.name: norm.get(str(f.type), str(f.type)) for f in darrow.schema}
-    if ta != tb:
-        res["dtypes"] = {c: [ta[c], tb[c]] for c in ta if ta[c] != tb[c]}
-    a, b = canon(spdf), canon(dpdf)
-    if a == b:
-        res["status"] = "match" if "dtypes" not in res else "match-values-only"
-    else:
-        sa, sb = set(a), set(b)
-        res["status"] = "MISMATCH"
-        res["only_spark"] = [list(x) for x in list(sa - sb)[:3]]
-        res["only_oracle"] = [list(x) for x in list(sb - sa)[:3]]
-    return res
 
 
 def main(argv: list[str]) -> int:
