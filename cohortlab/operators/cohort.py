@@ -116,11 +116,37 @@ def sepsis_date(diagnoses: DataFrame, procedures: DataFrame, stays: DataFrame,
     """
     if not one_pass:
         return sepsis_date_branches(diagnoses, procedures, stays)
-    adm = admission_flags(diagnoses, procedures)
-    septic = adm.where((F.col("explicit_sepsis") == 1) |
-                       ((F.col("infection") == 1) & ((F.col("organ_dysfunction") == 1) | (F.col("mech_vent") == 1))))
-    return (septic.select(*ADMISSION).join(first_icu_time(stays), ADMISSION)
-            .groupBy("subject_id").agg(F.min("intime").alias("sepsis_date")))
+    adm = admission_summary(diagnoses, procedures, stays)
+    septic = adm.where(F.col("intime").isNotNull() & (
+        (F.col("explicit_sepsis") == 1) |
+        ((F.col("infection") == 1) & ((F.col("organ_dysfunction") == 1) | (F.col("mech_vent") == 1)))))
+    return septic.groupBy("subject_id").agg(F.min("intime").alias("sepsis_date"))
+
+
+def admission_summary(diagnoses: DataFrame, procedures: DataFrame, stays: DataFrame,
+                      code_col: str = "icd9_code") -> DataFrame:
+    """One row per admission: the four criterion flags and the first ICU day, without a join.
+
+    Diagnosis rows, procedure rows and stay rows are projected onto one shape
+    ``(subject_id, hadm_id, flags…, intime)`` and reduced by a single
+    partial/final aggregate keyed by admission (max of flags, min of intime):
+    one shuffle of pre-combined rows for all three inputs.  Code rows that hit
+    no criterion are dropped before the shuffle.
+    """
+    crits = list(CRITERIA)
+    no_time = F.lit(None).cast("date")
+
+    def code_rows(codes: DataFrame, source: str) -> DataFrame:
+        mine = [c for c in crits if CRITERIA[c] == source]
+        flags = {c: prefix_flag(code_col, SEPSIS_CODE_SETS[c]) for c in mine}
+        any_hit = reduce(lambda x, y: x | y, [prefix_match(code_col, SEPSIS_CODE_SETS[c]) for c in mine])
+        return codes.where(any_hit).select(
+            *ADMISSION, *[(flags[c] if c in flags else F.lit(0)).alias(c) for c in crits], no_time.alias("intime"))
+
+    stay_rows = stays.select(*ADMISSION, *[F.lit(0).alias(c) for c in crits], F.col("intime"))
+    rows = reduce(DataFrame.unionByName, [code_rows(diagnoses, "diagnoses"), code_rows(procedures, "procedures"),
+                                          stay_rows])
+    return rows.groupBy(*ADMISSION).agg(*[F.max(c).alias(c) for c in crits], F.min("intime").alias("intime"))
 
 
 # ---------------------------------------------------------------------------

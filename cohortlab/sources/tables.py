@@ -32,6 +32,18 @@ def _case(value: Column, mapping: list[tuple[object, object]], default=None) ->
     return expr.otherwise(F.lit(default))
 
 
+def _mod_lookup(value: Column, modulus: int, mapping: list[tuple[int, object]], default) -> Column:
+    """CASE value % modulus WHEN k THEN v ... ELSE default END, as one constant-array lookup.
+
+    The array literal is folded once, so the expression stays small even after
+    the optimizer copies it into every filter pushed below the projection.
+    """
+    table = dict(mapping)
+    arr = F.array(*[F.lit(table.get(i, default)).cast("string") for i in range(modulus)])
+    m = value % modulus
+    return F.when(m >= 0, F.element_at(arr, (m + 1).cast("int"))).otherwise(F.lit(default).cast("string"))
+
+
 def _line_orders(spark: SparkSession, sf_dir: str, *line_cols: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", *line_cols)
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -49,15 +61,14 @@ _DIAG_CODES = [(0, "99592"), (1, "78552"), (2, "0389"), (3, "486"), (4, "5990"),
 
 
 def diagnoses_icd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = _case(F.col("l_partkey") % 24, _DIAG_CODES, "4019")
+    code = _mod_lookup(F.col("l_partkey"), 24, _DIAG_CODES, "4019")
     return _line_orders(spark, sf_dir, "l_partkey", "l_linenumber").select(
         F.col("o_custkey").alias("subject_id"), F.col("l_orderkey").alias("hadm_id"),
         F.col("l_linenumber").alias("seq_num"), code.cast("string").alias("icd9_code"))
 
 
 def procedures_icd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supp = F.col("l_suppkey") % 10
-    code = _case(supp, [(0, "9670"), (1, "9671"), (2, "9672"), (3, "967")], "3893")
+    code = _mod_lookup(F.col("l_suppkey"), 10, [(0, "9670"), (1, "9671"), (2, "9672"), (3, "967")], "3893")
     return (_line_orders(spark, sf_dir, "l_suppkey", "l_linenumber")
             .where(F.col("l_linenumber") == 1)
             .select(F.col("o_custkey").alias("subject_id"), F.col("l_orderkey").alias("hadm_id"),
@@ -103,15 +114,14 @@ def patient_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def medications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = F.col("l_partkey") % 40
-    med = _case(part, [(0, "Lantus"), (1, "insulin NPH"), (2, "Metformin"), (3, "glyburide")], "aspirin")
+    med = _mod_lookup(F.col("l_partkey"), 40, [(0, "Lantus"), (1, "insulin NPH"), (2, "Metformin"), (3, "glyburide")],
+                      "aspirin")
     return _line_orders(spark, sf_dir, "l_partkey", "l_shipdate").select(
         F.col("o_custkey").alias("subject_id"), F.to_date("l_shipdate").alias("med_date"), med.alias("medicine"))
 
 
 def dm_diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = F.col("l_partkey") % 60
-    code = _case(part, [(0, "250.00"), (1, "250.02"), (2, "250.01"), (3, "790.21")], "401.9")
+    code = _mod_lookup(F.col("l_partkey"), 60, [(0, "250.00"), (1, "250.02"), (2, "250.01"), (3, "790.21")], "401.9")
     return _line_orders(spark, sf_dir, "l_partkey", "l_shipdate").select(
         F.col("o_custkey").alias("subject_id"), F.to_date("l_shipdate").alias("dx_date"), code.alias("code"))
 
