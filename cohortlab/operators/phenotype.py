@@ -18,9 +18,13 @@ Rules, in order:
   be a case and a control at once (two output rows) unless ``exclusive=True``.
 * other: every remaining patient seen in labs, diagnoses or medications.
 
-Every "patient in / not in list" test is a ``left_semi`` / ``left_anti`` join on
-distinct keys (never a list collected on the driver).  ``left_anti`` keeps a
-NULL key, which is what a "not contained" test does.
+``phenotype`` (default) reduces all three inputs to one row of facts per
+patient in a single aggregation and derives the labels from that row — one
+shuffle, pre-combined map-side, so a patient holding a large share of the rows
+costs no more than any other.  The rule steps are also available one by one;
+there every "patient in / not in list" test is a ``left_semi`` / ``left_anti``
+join on distinct keys (never a list collected on the driver).  ``left_anti``
+keeps a NULL key, which is what a "not contained" test does.
 """
 
 from __future__ import annotations
@@ -102,13 +106,17 @@ def cases(diagnostics: DataFrame, medications: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
-def glucose_normal_rows(labs: DataFrame) -> DataFrame:
-    """Glucose lab rows that are not above the bound (one such row qualifies a patient)."""
+def _glucose_normal_condition():
     name, v = F.col("test_name"), F.col("value")
     is_glucose = reduce(lambda a, b: a | b, [name.contains(mk) for mk in GLUCOSE_NAME_MARKERS])
     abnormal = ((name.isin(GLUCOSE_FASTING_NAMES) & (v >= GLUCOSE_BOUND)) |
                 (name.isin(GLUCOSE_PLAIN_NAMES) & (v > GLUCOSE_BOUND)))
-    return labs.where(is_glucose & ~abnormal)
+    return is_glucose & ~abnormal
+
+
+def glucose_normal_rows(labs: DataFrame) -> DataFrame:
+    """Glucose lab rows that are not above the bound (one such row qualifies a patient)."""
+    return labs.where(_glucose_normal_condition())
 
 
 def glucose_normal(labs: DataFrame) -> DataFrame:
@@ -126,9 +134,54 @@ def universe(labs: DataFrame, diagnostics: DataFrame, medications: DataFrame) ->
     return reduce(DataFrame.unionByName, [labs.select(ID), diagnostics.select(ID), medications.select(ID)]).distinct()
 
 
+def patient_summary(medications: DataFrame, labs: DataFrame, diagnostics: DataFrame) -> DataFrame:
+    """One row per patient seen anywhere, with every fact the labels need, in one aggregation.
+
+    Diagnosis, medication and lab rows are projected onto one shape and reduced
+    by a single partial/final aggregate keyed by patient (max of 0/1 facts, min
+    of dates): ``t2_dx, unrelated_dx, has_t1, has_t2, t1_date, t2_date, normal_glucose``.
+    """
+    code, med = F.col("code"), F.lower(F.col("medicine"))
+    zero, no_date = F.lit(0), F.lit(None).cast("date")
+    t1, t2 = med.isin(distinct(T1DM_MED)), med.isin(distinct(T2DM_MED))
+
+    def flag(cond):
+        return F.when(cond, F.lit(1)).otherwise(zero)
+
+    dx = diagnostics.select(ID, flag(~code.isin(T1DM_DX) & code.isin(T2DM_DX)).alias("t2_dx"),
+                            flag(code.isNull() | ~code.isin(distinct(DM_DX_RELATED))).alias("unrelated_dx"),
+                            zero.alias("has_t1"), zero.alias("has_t2"), no_date.alias("t1_date"),
+                            no_date.alias("t2_date"), zero.alias("normal_glucose"))
+    md = medications.select(ID, zero.alias("t2_dx"), zero.alias("unrelated_dx"), flag(t1).alias("has_t1"),
+                            flag(t2).alias("has_t2"), F.when(t1, F.col("med_date")).alias("t1_date"),
+                            F.when(t2, F.col("med_date")).alias("t2_date"), zero.alias("normal_glucose"))
+    lb = labs.select(ID, zero.alias("t2_dx"), zero.alias("unrelated_dx"), zero.alias("has_t1"), zero.alias("has_t2"),
+                     no_date.alias("t1_date"), no_date.alias("t2_date"),
+                     flag(_glucose_normal_condition()).alias("normal_glucose"))
+    rows = reduce(DataFrame.unionByName, [dx, md, lb])
+    return rows.groupBy(ID).agg(*[F.max(c).alias(c) for c in ("t2_dx", "unrelated_dx", "has_t1", "has_t2")],
+                                F.min("t1_date").alias("t1_date"), F.min("t2_date").alias("t2_date"),
+                                F.max("normal_glucose").alias("normal_glucose"))
+
+
 def phenotype(medications: DataFrame, labs: DataFrame, diagnostics: DataFrame,
-              exclusive: bool = False) -> DataFrame:
-    """``subject_id, label``: 1 case, 0 control, 3 other."""
+              exclusive: bool = False, one_pass: bool = True) -> DataFrame:
+    """``subject_id, label``: 1 case, 0 control, 3 other.
+
+    ``one_pass`` (default) labels patients from ``patient_summary`` (one
+    shuffle); ``one_pass=False`` runs the rule steps as semi / anti joins.
+    """
+    if one_pass:
+        p = patient_summary(medications, labs, diagnostics)
+        t2dx, has1, has2 = F.col("t2_dx") == 1, F.col("has_t1") == 1, F.col("has_t2") == 1
+        is_case = t2dx & (~has1 | (has1 & ~has2) | (F.col("t1_date") > F.col("t2_date")))
+        is_case = F.coalesce(is_case, F.lit(False))
+        is_ctrl = (F.col("normal_glucose") == 1) & (F.col("unrelated_dx") == 1)
+        if exclusive:
+            is_ctrl = is_ctrl & ~is_case
+        labels = F.array_compact(F.array(F.when(is_case, F.lit(1)), F.when(is_ctrl, F.lit(0)),
+                                         F.when(~is_case & ~is_ctrl, F.lit(3))))
+        return p.select(ID, F.explode(labels).alias("label"))
     case = cases(diagnostics, medications)
     ctrl = controls(labs, diagnostics)
     if exclusive:

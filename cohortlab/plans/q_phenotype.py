@@ -109,3 +109,9 @@ def dm_universe(spark, d):
 def dm_phenotype(spark, d):
     med, lab, dx = _c(spark, d)
     return ph.phenotype(med, lab, dx)
+
+
+@register("dm_phenotype_steps", _views(_PHENO))
+def dm_phenotype_steps(spark, d):
+    med, lab, dx = _c(spark, d)
+    return ph.phenotype(med, lab, dx, one_pass=False)
