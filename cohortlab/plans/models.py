@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlab.operators import metrics
+from cohortlab.session import cut_lineage
 
 
 def hash_split(df: DataFrame, key: str = "subject_id", train_frac: float = 0.7, seed: int = 17,
@@ -74,7 +75,7 @@ def fit_and_score(data: DataFrame, feature_sets: dict[str, list[str]], label: st
     split = hash_split(data, key, seed=seed)
     train = split.where(F.col("split") == "train")
     n_train = train.count()
-    train = sized_for_iteration(train, n_train).cache()
+    train = cut_lineage(sized_for_iteration(train, n_train))
     test = split.where(F.col("split") == "test")
     fitted, tables = {}, []
     for name, cols in feature_sets.items():

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.operators import notes as notes_ops
 from cohortlab.plans.models import sized_for_iteration
+from cohortlab.session import cut_lineage
 
 NUM_TOPICS = 20
 VOCAB_SIZE = 10000
@@ -90,14 +91,13 @@ def fit_topics(notes: DataFrame, k: int = NUM_TOPICS, vocab_size: int = VOCAB_SI
     """Fit the note topic model on one document per ``key`` (notes: ``key, text``)."""
     # the bag feeds both the vocabulary and the vectors: tokenize the notes once
     bag = notes_ops.note_terms(notes, key=key).persist(StorageLevel.MEMORY_AND_DISK)
-    vocab = notes_ops.vocabulary(bag, vocab_size, key=key).persist(StorageLevel.MEMORY_AND_DISK)
+    vocab = cut_lineage(notes_ops.vocabulary(bag, vocab_size, key=key))  # <= vocab_size rows
     n_terms = vocab.count()  # <= vocab_size; the vector size, as a count vectorizer sets it
     doc_keys = notes.select(key).distinct()
     corpus_size = doc_keys.count()
     # one row per document: size the partitions for the iterative passes, then keep them
-    docs = sized_for_iteration(count_vectors(bag, vocab, doc_keys, max(n_terms, 1), key), corpus_size,
-                               rows_per_partition=20_000).persist(StorageLevel.MEMORY_AND_DISK)
-    docs.count()
+    docs = cut_lineage(sized_for_iteration(count_vectors(bag, vocab, doc_keys, max(n_terms, 1), key), corpus_size,
+                                           rows_per_partition=20_000))
     bag.unpersist()
     lda = LDA(k=k, maxIter=max_iter, optimizer="online", subsamplingRate=mini_batch_fraction(corpus_size),
               optimizeDocConcentration=False, seed=seed, featuresCol="features")

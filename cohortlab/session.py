@@ -12,7 +12,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -43,6 +44,33 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def _ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir()
+    if base:
+        return base
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if conf:
+        sc.setCheckpointDir(conf)
+    elif sc.master.startswith("local"):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlab-ckpt-"))
+    else:
+        return None
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df`` into the shared checkpoint folder (eager).
+
+    Used before iterative fits so that a lost executor re-reads the checkpoint
+    instead of recomputing the whole upstream plan.  Without a checkpoint folder
+    on a cluster the frame is only persisted (memory and disk).
+    """
+    if _ensure_checkpoint_dir(df.sparkSession) is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df.checkpoint(eager=True)
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh sub-folder of the session's checkpoint folder.
 
@@ -51,13 +79,8 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     system temp folder; a cluster session without the setting is an error,
     because executors cannot see each other's local disks.
     """
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    base = _ensure_checkpoint_dir(spark)
     if not base:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running cohortlab jobs")
-        base = tempfile.mkdtemp(prefix="cohortlab-ckpt-")
-        sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running cohortlab jobs")
     leaf = f"{name or 'tmp'}-{uuid.uuid4().hex[:12]}"
     return base.rstrip("/") + "/" + leaf
