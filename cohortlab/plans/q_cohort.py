@@ -10,22 +10,26 @@ from cohortlab.plans.catalog import register
 from cohortlab.sources.tables import Clinical, with_views
 
 
-def _sql_flag(criterion: str, code_col: str = "icd9_code") -> str:
-    parts = []
+def _sql_match(criterion: str, code_col: str = "icd9_code") -> str:
+    """Boolean SQL test: some k-character prefix of the code is in the criterion's k-list."""
+    tests = []
     for k, codes in sorted(SEPSIS_CODE_SETS[criterion].items()):
-        lst = ",".join(f"'{c}'" for c in codes)
-        parts.append(f"WHEN substring({code_col},1,{k}) IN ({lst}) THEN 1")
-    return "CASE " + " ".join(parts) + " ELSE 0 END"
+        tests.append(f"left({code_col}, {k}) IN ({', '.join(repr(c) for c in codes)})")
+    return "(" + " OR ".join(tests) + ")"
+
+
+def _sql_flag(criterion: str, code_col: str = "icd9_code") -> str:
+    return f"CASE WHEN coalesce({_sql_match(criterion, code_col)}, false) THEN 1 ELSE 0 END"
 
 
 _FIRST_STAY = "SELECT subject_id, hadm_id, min(intime) AS intime FROM icustays GROUP BY subject_id, hadm_id"
 
 
 def _sql_criterion_time(criterion: str, table: str) -> str:
-    return (f"SELECT C.subject_id, C.hadm_id, {criterion}, min(C.intime) AS {criterion}_time FROM ("
-            f" SELECT A.subject_id, A.hadm_id, B.intime, {_sql_flag(criterion)} AS {criterion}"
-            f" FROM {table} A, icustays B WHERE A.hadm_id = B.hadm_id AND A.subject_id = B.subject_id) C"
-            f" WHERE {criterion} = 1 GROUP BY C.subject_id, C.hadm_id, {criterion}")
+    """Admissions with a code of the criterion and a stay: first stay day."""
+    return (f"SELECT subject_id, hadm_id, 1 AS {criterion}, min(s.intime) AS {criterion}_time "
+            f"FROM (SELECT DISTINCT subject_id, hadm_id FROM {table} WHERE {_sql_match(criterion)}) h "
+            f"JOIN icustays s USING (subject_id, hadm_id) GROUP BY subject_id, hadm_id")
 
 
 # --- flags (P6-P9) -----------------------------------------------------------

@@ -104,3 +104,39 @@ def test_all_null_pivot_cell_exists_and_is_zero(spark):
 def test_fixed_value_list_sizes():
     assert len(NOTE_STOP_WORDS) == 287 and len(distinct(NOTE_STOP_WORDS)) == 268
     assert len(T2DM_MED) == 33 and len(distinct(T2DM_MED)) == 31
+
+
+def test_headerless_csv_and_bulk_registration(spark):
+    d = tempfile.mkdtemp(prefix="cohortlab-csv2-")
+    topics_path = os.path.join(d, "topics.csv")
+    with open(topics_path, "w") as f:
+        f.write("7,0.25,0.75\n8,1.0,0.0\n")
+    df = files.read_headerless_csv(spark, topics_path, "subject_id long, topic_1 double, topic_2 double")
+    assert sorted(tuple(r) for r in df.collect()) == [(7, 0.25, 0.75), (8, 1.0, 0.0)]
+    labs_path = os.path.join(d, "LABEVENTS.csv")
+    with open(labs_path, "w") as f:
+        f.write("subject_id,charttime\n1,2101-10-20 19:08:00\n")
+    views = files.register_tables(spark, {labs_path: "subject_id long, charttime timestamp_ntz"})
+    assert set(views) == {"LABEVENTS"}
+    assert spark.sql("SELECT max(to_date(charttime)) FROM LABEVENTS").collect()[0][0] == dt.date(2101, 10, 20)
+
+
+def test_single_file_sink_is_guarded(spark):
+    from cohortlab.session import scratch_dir
+    df = spark.range(10).withColumnRenamed("id", "subject_id")
+    out = files.write_single_csv(df, scratch_dir(spark, "single"), max_rows=10)
+    back = files.read_csv(spark, out, "subject_id long")
+    assert back.count() == 10 and back.inputFiles() and len([f for f in back.inputFiles() if f.endswith(".csv")]) == 1
+    try:
+        files.write_single_csv(df, scratch_dir(spark, "single2"), max_rows=5)
+        raise AssertionError("expected a refusal")
+    except ValueError:
+        pass
+
+
+def test_approx_median_close_to_exact(spark):
+    df = spark.createDataFrame([(1, "heartRate", float(v)) for v in range(1, 102)],
+                               "subject_id long, label string, valuenum double")
+    exact = vitals.vital_stats(df).collect()[0]["valuenum_median"]
+    approx = vitals.vital_stats(df, approx_median=True).collect()[0]["valuenum_median"]
+    assert exact == 51.0 and abs(approx - exact) <= 1.0
