@@ -31,8 +31,13 @@ def register(name: str, oracle: str | None = None):
 
 
 def r6(c) -> "F.Column":
+    """Round to 6 decimals as ``round(x * 1e6) / 1e6`` in double arithmetic.
+
+    That is how the SQL oracle rounds a double; rounding the exact decimal
+    value instead differs on rare near-ties, so both sides use the same form.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), 6)
+    return F.round(c.cast("double") * F.lit(1e6)) / F.lit(1e6)
 
 
 def load_all() -> None:
