@@ -29,13 +29,37 @@ _DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app: str = "cohortlab", extra: dict | None = None) -> SparkSession:
-    """A session with AQE (coalescing + skew-join splitting) switched on."""
-    builder = SparkSession.builder.master(master).appName(app)
+# Settings for a large cluster reading ~100 TB.  Shuffles start wide and AQE
+# coalesces them to ~256 MB partitions, so no reducer holds more than it can
+# sort / aggregate in memory; scan splits stay at 256 MB; tables are broadcast
+# only when their measured size is under 64 MB (one row per patient of a
+# multi-million-patient cohort is above that and shuffles instead).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
+                  app: str = "cohortlab", extra: dict | None = None, cluster: bool = False) -> SparkSession:
+    """A session with AQE (coalescing + skew-join splitting) switched on.
+
+    ``cluster=True`` applies ``CLUSTER_CONF`` and leaves the master to
+    spark-submit (pass ``master=None``).
+    """
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(_DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("COHORTLAB_DRIVER_MEMORY", "8g"))
+    if cluster:
+        conf.update(CLUSTER_CONF)
+    if shuffle_partitions is not None and not cluster:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if not cluster:
+        conf.setdefault("spark.driver.memory", os.environ.get("COHORTLAB_DRIVER_MEMORY", "8g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
