@@ -92,7 +92,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     if _ensure_checkpoint_dir(df.sparkSession) is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    return df.checkpoint(eager=True)
+    # persisted first, so writing the checkpoint files re-reads the cached rows
+    # instead of running the plan a second time
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
