@@ -111,3 +111,62 @@ def test_sepsis_date_matches_python_with_hot_admission(spark):
     for one_pass in (True, False):
         got = {r[0]: r[1] for r in cohort.sepsis_date(d, p, st, one_pass=one_pass).collect()}
         assert got == want
+
+
+def test_phenotype_matches_python_with_hot_patient(spark):
+    from cohortlab.functions.codes import (DM_DX_RELATED, GLUCOSE_FASTING_NAMES, GLUCOSE_PLAIN_NAMES, T1DM_DX,
+                                           T1DM_MED, T2DM_DX, T2DM_MED)
+    from cohortlab.operators import phenotype as ph
+    rnd = random.Random(5)
+    pid = lambda i: 1 if i % 3 == 0 else rnd.randint(2, 60)
+    base = dt.date(2024, 1, 1)
+    dx_codes = ["250.00", "250.02", "250.01", "790.21", "401.9", None]
+    meds = ["Lantus", "insulin NPH", "Metformin", "glyburide", "aspirin", "ACTOS"]
+    tests = ["Glucose", "Fasting Glucose", "glucose", "Sodium", "Glucose, Serum", "fasting plasma glucose"]
+    dx = [(pid(i), base + dt.timedelta(days=rnd.randint(0, 90)), rnd.choice(dx_codes)) for i in range(1500)]
+    md = [(pid(i), base + dt.timedelta(days=rnd.randint(0, 90)), rnd.choice(meds)) for i in range(1500)]
+    lb = [(pid(i), rnd.choice(tests), float(rnd.randint(60, 160))) for i in range(900)]
+
+    # plain Python, rule by rule
+    t2 = {s for s, _, c in dx if c is not None and c not in T1DM_DX and c in T2DM_DX}
+    m2 = [(s, d, m.lower()) for s, d, m in md if s in t2]
+    t1p = {s for s, _, m in m2 if m in T1DM_MED}
+    t2p = {s for s, _, m in m2 if m in T2DM_MED}
+    f1 = {s: min(d for x, d, m in m2 if x == s and m in T1DM_MED) for s in t1p}
+    f2 = {s: min(d for x, d, m in m2 if x == s and m in T2DM_MED) for s in t2p}
+    cases = (t2 - t1p) | (t1p - t2p) | {s for s in t1p & t2p if f1[s] > f2[s]}
+
+    def normal(name, v):
+        glucose = "glucose" in name or "Glucose" in name
+        high = (name in GLUCOSE_FASTING_NAMES and v >= 110) or (name in GLUCOSE_PLAIN_NAMES and v > 110)
+        return glucose and not high
+    lab_ok = {s for s, n, v in lb if normal(n, v)}
+    controls = {s for s, _, c in dx if s in lab_ok and (c is None or c not in DM_DX_RELATED)}
+    universe = {s for s, *_ in dx} | {s for s, *_ in md} | {s for s, *_ in lb}
+    want = sorted([(s, 1) for s in cases] + [(s, 0) for s in controls] +
+                  [(s, 3) for s in universe - cases - controls])
+
+    d = spark.createDataFrame(dx, "subject_id long, date date, code string")
+    m = spark.createDataFrame(md, "subject_id long, med_date date, medicine string")
+    lab = spark.createDataFrame(lb, "subject_id long, test_name string, value double")
+    for one_pass in (True, False):
+        got = sorted(tuple(r) for r in ph.phenotype(m, lab, d, one_pass=one_pass).collect())
+        assert got == want
+
+
+def test_roc_per_model_matches_plain_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from cohortlab.operators import metrics
+    rnd = random.Random(3)
+    rows = [(name, i, rnd.randint(0, 1), rnd.randint(0, 1), round(rnd.random() * 20 - 10, 2))
+            for name in ("a", "b") for i in range(400)]
+    preds = spark.createDataFrame(rows, "model string, doc_id long, y int, h int, p double")
+    ours = {(r["model"], r["threshold"]): (r["tp"], r["fp"]) for r in
+            metrics.roc_curve(preds, by=["model"], nbins=16).collect()}
+    g = preds.groupBy("model", F.col("p").alias("threshold")).agg(
+        F.sum((F.col("y") == 1).cast("long")).alias("pos"), F.sum((F.col("y") != 1).cast("long")).alias("neg"))
+    w = Window.partitionBy("model").orderBy(F.col("threshold").desc())
+    plain = {(r["model"], r["threshold"]): (r["tp"], r["fp"]) for r in g.select(
+        "model", "threshold", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp")).collect()}
+    assert ours == plain
