@@ -9,9 +9,10 @@ Scale notes
 * ICU stays are reduced to one row per admission (first ``intime``) before any
   join, so a diagnosis never pairs with every stay of its admission; each join
   below is one-row-per-key on both sides.
-* Diagnoses / procedures are reduced to one row of flags per admission with a
-  partial (map-side) aggregate before they shuffle, so a hot admission or
-  patient ships one row per map task, not its raw rows.
+* ``sepsis_date`` needs no join at all: diagnosis, procedure and stay rows are
+  projected onto one shape and reduced by one partial (map-side) + final
+  aggregate per admission, then one per patient — two shuffles, and a hot
+  admission or patient ships one pre-combined row per map task.
 * All aggregates here are mergeable (min / max), so AQE may split and coalesce
   partitions freely.
 """
@@ -88,22 +89,6 @@ def sepsis_date_branches(diagnoses: DataFrame, procedures: DataFrame, stays: Dat
             .groupBy("subject_id").agg(F.min("sep_time").alias("sepsis_date")))
 
 
-def admission_flags(diagnoses: DataFrame, procedures: DataFrame, code_col: str = "icd9_code") -> DataFrame:
-    """One row per admission with any sepsis-relevant code: the four 0/1 criterion flags."""
-    dx_crit = [c for c, src in CRITERIA.items() if src == "diagnoses"]
-    px_crit = [c for c, src in CRITERIA.items() if src == "procedures"]
-
-    def flags(codes: DataFrame, crits: list[str]) -> DataFrame:
-        flagged = codes.select(*ADMISSION, *[prefix_flag(code_col, SEPSIS_CODE_SETS[c]).alias(c) for c in crits])
-        any_hit = reduce(lambda x, y: x | y, [F.col(c) == 1 for c in crits])
-        return flagged.where(any_hit).groupBy(*ADMISSION).agg(*[F.max(c).alias(c) for c in crits])
-
-    dx = flags(diagnoses, dx_crit)
-    px = flags(procedures, px_crit)
-    out = dx.join(px, ADMISSION, "full")
-    return out.select(*ADMISSION, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in dx_crit + px_crit])
-
-
 def sepsis_date(diagnoses: DataFrame, procedures: DataFrame, stays: DataFrame,
                 one_pass: bool = True) -> DataFrame:
     """Earliest sepsis date per patient: ``subject_id, sepsis_date``.
@@ -117,7 +102,7 @@ def sepsis_date(diagnoses: DataFrame, procedures: DataFrame, stays: DataFrame,
     if not one_pass:
         return sepsis_date_branches(diagnoses, procedures, stays)
     adm = admission_summary(diagnoses, procedures, stays)
-    septic = adm.where(F.col("intime").isNotNull() & (
+    septic = adm.where((F.col("has_stay") == 1) & (
         (F.col("explicit_sepsis") == 1) |
         ((F.col("infection") == 1) & ((F.col("organ_dysfunction") == 1) | (F.col("mech_vent") == 1)))))
     return septic.groupBy("subject_id").agg(F.min("intime").alias("sepsis_date"))
@@ -125,7 +110,7 @@ def sepsis_date(diagnoses: DataFrame, procedures: DataFrame, stays: DataFrame,
 
 def admission_summary(diagnoses: DataFrame, procedures: DataFrame, stays: DataFrame,
                       code_col: str = "icd9_code") -> DataFrame:
-    """One row per admission: the four criterion flags and the first ICU day, without a join.
+    """One row per admission: the four criterion flags, ``has_stay`` and the first ICU day, without a join.
 
     Diagnosis rows, procedure rows and stay rows are projected onto one shape
     ``(subject_id, hadm_id, flags…, intime)`` and reduced by a single
@@ -141,12 +126,15 @@ def admission_summary(diagnoses: DataFrame, procedures: DataFrame, stays: DataFr
         flags = {c: prefix_flag(code_col, SEPSIS_CODE_SETS[c]) for c in mine}
         any_hit = reduce(lambda x, y: x | y, [prefix_match(code_col, SEPSIS_CODE_SETS[c]) for c in mine])
         return codes.where(any_hit).select(
-            *ADMISSION, *[(flags[c] if c in flags else F.lit(0)).alias(c) for c in crits], no_time.alias("intime"))
+            *ADMISSION, *[(flags[c] if c in flags else F.lit(0)).alias(c) for c in crits], F.lit(0).alias("has_stay"),
+            no_time.alias("intime"))
 
-    stay_rows = stays.select(*ADMISSION, *[F.lit(0).alias(c) for c in crits], F.col("intime"))
+    stay_rows = stays.select(*ADMISSION, *[F.lit(0).alias(c) for c in crits], F.lit(1).alias("has_stay"),
+                             F.col("intime"))
     rows = reduce(DataFrame.unionByName, [code_rows(diagnoses, "diagnoses"), code_rows(procedures, "procedures"),
                                           stay_rows])
-    return rows.groupBy(*ADMISSION).agg(*[F.max(c).alias(c) for c in crits], F.min("intime").alias("intime"))
+    return rows.groupBy(*ADMISSION).agg(*[F.max(c).alias(c) for c in crits + ["has_stay"]],
+                                        F.min("intime").alias("intime"))
 
 
 # ---------------------------------------------------------------------------

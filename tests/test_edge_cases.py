@@ -140,3 +140,13 @@ def test_approx_median_close_to_exact(spark):
     exact = vitals.vital_stats(df).collect()[0]["valuenum_median"]
     approx = vitals.vital_stats(df, approx_median=True).collect()[0]["valuenum_median"]
     assert exact == 51.0 and abs(approx - exact) <= 1.0
+
+
+def test_sepsis_forms_agree_on_null_stay_time(spark):
+    from cohortlab.operators import cohort
+    dx = spark.createDataFrame([(1, 10, "99592"), (2, 20, "99592")], "subject_id long, hadm_id long, icd9_code string")
+    px = spark.createDataFrame([], "subject_id long, hadm_id long, icd9_code string")
+    st = spark.createDataFrame([(1, 10, None), (2, 20, dt.date(2024, 1, 2))], "subject_id long, hadm_id long, intime date")
+    a = sorted(tuple(r) for r in cohort.sepsis_date(dx, px, st).collect())
+    b = sorted(tuple(r) for r in cohort.sepsis_date(dx, px, st, one_pass=False).collect())
+    assert a == b == [(1, None), (2, dt.date(2024, 1, 2))]
