@@ -1,0 +1,29 @@
+"""Joins against a per-patient table with an explicit, checked broadcast bound.
+
+A one-row-per-patient table (anchor dates, labels) is usually small, but its
+size grows with the cohort.  ``fits_broadcast`` measures it with a bounded
+action (``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows),
+and only then is the side hinted for broadcast; above the bound the join is
+left to a shuffle (with AQE skew splitting) and callers can pre-aggregate
+the big side first.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# two narrow columns per patient: 4M rows is ~64 MB in a broadcast hash relation
+DEFAULT_BROADCAST_ROWS = 4_000_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
+
+
+def hint_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``df`` with a broadcast hint when it is proven small, and whether it was hinted."""
+    if fits_broadcast(df, max_rows):
+        return F.broadcast(df), True
+    return df, False

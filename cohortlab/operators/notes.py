@@ -7,6 +7,9 @@ Scale notes
   tokenizing every note and counting (patient, term) pairs gives the same bag.
   That count is a partial/final aggregate, so a patient with a huge share of
   the notes is reduced map-side before any shuffle.
+* ``patient_terms`` never shuffles note text: the anchor table is broadcast
+  when a bounded count proves it small, and otherwise the tokens are counted
+  per (patient, note day, term) before the join.
 * ``notes_concat`` still exists for callers that want the joined text, but it
   builds one string per patient (bounded by Spark's 2 GB row limit); the
   topic pipeline never calls it.
@@ -22,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.functions.text import STOP_WORDS, tokens
+from cohortlab.operators.joins import DEFAULT_BROADCAST_ROWS, hint_small
 
 ID = "subject_id"
 
@@ -51,6 +55,30 @@ def note_terms(notes: DataFrame, key: str = ID, drop_stop_words: bool = True) ->
     return t.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
+def patient_terms(patients: DataFrame, notes: DataFrame, anchor_col: str = "max_date",
+                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``subject_id, term, n``: the bag of words of each patient's notes up to the anchor day.
+
+    Equal to ``note_terms(notes_before_anchor(patients, notes))``, planned by size:
+
+    * anchor table proven small (``max_broadcast_rows``): broadcast it, filter
+      the notes map-side, one aggregation — note text never crosses a shuffle;
+    * otherwise: count tokens per (patient, note day, term) first, so the join
+      to the anchor shuffles compact counts instead of note text, then sum per
+      (patient, term).
+    """
+    anchor = patients.select(F.col(ID).alias("_pid"), F.col(anchor_col).alias("_anchor"))
+    anchor, small = hint_small(anchor, max_broadcast_rows)
+    if small:
+        j = notes.join(anchor, (notes[ID] == anchor["_pid"]) & (notes["chartdate"] <= anchor["_anchor"]))
+        return note_terms(j.select(ID, "text"))
+    per_day = (notes.select(ID, "chartdate", F.explode(tokens("text")).alias("term"))
+               .where(~F.col("term").isin(STOP_WORDS))
+               .groupBy(ID, "chartdate", "term").agg(F.count(F.lit(1)).alias("n")))
+    j = per_day.join(anchor, (per_day[ID] == anchor["_pid"]) & (per_day["chartdate"] <= anchor["_anchor"]))
+    return j.groupBy(ID, "term").agg(F.sum("n").alias("n"))
+
+
 def term_stats(bag: DataFrame, key: str = ID) -> DataFrame:
     """``term, term_count, doc_freq`` over a (key, term, n) bag."""
     return bag.groupBy("term").agg(F.sum("n").alias("term_count"), F.count(F.lit(1)).alias("doc_freq"))

@@ -17,8 +17,9 @@ LABEL = "angus"
 
 def _topic_model(spark, d) -> topics.TopicModel:
     c = Clinical(spark, d)
-    nb = notes_ops.notes_before_anchor(c.patient_anchor, c.noteevents)
-    return topics.fit_topics(nb.select("subject_id", "text"))
+    bag = notes_ops.patient_terms(c.patient_anchor, c.noteevents)
+    docs = notes_ops.notes_before_anchor(c.patient_anchor, c.noteevents).select("subject_id").distinct()
+    return topics.fit_topics_from_bag(bag, docs)
 
 
 def _features(spark, d):

@@ -58,7 +58,8 @@ def stopword_filter(spark, d):
 
 @register("note_terms", with_views(_BAG_SQL, "noteevents", "patient_anchor"))
 def note_terms(spark, d):
-    return notes.note_terms(_notes(spark, d))
+    c = Clinical(spark, d)
+    return notes.patient_terms(c.patient_anchor, c.noteevents)
 
 
 @register("vocabulary", with_views(
@@ -66,7 +67,8 @@ def note_terms(spark, d):
     f"FROM (SELECT term, cast(sum(n) AS BIGINT) AS term_count, count(*) AS doc_freq FROM ({_BAG_SQL}) b GROUP BY term) s "
     f"QUALIFY row_number() OVER (ORDER BY term_count DESC, term) <= {VOCAB_SIZE}", "noteevents", "patient_anchor"))
 def vocabulary(spark, d):
-    return notes.vocabulary(notes.note_terms(_notes(spark, d)), VOCAB_SIZE)
+    c = Clinical(spark, d)
+    return notes.vocabulary(notes.patient_terms(c.patient_anchor, c.noteevents), VOCAB_SIZE)
 
 
 @register("topk_per_group", (

@@ -89,11 +89,17 @@ class TopicModel:
 def fit_topics(notes: DataFrame, k: int = NUM_TOPICS, vocab_size: int = VOCAB_SIZE, max_iter: int = MAX_ITER,
                seed: int = 6250, key: str = "subject_id") -> TopicModel:
     """Fit the note topic model on one document per ``key`` (notes: ``key, text``)."""
+    return fit_topics_from_bag(notes_ops.note_terms(notes, key=key), notes.select(key).distinct(),
+                               k, vocab_size, max_iter, seed, key)
+
+
+def fit_topics_from_bag(bag: DataFrame, doc_keys: DataFrame, k: int = NUM_TOPICS, vocab_size: int = VOCAB_SIZE,
+                        max_iter: int = MAX_ITER, seed: int = 6250, key: str = "subject_id") -> TopicModel:
+    """Fit on a (key, term, n) bag; ``doc_keys`` lists every document (empty ones included)."""
     # the bag feeds both the vocabulary and the vectors: tokenize the notes once
-    bag = notes_ops.note_terms(notes, key=key).persist(StorageLevel.MEMORY_AND_DISK)
+    bag = bag.persist(StorageLevel.MEMORY_AND_DISK)
     vocab = cut_lineage(notes_ops.vocabulary(bag, vocab_size, key=key))  # <= vocab_size rows
     n_terms = vocab.count()  # <= vocab_size; the vector size, as a count vectorizer sets it
-    doc_keys = notes.select(key).distinct()
     corpus_size = doc_keys.count()
     # one row per document: size the partitions for the iterative passes, then keep them
     docs = cut_lineage(sized_for_iteration(count_vectors(bag, vocab, doc_keys, max(n_terms, 1), key), corpus_size,

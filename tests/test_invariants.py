@@ -83,3 +83,12 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.columns == ["subject_id", "sepsis_date"] and df.count() == 150
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_patient_terms_same_bag_broadcast_or_preaggregated(spark):
+    c = Clinical(spark, SF_SMALL)
+    small = notes.patient_terms(c.patient_anchor, c.noteevents)
+    big = notes.patient_terms(c.patient_anchor, c.noteevents, max_broadcast_rows=0)
+    a = sorted(tuple(r) for r in small.collect())
+    b = sorted(tuple(r) for r in big.collect())
+    assert a == b and len(a) > 0
