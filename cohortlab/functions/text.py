@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.functions.codes import NOTE_STOP_WORDS, TOKEN_PATTERN, distinct
 
-STOP_WORDS = [w for w in distinct(NOTE_STOP_WORDS)]
+STOP_WORDS = distinct(NOTE_STOP_WORDS)
 
 
 def tokens(text) -> Column:
@@ -23,7 +23,6 @@ def is_stop_word(term) -> Column:
 
 
 def without_stop_words(arr) -> Column:
-    """Array of tokens with stop words removed (order kept)."""
+    """Array of tokens with stop words removed (order kept); one hash-set test per token."""
     arr = F.col(arr) if isinstance(arr, str) else arr
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    return F.filter(arr, lambda x: ~F.array_contains(stop, F.lower(x)))
+    return F.filter(arr, lambda x: ~F.lower(x).isin(STOP_WORDS))
