@@ -35,6 +35,10 @@ _CTRL = (f"SELECT DISTINCT subject_id FROM dm_diagnoses WHERE (code IS NULL OR c
          f"AND subject_id IN ({_GLU})")
 _UNIV = ("SELECT DISTINCT subject_id FROM (SELECT subject_id FROM labevents UNION ALL SELECT subject_id FROM dm_diagnoses "
          "UNION ALL SELECT subject_id FROM medications) u")
+_PHENO_EXCL = (f"SELECT subject_id, 1 AS label FROM ({_CASES}) c UNION ALL SELECT subject_id, 0 AS label FROM ({_CTRL}) k "
+               f"WHERE NOT EXISTS (SELECT 1 FROM ({_CASES}) x WHERE x.subject_id = k.subject_id) "
+               f"UNION ALL SELECT subject_id, 3 AS label FROM ({_UNIV}) u WHERE NOT EXISTS (SELECT 1 FROM ({_CASES} "
+               f"UNION ALL {_CTRL}) x WHERE x.subject_id = u.subject_id)")
 _PHENO = (f"SELECT subject_id, 1 AS label FROM ({_CASES}) c UNION ALL SELECT subject_id, 0 AS label FROM ({_CTRL}) k "
           f"UNION ALL SELECT subject_id, 3 AS label FROM ({_UNIV}) u WHERE NOT EXISTS (SELECT 1 FROM ({_CASES} UNION ALL "
           f"{_CTRL}) x WHERE x.subject_id = u.subject_id)")
@@ -115,3 +119,10 @@ def dm_phenotype(spark, d):
 def dm_phenotype_steps(spark, d):
     med, lab, dx = _c(spark, d)
     return ph.phenotype(med, lab, dx, one_pass=False)
+
+
+@register("dm_phenotype_exclusive", _views(_PHENO_EXCL))
+def dm_phenotype_exclusive(spark, d):
+    """One label per patient: a patient who is both a case and a control keeps the case label."""
+    med, lab, dx = _c(spark, d)
+    return ph.phenotype(med, lab, dx, exclusive=True)

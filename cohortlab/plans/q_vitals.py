@@ -88,11 +88,12 @@ for _p, _key in [("lastDay", "features_last_day"), ("week", "features_week"), ("
     register(_key, _sql)(_q)
 
 
-def _wide_sql(periods: list[str], patient_cols: list[str] | None) -> str:
+def _wide_sql(periods: list[str], patient_cols: list[str] | None, strict_history: bool = False) -> str:
     """Long stats per (subject, period, label) then conditional aggregation to columns."""
+    cond = dict(_PERIOD_SQL, history="chart_date <= last_day") if strict_history else _PERIOD_SQL
     longs = " UNION ALL ".join(
         f"SELECT subject_id, '{p}' AS period, label, median(valuenum) AS s_median, avg(valuenum) AS s_mean, "
-        f"stddev_samp(valuenum) AS s_std, count(*) AS s_len FROM ({_ROWS_SQL}) r WHERE {_PERIOD_SQL[p]} "
+        f"stddev_samp(valuenum) AS s_std, count(*) AS s_len FROM ({_ROWS_SQL}) r WHERE {cond[p]} "
         f"GROUP BY subject_id, label" for p in periods)
     feats = []
     for p in periods:
@@ -130,3 +131,12 @@ def vitals_pivot(spark, d):
 def vitals_features(spark, d):
     c = Clinical(spark, d)
     return _rounded_wide(vitals.vitals_features(c.chartevents, c.patient_anchor))
+
+
+@register("vitals_features_strict", with_views(
+    _wide_sql(vitals.PERIODS, ["subject_id", "max_date", "angus", "first_admit_age"], strict_history=True),
+    "chartevents", "patient_anchor"))
+def vitals_features_strict(spark, d):
+    """The wide table with the history period stopped at the last observation day (no later rows)."""
+    c = Clinical(spark, d)
+    return _rounded_wide(vitals.vitals_features(c.chartevents, c.patient_anchor, strict_history=True))
