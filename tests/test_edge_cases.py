@@ -150,3 +150,13 @@ def test_sepsis_forms_agree_on_null_stay_time(spark):
     a = sorted(tuple(r) for r in cohort.sepsis_date(dx, px, st).collect())
     b = sorted(tuple(r) for r in cohort.sepsis_date(dx, px, st, one_pass=False).collect())
     assert a == b == [(1, None), (2, dt.date(2024, 1, 2))]
+
+
+def test_notes_concat_order_and_null_notes(spark):
+    from cohortlab.operators import notes
+    df = spark.createDataFrame(
+        [(1, dt.date(2024, 1, 2), 5, "second"), (1, dt.date(2024, 1, 1), 9, "first"), (1, dt.date(2024, 1, 2), 3, None),
+         (2, dt.date(2024, 1, 1), 1, None)],
+        "subject_id long, chartdate date, note_id long, text string")
+    got = {r["subject_id"]: r["text"] for r in notes.notes_concat(df).collect()}
+    assert got == {1: "first second"}  # NULL notes are dropped, not joined as "null"
