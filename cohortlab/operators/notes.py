@@ -12,7 +12,7 @@ Scale notes
   per (patient, note day, term) before the join.
 * ``notes_concat`` still exists for callers that want the joined text, but it
   builds one string per patient (bounded by Spark's 2 GB row limit); the
-  topic pipeline never calls it.
+  topic features never call it.
 * Top-k per group (``topk_per_group``) is exact and two-stage: a first
   window over (group, salt) keeps the k best of each salted slice, a second
   window over the group sees at most ``salt_buckets * k`` rows.  One group

@@ -34,7 +34,7 @@ def feature_columns(df: DataFrame, label: str, exclude=("subject_id", "max_date"
             if f.name != label and f.name not in exclude and f.dataType.simpleString() in numeric]
 
 
-def logistic_pipeline(features: list[str], label: str, n_train: int, C: float = 1.0, max_iter: int = 100,
+def logistic_estimator(features: list[str], label: str, n_train: int, C: float = 1.0, max_iter: int = 100,
                       tol: float = 1e-4) -> Pipeline:
     """Assembler + L2 logistic regression whose objective equals ``C * sum(logloss) + |w|^2 / 2``.
 
@@ -79,7 +79,7 @@ def fit_and_score(data: DataFrame, feature_sets: dict[str, list[str]], label: st
     test = split.where(F.col("split") == "test")
     fitted, tables = {}, []
     for name, cols in feature_sets.items():
-        m = logistic_pipeline(cols, label, n_train).fit(train)
+        m = logistic_estimator(cols, label, n_train).fit(train)
         fitted[name] = m
         tables.append(scores(m, test, key, label, name))
     return reduce(DataFrame.unionByName, tables), fitted

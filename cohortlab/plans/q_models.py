@@ -85,7 +85,7 @@ def model_roundtrip(spark, d):
     data = models.hash_split(_features(spark, d))
     cols = models.feature_columns(data, LABEL)
     train = data.where(F.col("split") == "train")
-    m = models.logistic_pipeline(cols, LABEL, train.count()).fit(train)
+    m = models.logistic_estimator(cols, LABEL, train.count()).fit(train)
     path = scratch_dir(spark, "model")
     m.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
