@@ -141,8 +141,9 @@ def vitals_features(chart: DataFrame, patients: DataFrame, strict_history: bool
     rows = vitals_with_anchor(chart, patients)
     tags = F.array_compact(F.array(*[F.when(period_condition(p, strict_history), F.lit(p)) for p in PERIODS]))
     tagged = rows.select("subject_id", "label", "valuenum", F.explode(tags).alias("period"))
-    stats = vital_stats(tagged, keys=("subject_id", "period", "label"), approx_median=approx_median,
-                        with_max=False).withColumn("pk", F.concat_ws("__", "period", "label"))
+    # key the statistics by (patient, pivot key) so the pivot's own grouping reuses their partitioning
+    tagged = tagged.withColumn("pk", F.concat_ws("__", "period", "label"))
+    stats = vital_stats(tagged, keys=("subject_id", "pk"), approx_median=approx_median, with_max=False)
     names = {f"{p}__{lab}": (p, lab) for p in PERIODS for lab in VITAL_LABELS}
     wide = _pivot_wide(stats, list(names), "pk", names)
     feats = feature_columns()
