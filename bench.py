@@ -1,7 +1,7 @@
 """Time the headline jobs and print one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 2; the best of the runs is reported per query).
+BENCH_REPEAT (default 3; the best of the runs is reported per query).
 Every headline query first runs once on sf0.001 to warm the JVM (class
 loading, code generation, JIT); no result is reused across data folders.
 Each query is executed in full with the ``noop`` sink (no collect to the driver).
@@ -41,7 +41,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8), app="cohortlab-bench")
     catalog.load_all()
 
