@@ -48,8 +48,10 @@ def tokenize(spark, d):
 
 
 @register("stopword_filter", (
-    f"SELECT doc_id, len(list_filter({_TOK_SQL}, lambda x: x NOT IN ({_STOP_SQL}))) AS n_kept, "
-    f"len({_TOK_SQL}) - len(list_filter({_TOK_SQL}, lambda x: x NOT IN ({_STOP_SQL}))) AS n_removed FROM documents"))
+    f"SELECT d.doc_id, coalesce(k.n_kept, 0) AS n_kept, coalesce(k.n_removed, 0) AS n_removed FROM documents d "
+    f"LEFT JOIN (SELECT doc_id, count(*) FILTER (WHERE term NOT IN ({_STOP_SQL})) AS n_kept, "
+    f"count(*) FILTER (WHERE term IN ({_STOP_SQL})) AS n_removed FROM (SELECT doc_id, unnest({_TOK_SQL}) AS term "
+    f"FROM documents) t GROUP BY doc_id) k ON d.doc_id = k.doc_id"))
 def stopword_filter(spark, d):
     docs = Clinical(spark, d).raw("documents").select("doc_id", tokens("text").alias("tok"))
     kept = F.size(without_stop_words("tok")).cast("long")
