@@ -92,6 +92,8 @@ def roc_curve(preds: DataFrame, score: str = "p", label: str = "y", by=(), nbins
     points are kept (no pruning of collinear points, no extra (0, 0) point).
     """
     pts = _score_counts(preds, score, label, by).withColumn("bucket", _bucket(F.col("threshold"), nbins))
+    # one hash partitioning by (group, bucket) serves the in-bucket window and the bucket totals
+    pts = pts.repartition(*by, "bucket")
     in_bucket = Window.partitionBy(*by, "bucket").orderBy(F.col("threshold").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     pts = (pts.withColumn("tp_in", F.sum("pos").over(in_bucket))
