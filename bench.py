@@ -5,6 +5,8 @@ BENCH_REPEAT (default 3; the best of the runs is reported per query).
 Every headline query first runs once on sf0.001 to warm the JVM (class
 loading, code generation, JIT); no result is reused across data folders.
 Each query is executed in full with the ``noop`` sink (no collect to the driver).
+BENCH_EVENT_LOG=<folder> (optional) writes Spark's event log there, for stage and
+task times without the web UI.
 """
 
 from __future__ import annotations
@@ -42,7 +44,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8), app="cohortlab-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8), app="cohortlab-bench",
+                          extra=extra)
     catalog.load_all()
 
     # warm-up: JVM, codegen caches and the Python worker on the smallest tables
