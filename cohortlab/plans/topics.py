@@ -42,11 +42,11 @@ TOP_TERMS = 100
 
 def _sparse_builder(size: int):
     @F.udf(VectorUDT())
-    def build(entries):
-        # entries: sorted (idx, n) pairs of one patient, at most `size` of them
-        if not entries:
+    def build(indices, counts):
+        # one patient's sorted term indices and counts: at most `size` of each
+        if not indices:
             return SparseVector(size, [], [])
-        return SparseVector(size, [e["idx"] for e in entries], [float(e["n"]) for e in entries])
+        return SparseVector(size, indices, [float(c) for c in counts])
     return build
 
 
@@ -56,7 +56,10 @@ def count_vectors(bag: DataFrame, vocab: DataFrame, doc_keys: DataFrame, size: i
     indexed = bag.join(F.broadcast(vocab.select("term", "idx")), "term")
     per_doc = indexed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "n"))).alias("entries"))
     docs = doc_keys.join(per_doc, key, "left")
-    return docs.select(key, _sparse_builder(size)("entries").alias("features"))
+    # plain int / long arrays cross into Python much faster than an array of structs
+    idx = F.transform("entries", lambda e: e["idx"])
+    cnt = F.transform("entries", lambda e: e["n"])
+    return docs.select(key, _sparse_builder(size)(idx, cnt).alias("features"))
 
 
 def mini_batch_fraction(corpus_size: int) -> float:
