@@ -84,9 +84,13 @@ def case_no_t2_medicine(diagnostics: DataFrame, medications: DataFrame) -> DataF
     return _ids(t1_medicine_rows(meds)).join(_ids(t2_medicine_rows(meds)), ID, "left_anti")
 
 
-def first_medication(diagnostics: DataFrame, medications: DataFrame) -> DataFrame:
-    """``subject_id, t1_date, t2_date``: first T1 / T2 medicine day per patient (NULL if none)."""
-    meds = t2_medication(medications, diagnostics)
+def first_medication(diagnostics: DataFrame, medications: DataFrame, restrict: bool = True) -> DataFrame:
+    """``subject_id, t1_date, t2_date``: first T1 / T2 medicine day per patient (NULL if none).
+
+    ``restrict=False`` looks at every patient's medicines, not only those of
+    T2-diagnosed patients (the other reading of the date rule).
+    """
+    meds = t2_medication(medications, diagnostics) if restrict else medications
     m = F.lower(F.col("medicine"))
     return (meds.where(m.isin(distinct(T1DM_MED + T2DM_MED)))
             .groupBy(ID)
@@ -94,9 +98,9 @@ def first_medication(diagnostics: DataFrame, medications: DataFrame) -> DataFram
                  F.min(F.when(m.isin(distinct(T2DM_MED)), F.col("med_date"))).alias("t2_date")))
 
 
-def case_t2_first(diagnostics: DataFrame, medications: DataFrame) -> DataFrame:
+def case_t2_first(diagnostics: DataFrame, medications: DataFrame, restrict: bool = True) -> DataFrame:
     """Case 3: both medicine types, first T1 day after the first T2 day."""
-    fm = first_medication(diagnostics, medications)
+    fm = first_medication(diagnostics, medications, restrict)
     return fm.where(F.col("t1_date") > F.col("t2_date")).select(ID)
 
 

@@ -24,6 +24,9 @@ _T2P = f"SELECT DISTINCT subject_id FROM ({_MED2}) m WHERE lower(medicine) IN ({
 _FIRST = (f"SELECT subject_id, min(CASE WHEN lower(medicine) IN ({_lst(T1DM_MED)}) THEN med_date END) AS t1_date, "
           f"min(CASE WHEN lower(medicine) IN ({_lst(T2DM_MED)}) THEN med_date END) AS t2_date FROM ({_MED2}) m "
           f"WHERE lower(medicine) IN ({_lst(T1DM_MED + T2DM_MED)}) GROUP BY subject_id")
+_FIRST_ALL = (f"SELECT subject_id, min(CASE WHEN lower(medicine) IN ({_lst(T1DM_MED)}) THEN med_date END) AS t1_date, "
+              f"min(CASE WHEN lower(medicine) IN ({_lst(T2DM_MED)}) THEN med_date END) AS t2_date FROM medications "
+              f"WHERE lower(medicine) IN ({_lst(T1DM_MED + T2DM_MED)}) GROUP BY subject_id")
 _CASE1 = f"SELECT subject_id FROM ({_T2DX}) a WHERE NOT EXISTS (SELECT 1 FROM ({_T1P}) b WHERE b.subject_id = a.subject_id)"
 _CASE2 = f"SELECT subject_id FROM ({_T1P}) a WHERE NOT EXISTS (SELECT 1 FROM ({_T2P}) b WHERE b.subject_id = a.subject_id)"
 _CASE3 = f"SELECT subject_id FROM ({_FIRST}) f WHERE t1_date > t2_date"
@@ -126,3 +129,10 @@ def dm_phenotype_exclusive(spark, d):
     """One label per patient: a patient who is both a case and a control keeps the case label."""
     med, lab, dx = _c(spark, d)
     return ph.phenotype(med, lab, dx, exclusive=True)
+
+
+@register("dm_case_t2_first_unrestricted", _views(f"SELECT subject_id FROM ({_FIRST_ALL}) f WHERE t1_date > t2_date"))
+def dm_case_t2_first_unrestricted(spark, d):
+    """Case 3 over every patient's medicines, without the T2-diagnosis restriction."""
+    med, _, dx = _c(spark, d)
+    return ph.case_t2_first(dx, med, restrict=False)

@@ -25,7 +25,7 @@ EXPECTED_ROWS_SF0001 = {
     "sepsis_infection_organ": 504, "sepsis_infection_vent": 172, "sepsis_date": 150, "last_record_date": 150,
     "vitals_filter": 857, "features_last_day": 17, "features_week": 72, "features_month": 74,
     "features_history": 75, "dm_case_no_t1_med": 12, "dm_case_no_t2_med": 15, "dm_case_t2_first": 44,
-    "dm_glucose_normal": 145, "dm_controls": 145, "confusion_matrix": 4,
+    "dm_glucose_normal": 145, "dm_controls": 145, "confusion_matrix": 4, "dm_case_t2_first_unrestricted": 56,
 }
 
 
