@@ -170,3 +170,33 @@ def test_roc_per_model_matches_plain_window(spark):
     plain = {(r["model"], r["threshold"]): (r["tp"], r["fp"]) for r in g.select(
         "model", "threshold", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp")).collect()}
     assert ours == plain
+
+
+def test_patient_terms_match_python_with_hot_patient(spark):
+    import collections
+
+    import regex
+
+    from cohortlab.functions.text import STOP_WORDS
+    from cohortlab.operators import notes
+    from cohortlab.sources.tables import Clinical
+    from conftest import SF_SMALL
+
+    docs = Clinical(spark, SF_SMALL).raw("documents").select("doc_id", "text").orderBy("doc_id").collect()
+    base = dt.date(2024, 1, 1)
+    rows = [(1 if i % 3 == 0 else 2 + i % 9, base + dt.timedelta(days=i % 20), d["doc_id"], d["text"])
+            for i, d in enumerate(docs)]
+    anchors = [(s, base + dt.timedelta(days=5 + s)) for s in range(1, 11)]
+    stop = set(STOP_WORDS)
+    want = collections.Counter()
+    anchor_of = dict(anchors)
+    for s, day, _, text in rows:
+        if text is not None and day <= anchor_of[s]:
+            for tok in regex.findall(r"\p{L}+", text.lower()):
+                if tok not in stop:
+                    want[(s, tok)] += 1
+    nt = spark.createDataFrame(rows, "subject_id long, chartdate date, note_id long, text string")
+    pt = spark.createDataFrame(anchors, "subject_id long, max_date date")
+    for limit in (4_000_000, 0):  # broadcast path, then the pre-aggregating path
+        got = {(r["subject_id"], r["term"]): r["n"] for r in notes.patient_terms(pt, nt, max_broadcast_rows=limit).collect()}
+        assert got == dict(want)
