@@ -52,3 +52,17 @@ def test_phenotype_one_pass_has_single_patient_shuffle(spark):
     dx = c.dm_diagnoses.withColumnRenamed("dx_date", "date")
     plan = _plan(ph.phenotype(c.medications, c.labevents, dx))
     assert _shuffles(plan) == 1, plan
+
+
+def test_vitals_features_shuffles(spark):
+    # parquet inputs, so the planner sees real sizes (a Python-list frame has no size estimate)
+    cpath, ppath = scratch_dir(spark, "chart"), scratch_dir(spark, "anchor")
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 10, 8), 211, 80.0)],
+                          "subject_id long, charttime timestamp_ntz, itemid int, valuenum double").write.parquet(cpath)
+    spark.createDataFrame([(1, dt.date(2024, 1, 10), 0)], "subject_id long, max_date date, angus int").write.parquet(ppath)
+    plan = _plan(vitals.vitals_features(spark.read.parquet(cpath), spark.read.parquet(ppath)))
+    # statistics per (patient, pivot key); the per-patient pivot (reusing nothing else); and the
+    # one-row-per-patient side of the final left join -- the wide side is already partitioned by
+    # patient, so only the small table moves (AQE may still turn it into a broadcast at run time)
+    assert _shuffles(plan) == 3, plan
+    assert "Exchange hashpartitioning(subject_id" in plan and "pk" in plan
