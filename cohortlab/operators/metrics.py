@@ -80,9 +80,18 @@ def _score_counts(preds: DataFrame, score: str, label: str, by) -> DataFrame:
 
 
 def _bucket(threshold: Column, nbins: int) -> Column:
-    """Monotone bucket of any real score: squash to (0, 1) with atan, cut into nbins."""
-    squashed = F.lit(0.5) + F.atan(threshold) / F.lit(math.pi)
-    return F.least(F.floor(squashed * nbins), F.lit(nbins - 1)).cast("int")
+    """Monotone bucket of any real score, in ``[0, nbins)``.
+
+    Scores in [0, 1] (probabilities) are cut linearly into the middle half of the
+    buckets; scores below 0 / above 1 go to the first / last quarter through an
+    ``atan`` squash.  Order is preserved, so running totals stay exact.
+    """
+    q = max(nbins // 4, 1)
+    below = F.floor((F.lit(0.5) + F.atan(threshold) / F.lit(math.pi)) * (2 * q))           # [0, q)
+    inside = F.floor(threshold * (2 * q)) + q                                               # [q, 3q]
+    above = F.floor(F.atan(threshold - 1) / F.lit(math.pi) * (2 * q)) + 3 * q               # [3q, 4q]
+    b = F.when(threshold < 0, below).when(threshold <= 1, inside).otherwise(above)
+    return F.least(b, F.lit(4 * q - 1)).cast("int")
 
 
 def roc_curve(preds: DataFrame, score: str = "p", label: str = "y", by=(), nbins: int = 1024) -> DataFrame:

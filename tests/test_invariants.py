@@ -92,3 +92,15 @@ def test_patient_terms_same_bag_broadcast_or_preaggregated(spark):
     a = sorted(tuple(r) for r in small.collect())
     b = sorted(tuple(r) for r in big.collect())
     assert a == b and len(a) > 0
+
+
+def test_roc_buckets_are_monotone(spark):
+    import random
+    from cohortlab.operators.metrics import _bucket
+    rnd = random.Random(9)
+    vals = sorted({rnd.uniform(-50, 50) for _ in range(500)} | {rnd.random() for _ in range(500)} |
+                  {0.0, 1.0, -1e-9, 1 + 1e-9, 1e12, -1e12})
+    df = spark.createDataFrame([(v,) for v in vals], "t double")
+    got = [r[1] for r in sorted(df.select("t", _bucket(F.col("t"), 1024).alias("b")).collect())]
+    assert got == sorted(got) and min(got) >= 0 and max(got) <= 1023
+    assert len({b for b in got}) > 300  # probabilities spread over the middle half of the buckets
