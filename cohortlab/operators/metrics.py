@@ -64,12 +64,13 @@ def confusion_matrix(preds: DataFrame, classes=(0, 1), by=(), label: str = "y",
     classes seen in the data but not listed are kept as extra cells.
     """
     spark = preds.sparkSession
-    counts = preds.groupBy(*by, F.col(label).alias("y"), F.col(pred).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    rows = preds.select(*by, F.col(label).alias("y"), F.col(pred).alias("h"), F.lit(1).cast("long").alias("n"))
     pairs = F.explode(F.array(*[F.struct(F.lit(int(a)).alias("y"), F.lit(int(b)).alias("h"))
                                 for a in classes for b in classes]))
-    base = counts.select(*by).distinct() if by else spark.range(1).select()
-    grid = base.select(*by, pairs.alias("c")).select(*by, "c.y", "c.h")  # k² cells per group
-    cells = grid.join(counts, [*by, "y", "h"], "full").withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
+    base = preds.select(*by).distinct() if by else spark.range(1).select()
+    grid = base.select(*by, pairs.alias("c")).select(*by, "c.y", "c.h", F.lit(0).cast("long").alias("n"))
+    # prediction rows and zero-count grid cells reduced together: no join
+    cells = rows.unionByName(grid).groupBy(*by, "y", "h").agg(F.sum("n").alias("n"))
     row_total = F.sum("n").over(Window.partitionBy(*by, "y"))
     return cells.withColumn("share", F.when(row_total > 0, F.col("n") / row_total))
 

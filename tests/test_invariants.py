@@ -104,3 +104,12 @@ def test_roc_buckets_are_monotone(spark):
     got = [r[1] for r in sorted(df.select("t", _bucket(F.col("t"), 1024).alias("b")).collect())]
     assert got == sorted(got) and min(got) >= 0 and max(got) <= 1023
     assert len({b for b in got}) > 300  # probabilities spread over the middle half of the buckets
+
+
+def test_confusion_matrix_per_model_full_grid(spark):
+    preds = spark.createDataFrame([("a", 1, 1), ("a", 1, 0), ("a", 0, 0), ("b", 1, 1), ("b", 0, 2)],
+                                  "model string, y int, h int")
+    got = {(r["model"], r["y"], r["h"]): (r["n"], r["share"]) for r in metrics.confusion_matrix(preds, by=["model"]).collect()}
+    assert got[("a", 1, 1)] == (1, 0.5) and got[("a", 0, 1)] == (0, 0.0) and got[("b", 1, 0)] == (0, 0.0)
+    assert got[("b", 0, 2)] == (1, 1.0)  # a class outside the listed grid is kept
+    assert len([k for k in got if k[0] == "a"]) == 4 and len([k for k in got if k[0] == "b"]) == 5
