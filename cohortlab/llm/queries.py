@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm import arrow_shards, mixing, oracles, packing
+from cohortlab.llm import arrow_shards, language, mixing, oracles, packing
 from cohortlab.llm.common import read
 from cohortlab.session import scratch_dir
 
@@ -37,6 +37,11 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op3_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_documents(read(spark, sf_dir, "documents"))
+
+
 @query("op5_weighted_mix", oracles.MIX)
 def weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("tie")
