@@ -35,3 +35,19 @@ mix AS (
 """
 
 MIX = f"WITH {_MIX.format(docs='documents')} SELECT doc_id, size, source_size, target, (size * times)::BIGINT AS taken FROM mix"
+
+WORD_WINDOWS = r"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT r, doc_id, pos, md5(array_to_string(words[pos:pos + 49], ' ')) AS w
+  FROM doc_words, unnest(range(1, len(words) - 48)) AS u(pos) WHERE len(words) >= 50),
+first_doc AS (SELECT w, min(doc_id) AS least FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT r, pos FROM windows JOIN first_doc USING (w) WHERE least < doc_id),
+gone AS (SELECT DISTINCT r, pos + k AS pos FROM hits, range(0, 50) AS t(k)),
+words AS (SELECT r, pos, words[pos] AS word FROM doc_words, unnest(range(1, len(words) + 1)) AS u(pos)),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n FROM words ANTI JOIN gone USING (r, pos) GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM doc_words LEFT JOIN kept USING (r)
+"""

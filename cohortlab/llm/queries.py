@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm import arrow_shards, language, mixing, oracles, packing
+from cohortlab.llm import arrow_shards, language, mixing, oracles, packing, suffix_repeats, superkmer
 from cohortlab.llm.common import read
 from cohortlab.session import scratch_dir
 
@@ -42,6 +42,16 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_documents(read(spark, sf_dir, "documents"))
 
 
+@query("op4_super_kmer_dedup", oracles.WORD_WINDOWS)
+def super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmer.dedup(read(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op5_weighted_mix", oracles.MIX)
 def weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("tie")
+
+
+@query("op6_suffix_repeats")
+def suffix_array_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.dedup(read(spark, sf_dir, "documents")).drop("kept", "removed")
