@@ -86,7 +86,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, rule: str = "l
             ids_of = batch.column("doc_id").to_pylist()
             texts = batch.column("text")
             for i, doc_id in enumerate(ids_of):
-                ids = enc.encode([texts[i].as_py()], end_id)[0]
+                if i % 64 == 0:
+                    encoded = enc.encode(texts.slice(i, 64).to_pylist(), end_id)
+                ids = encoded[i % 64]
                 parts.append(ids)
                 doc_ids.append(doc_id)
                 lengths.append(len(ids) // enc.dtype.itemsize)

@@ -37,8 +37,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, rule: str = "drop", end_i
         enc = encoder(tokenizer_path, rule)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, packed in zip(batch.column("doc_id").to_pylist(),
-                                      enc.encode(batch.column("text").to_pylist(), end_id), strict=True):
+            texts = batch.column("text")
+            encoded = (ids for i in range(0, batch.num_rows, 256) for ids in enc.encode(texts.slice(i, 256).to_pylist(), end_id))
+            for doc_id, packed in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
                 ids = np.frombuffer(packed, dtype=enc.dtype)
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]

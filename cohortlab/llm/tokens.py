@@ -5,7 +5,8 @@ distinct piece is encoded once by the library, and the ids of a text are the
 joined ids of its pieces.  ``rule`` names the cuts that are safe for a file:
 
 * ``"lead"`` (byte-level BPE whose words start with their space): before a
-  single space that stands between two non-spaces.
+  single space that stands between two non-spaces.  A text with other white
+  space beside a space is encoded in one call.
 * ``"drop"`` (BPE that drops white space): at every space and newline.
 * ``"whole"``: no cut; any other tokenizer.
 
@@ -16,28 +17,16 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
 #: Pieces remembered per Python worker and generation (two generations are kept).
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000
 
-_LEAD = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"\s\s|^\s|\s$")
-
-
-def pieces_of(text: str, rule: str) -> list[str]:
-    if not text:
-        return []
-    if rule == "drop":
-        return text.replace("\n", " ").split(" ")
-    if rule == "lead":
-        if _ODD.search(text) is None:
-            first, *rest = text.split(" ")
-            return [first, *[" " + w for w in rest]]
-        first, *rest = _LEAD.split(text)
-        return [first, *[" " + w for w in rest]]
-    return [text]
+#: A Latin word and the stops or the newline and Latin word after it: every rule cuts between these parts.
+_PARTS = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,]*)(\n[a-zA-ZÀ-ÖØ-öø-ÿ]+)?")
+_WORD = {" ": re.compile(r"[ \n][a-zA-ZÀ-ÖØ-öø-ÿ]+"), "": re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+")}
 
 
 class Encoder:
@@ -50,40 +39,100 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.rule = rule
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        small = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.dtype, self._kind = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
+        #: piece -> ids; with rule "lead" a piece stands without its space, and None marks one that must not be cut off
+        self.new: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
+        #: part of a piece, with its space -> ids
+        self.parts: dict[str, bytes] = {}
+        self._lead = " " if rule == "lead" else ""
+        #: tokens that begin with a space or newline, or that end a word
+        vocab = self.tokenizer.get_vocab()
+        self._mark = np.zeros(max(vocab.values()) + 1, bool)
+        self._mark[[i for t, i in vocab.items() if (t[0] in "\u0120\u010a" if self._lead else t.endswith("</w>"))]] = True
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return array(self._kind, ids).tobytes()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(texts), 4096):
+            out += [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)]
+        return out
 
-    def _learn(self, missing: list[str]) -> None:
-        for i in range(0, len(missing), 4096):
-            part = missing[i:i + 4096]
-            for piece, enc in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.new[piece] = np.array(enc.ids, dtype=self.dtype).tobytes()
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters, many per call: the token strings show where each word begins or ends."""
+        out: list[bytes] = []
+        for i in range(0, len(words), 2000):
+            part = words[i:i + 2000]
+            text = "".join(part) if self._lead else " ".join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            marks = np.flatnonzero(self._mark[ids])
+            cuts = marks if self._lead else np.concatenate([[0], marks[:-1] + 1])
+            if len(cuts) != len(part):
+                out += self._encode(part)
+                continue
+            raw, n = ids.tobytes(), self.dtype.itemsize
+            ends = np.append(cuts[1:], len(ids)) * n
+            out += [raw[a:b] for a, b in zip((cuts * n).tolist(), ends.tolist(), strict=True)]
+        return out
+
+    def _learn(self, missing: dict[str, None]) -> None:
+        """Ids of new pieces; a piece is first taken apart where every rule cuts, since its parts are often known."""
+        parts: dict[str, None] = {}  # as the tokenizer sees them, with their space
+        of = []
+        for piece in missing:
+            if self._lead and (not piece or piece[0].isspace() or piece[-1].isspace()):
+                self.new[piece] = None
+                continue
+            m = _PARTS.fullmatch(piece)
+            own = [self._lead + m[1], *(x for x in m.groups()[1:] if x)] if m else [self._lead + piece]
+            of.append((piece, own))
+            for x in own:
+                if x not in self.parts:
+                    parts[x] = None
+        if len(self.parts) > CACHE_PIECES:
+            self.parts.clear()
+            parts = dict.fromkeys(x for _, own in of for x in own)
+        words = [x for x in parts if _WORD[self._lead].fullmatch(x)]
+        self.parts.update(zip(words, self._encode_words(words), strict=True))
+        others = [x for x in parts if x not in self.parts]
+        self.parts.update(zip(others, self._encode(others), strict=True))
+        for piece, own in of:
+            self.new[piece] = b"".join([self.parts[x] for x in own])
 
     def encode(self, texts: list[str | None], end_id: int | None = None) -> list[bytes]:
         """Ids of each text (null: none) as packed bytes, with ``end_id`` appended."""
-        end = b"" if end_id is None else np.array([end_id], dtype=self.dtype).tobytes()
+        end = b"" if end_id is None else self._pack([end_id])
+        if self.rule == "whole":
+            return [ids + end for ids in self._encode([t or "" for t in texts])]
+        if len(self.new) > CACHE_PIECES:
+            self.old, self.new = self.new, {}
+        if self.rule == "lead":  # the first piece has no space before it
+            first, split = [], []
+            for t in texts:
+                head, _, rest = (t or "").partition(" ")
+                first.append(head)
+                split.append(rest.split(" ") if _ else [])
+            heads = self._encode(first)
+        else:
+            split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+            heads = [b""] * len(texts)
+        new, old = self.new, self.old
+        missing = dict.fromkeys(w for words in split for w in words if w not in new)
+        for w in [w for w in missing if w in old]:
+            new[w] = old[w]
+            del missing[w]
+        self._learn(missing)
         out = []
-        for text in texts:
-            words = pieces_of(text or "", self.rule)
-            if len(self.new) > CACHE_PIECES:
-                self.old, self.new = self.new, {}
-            new, old = self.new, self.old
+        for i, words in enumerate(split):
             try:
-                out.append(b"".join([new[w] for w in words]) + end)
-                continue
-            except KeyError:
-                pass
-            missing = []
-            for w in dict.fromkeys(words):
-                if w not in new:
-                    ids = old.get(w)
-                    if ids is None:
-                        missing.append(w)
-                    else:
-                        new[w] = ids
-            self._learn(missing)
-            out.append(b"".join([new[w] for w in words]) + end)
+                if heads[i] and first[i][-1].isspace():
+                    raise TypeError
+                out.append(heads[i] + b"".join([new[w] for w in words]) + end)
+            except TypeError:  # white space beside a space: the whole text at once
+                out.append(self._encode([texts[i]])[0] + end)
         return out
 
 
