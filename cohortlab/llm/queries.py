@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm import arrow_shards, language, mixing, oracles, packing, suffix_repeats, superkmer
+from cohortlab.llm import arrow_shards, language, mixing, oracles, packing, suffix_repeats, superkmer, toxicity
 from cohortlab.llm.common import read
 from cohortlab.session import scratch_dir
 
@@ -55,3 +55,8 @@ def weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_suffix_repeats")
 def suffix_array_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_repeats.dedup(read(spark, sf_dir, "documents")).drop("kept", "removed")
+
+
+@query("op8_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
