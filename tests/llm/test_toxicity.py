@@ -79,7 +79,7 @@ def test_held_out_labels(spark):
 
 
 def test_defined_cases(spark, docs_of):
-    docs = docs_of([(i, "you are an idiot here" if i % 4 == 0 else "you are a good one here") for i in range(60)]
+    docs = docs_of([(i, "you are an idiot here" if i % 4 == 0 else "you are an honest one here") for i in range(60)]
                    + [(100, None), (None, "an 1d!ot"), (101, ""), (102, "i d i o t"), (103, "fine"), (103, "fine"), (104, "idiot " * 20000)])
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(60)] + [(1, None), (None, 1), (2, 0)], "doc_id long, toxic int")
     rows = toxicity.score_documents(docs, labels).collect()
