@@ -51,3 +51,23 @@ kept AS (
 SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM doc_words LEFT JOIN kept USING (r)
 """
+
+JACCARD = r"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(words[pos:pos + 4], ' ')) AS g
+  FROM doc_words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS u(pos) WHERE len(words) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS inter
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT u, v FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+  WHERE inter >= 0.8 * (x.n + y.n - inter) - 1e-9),
+reach AS (SELECT DISTINCT u, u AS v FROM links UNION SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.v),
+classes AS (SELECT u, min(v) AS class_id FROM reach GROUP BY u),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n, 0)::BIGINT AS n_links
+FROM doc_words LEFT JOIN classes ON classes.u = doc_id LEFT JOIN counts ON counts.u = doc_id
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm import arrow_shards, language, mixing, oracles, packing, suffix_repeats, superkmer, toxicity
+from cohortlab.llm import arrow_shards, jaccard_join, language, mixing, oracles, packing, suffix_repeats, superkmer, toxicity
 from cohortlab.llm.common import read
 from cohortlab.session import scratch_dir
 
@@ -60,3 +60,8 @@ def suffix_array_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_toxicity")
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op10_jaccard_join", oracles.JACCARD)
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read(spark, sf_dir, "documents"))
