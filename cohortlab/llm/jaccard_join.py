@@ -35,9 +35,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlab.llm.blocks import blocked, merge, sorted_groups
 from cohortlab.llm.common import keep
 from cohortlab.llm.components import components
 from cohortlab.llm.repeats import _gram_hash, split_words
@@ -107,19 +108,6 @@ def _pairs(left: np.ndarray, right: np.ndarray, same: bool, label: np.ndarray, m
             yield i[use], j[use]
 
 
-def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    """Least labels after joining all pairs (i, j), in place."""
-    while True:
-        low = np.minimum(label[i], label[j])
-        if (low == label[i]).all() and (low == label[j]).all():
-            return
-        # the labels' own entries move too, so whole classes follow
-        for k in (i, j):
-            np.minimum.at(label, label[k], low)
-            np.minimum.at(label, k, low)
-        label[:] = label[label]
-
-
 def spanning(sig: np.ndarray, ids: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Edges (id, id) that join exactly what the surviving pairs of a group join."""
     label = np.arange(len(ids))
@@ -128,39 +116,14 @@ def spanning(sig: np.ndarray, ids: np.ndarray, left: np.ndarray, right: np.ndarr
     if len(one) and len(first):  # most of a dense group joins its first member
         i = np.repeat(one, len(first))
         hit = survivors(sig, i, first)
-        _merge(label, i[hit], first[hit])
+        merge(label, i[hit], first[hit])
     for i, j in _pairs(left, right, same, label):
         hit = survivors(sig, i, j)
-        _merge(label, i[hit], j[hit])
+        merge(label, i[hit], j[hit])
     moved = np.flatnonzero(label != np.arange(len(label)))
     return ids[moved], ids[label[moved]]
 
 
-def _blocked(rows: DataFrame, group: list[str], member: Column, sizes: DataFrame) -> DataFrame:
-    """Rows of groups with >= 2 members, repeated for each pair of blocks (bi <= bj) that their block is in; ``side`` 0 is block bi."""
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    dealt = (rows.join(sizes.where("size > 1"), group).withColumn("blocks", blocks)
-             .withColumn("own", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    return (dealt.withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other"))
-            .withColumn("side", (F.col("own") > F.col("other")).cast("int")).drop("blocks", "own", "other", "size"))
-
-
-def _sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str], columns: list[str]):
-    """(bi == bj, {column: list}) per block pair; the partition is sorted by ``keys``."""
-    now, rows = None, []
-    for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in [*keys, *columns]]
-        for row in zip(*cols, strict=True):
-            if row[:len(keys)] != now:
-                if rows:
-                    yield now, [list(c) for c in zip(*rows, strict=True)]
-                now, rows = row[:len(keys)], []
-            rows.append(row[len(keys):])
-    if rows:
-        yield now, [list(c) for c in zip(*rows, strict=True)]
-
-
 def _signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, sig, bands): set digest, low bytes of the min-hash values, and a 64-bit key per band."""
     schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
@@ -191,7 +154,7 @@ def _candidate_edges(reps: DataFrame) -> DataFrame:
     """Spanning edges (u, v) of the pairs that share a band and survive the pruning."""
     members = reps.select(F.explode("bands").alias("band"), "rep")
     sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
-    rows = _blocked(members, ["band"], F.col("rep"), sizes).join(reps.select("rep", "sig"), "rep")
+    rows = blocked(members, ["band"], F.col("rep"), sizes, BLOCK).join(reps.select("rep", "sig"), "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u, v = [], []
@@ -205,7 +168,7 @@ def _candidate_edges(reps: DataFrame) -> DataFrame:
                 u.append(ids[i[hit]])
                 v.append(ids[j[hit]])
 
-        for (_, bi, bj), (ids, sigs, sides) in _sorted_groups(batches, ["band", "bi", "bj"], ["rep", "sig", "side"]):
+        for (_, bi, bj), (ids, sigs, sides) in sorted_groups(batches, ["band", "bi", "bj"], ["rep", "sig", "side"]):
             n = len(ids)
             if n < 2:
                 continue
@@ -297,7 +260,7 @@ def _verified(docs: DataFrame, members: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds, us, vs, ns = [], [], [], []
-        for (_, bi, bj), (reps, weights, sets, sides) in _sorted_groups(batches, ["cluster", "bi", "bj"], ["rep", "weight", "sets", "side"]):
+        for (_, bi, bj), (reps, weights, sets, sides) in sorted_groups(batches, ["cluster", "bi", "bj"], ["rep", "weight", "sets", "side"]):
             n = len(reps)
             if n < 2:
                 continue
@@ -311,7 +274,7 @@ def _verified(docs: DataFrame, members: DataFrame) -> DataFrame:
             np.add.at(links, i, weight[j])
             np.add.at(links, j, weight[i])
             label = where.copy()
-            _merge(label, i, j)
+            merge(label, i, j)
             moved = np.flatnonzero(label != where)
             some = np.flatnonzero(links)
             kinds += [0] * len(moved) + [1] * len(some)
@@ -324,8 +287,8 @@ def _verified(docs: DataFrame, members: DataFrame) -> DataFrame:
         if kinds:
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(us, pa.int64()), pa.array(vs, pa.int64()), pa.array(ns, pa.int64())], names=["kind", "u", "v", "n"])
 
-    blocked = _blocked(rows, ["cluster"], F.col("digest"), sizes)
-    return (blocked.repartition("cluster", "bi", "bj").sortWithinPartitions("cluster", "bi", "bj", "side", "rep", "digest")
+    dealt = blocked(rows, ["cluster"], F.col("digest"), sizes, BLOCK)
+    return (dealt.repartition("cluster", "bi", "bj").sortWithinPartitions("cluster", "bi", "bj", "side", "rep", "digest")
             .select("cluster", "bi", "bj", "rep", "weight", "sets", "side").mapInArrow(run, "kind int, u long, v long, n long"))
 
 

@@ -71,3 +71,18 @@ counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
 SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n, 0)::BIGINT AS n_links
 FROM doc_words LEFT JOIN classes ON classes.u = doc_id LEFT JOIN counts ON counts.u = doc_id
 """
+
+EMBEDDINGS = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT DISTINCT u, u AS v FROM links UNION SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.v),
+components AS (SELECT u, min(v) AS c FROM reach GROUP BY u),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN components ON components.u = vec_id LEFT JOIN counts ON counts.u = vec_id
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm import arrow_shards, jaccard_join, language, mixing, oracles, packing, suffix_repeats, superkmer, toxicity
+from cohortlab.llm import ann_forest, arrow_shards, embedding_dedup, jaccard_join, language, mixing, oracles, packing, suffix_repeats, superkmer, toxicity
 from cohortlab.llm.common import read
 from cohortlab.session import scratch_dir
 
@@ -65,3 +65,13 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join", oracles.JACCARD)
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(read(spark, sf_dir, "documents"))
+
+
+@query("op7_embedding_dedup", oracles.EMBEDDINGS)
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.dedup(read(spark, sf_dir, "embeddings"))
+
+
+@query("op9_nearest_neighbours")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_forest.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
