@@ -10,10 +10,26 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlab.llm import mixing, packing
+from cohortlab.llm import jaccard_join, language, mixing, packing, superkmer
 from cohortlab.llm.common import keep, read
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in some language: those without text or without a letter (``und``) go."""
+    found = language.identify(docs, language.sample(docs))
+    return found.where(found.lang_pred != language.UND).select(*docs.columns)
+
+
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (Jaccard 0.8 on five-word shingles), the least ``doc_id``."""
+    return jaccard_join.apply_join(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words under 50-word windows that a document with a smaller id has; emptied documents go."""
+    return superkmer.apply_dedup(docs)
+
+
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.apply_mix(docs)
@@ -24,7 +40,8 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("mix_sources", mixed_sources), ("pack_sequences", packed_sequences)]
+STAGES = [("language_id", known_language), ("jaccard_join", one_of_each_class), ("substring_dedup", without_repeats),
+          ("mix_sources", mixed_sources), ("pack_sequences", packed_sequences)]
 
 #: Tokenizing is beyond SQL; tests hold the pipeline against brute force.
 ORACLE_SQL = None
