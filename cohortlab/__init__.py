@@ -7,7 +7,6 @@ Sub-packages:
 * ``operators`` DataFrame -> DataFrame operators (cohort dating, vitals, notes,
   phenotype, metrics)
 * ``plans``     composite jobs (topic model, model comparison) and the query registry
-* ``streaming`` incremental (Structured Streaming) forms of the batch jobs
 """
 
 from cohortlab.session import build_session, scratch_dir

@@ -79,6 +79,7 @@ def nan_to_null(c) -> Column:
 
 
 def argmax_class(scores) -> Column:
-    """0-based index of the largest score; ties go to the first index."""
+    """0-based index of the largest score; ties go to the first index, and a NULL or NaN score leaves no class."""
     scores = _c(scores)
-    return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
+    known = F.forall(scores, lambda s: s.isNotNull() & ~F.isnan(s))
+    return F.when(known, (F.array_position(scores, F.array_max(scores)) - 1).cast("int"))

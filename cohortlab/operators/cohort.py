@@ -6,9 +6,9 @@ diagnoses / procedures, ``subject_id, hadm_id, intime`` for ICU stays, and
 
 Scale notes
 -----------
-* ICU stays are reduced to one row per admission (first ``intime``) before any
-  join, so a diagnosis never pairs with every stay of its admission; each join
-  below is one-row-per-key on both sides.
+* The dating jobs reduce ICU stays to one row per admission (first day) before
+  any join, which cannot change a minimum; their joins are one-row-per-key on
+  both sides.  Only ``codes_icu_join`` pairs a code with every stay.
 * ``sepsis_date`` needs no join at all: diagnosis, procedure and stay rows are
   projected onto one shape and reduced by one partial (map-side) + final
   aggregate per admission, then one per patient — two shuffles, and a hot
@@ -45,17 +45,16 @@ def with_code_flag(codes: DataFrame, criterion: str, code_col: str = "icd9_code"
 
 def first_icu_time(stays: DataFrame) -> DataFrame:
     """One row per admission: ``subject_id, hadm_id, intime`` = first ICU day."""
-    return stays.groupBy(*ADMISSION).agg(F.min("intime").alias("intime"))
+    return stays.groupBy(*ADMISSION).agg(F.min(F.try_to_date("intime")).alias("intime"))
 
 
 def codes_icu_join(codes: DataFrame, stays: DataFrame) -> DataFrame:
-    """Code rows with the first ICU day of their admission (inner join on both keys).
+    """Every code row with every ICU stay of its admission (inner join on both keys).
 
-    Codes of admissions without an ICU stay drop out, as in the comma-join form;
-    the admission's stays are pre-reduced to their first day so the join is
-    many-to-one.
+    Codes of admissions without an ICU stay drop out.  The result is many-to-many by
+    definition; jobs that only need the first day use ``criterion_time``.
     """
-    return codes.join(first_icu_time(stays), ADMISSION)
+    return codes.join(stays.select(*ADMISSION, F.try_to_date("intime").alias("intime")), ADMISSION)
 
 
 def criterion_time(codes: DataFrame, stays: DataFrame, criterion: str,
@@ -130,7 +129,7 @@ def admission_summary(diagnoses: DataFrame, procedures: DataFrame, stays: DataFr
             no_time.alias("intime"))
 
     stay_rows = stays.select(*ADMISSION, *[F.lit(0).alias(c) for c in crits], F.lit(1).alias("has_stay"),
-                             F.col("intime"))
+                             F.try_to_date("intime").alias("intime"))
     rows = reduce(DataFrame.unionByName, [code_rows(diagnoses, "diagnoses"), code_rows(procedures, "procedures"),
                                           stay_rows])
     return rows.groupBy(*ADMISSION).agg(*[F.max(c).alias(c) for c in crits + ["has_stay"]],
@@ -143,7 +142,7 @@ def admission_summary(diagnoses: DataFrame, procedures: DataFrame, stays: DataFr
 
 def last_date(events: DataFrame, time_col: str) -> DataFrame:
     """``subject_id, final_date`` = latest calendar day of ``time_col`` per patient."""
-    return events.groupBy("subject_id").agg(F.max(F.to_date(time_col)).alias("final_date"))
+    return events.groupBy("subject_id").agg(F.max(F.try_to_date(time_col)).alias("final_date"))
 
 
 def last_record_date(sources: list[tuple[DataFrame, str]]) -> DataFrame:
@@ -153,7 +152,7 @@ def last_record_date(sources: list[tuple[DataFrame, str]]) -> DataFrame:
     single partial + final max, instead of one aggregate per table followed by
     another over their union.
     """
-    days = [df.select("subject_id", F.to_date(c).alias("d")) for df, c in sources]
+    days = [df.select("subject_id", F.try_to_date(c).alias("d")) for df, c in sources]
     return (reduce(DataFrame.unionByName, days)
             .groupBy("subject_id").agg(F.max("d").alias("final_date")))
 

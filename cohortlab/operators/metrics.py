@@ -9,31 +9,36 @@ Scale notes
 * Accuracy, batch accuracy, weighted means and the confusion matrix are plain
   partial/final aggregates.
 * The ROC curve needs a running total over scores in descending order — a
-  global order.  It is computed exactly without a single-task window: rows are
-  first reduced to one row per distinct score, scores are cut into ``nbins``
-  monotone buckets, the running total is taken inside each bucket (a window
-  partitioned by bucket) and offset by the total of all higher buckets (a
-  window over at most ``nbins`` bucket rows).  The result is identical to the
-  single global running sum.
+  global order.  Rows are reduced to one row per distinct score, range-partitioned
+  by it (Spark samples the scores, so partitions are even however they bunch), the
+  running total is taken inside each range and offset by the totals of all higher
+  ranges (one row per range).  The result is the single global running sum.
+* A row without a score (NULL or NaN) cannot be ranked: ROC and AUC leave it out,
+  and ``unscored`` counts such rows.  Accuracy counts a row without a prediction
+  as wrong.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.functions.expressions import argmax_class
+from cohortlab.session import keep
 
 
 def _is_pos(label: str) -> Column:
     return (F.col(label) == 1).cast("long")
 
 
+def _right(label: str, pred: str) -> Column:
+    """1.0 for a right prediction, 0.0 for a wrong or missing one."""
+    return F.coalesce(F.col(label) == F.col(pred), F.lit(False)).cast("double")
+
+
 def accuracy(preds: DataFrame, by=("model",), label: str = "y", pred: str = "h") -> DataFrame:
     """Share of rows with ``pred == label``, and the row count, per ``by`` group."""
-    return preds.groupBy(*by).agg(F.avg((F.col(label) == F.col(pred)).cast("double")).alias("accuracy"),
+    return preds.groupBy(*by).agg(F.avg(_right(label, pred)).alias("accuracy"),
                                   F.count(F.lit(1)).alias("n"))
 
 
@@ -41,7 +46,7 @@ def batch_accuracy(preds: DataFrame, batch: str = "batch_id", by=(), label: str
                    pred: str = "h") -> DataFrame:
     """Accuracy in percent per batch (``100 * correct / batch size``) and the batch size."""
     return preds.groupBy(*by, batch).agg(
-        (F.avg((F.col(label) == F.col(pred)).cast("double")) * 100.0).alias("accuracy_pct"),
+        (F.avg(_right(label, pred)) * 100.0).alias("accuracy_pct"),
         F.count(F.lit(1)).alias("n"))
 
 
@@ -75,63 +80,69 @@ def confusion_matrix(preds: DataFrame, classes=(0, 1), by=(), label: str = "y",
     return cells.withColumn("share", F.when(row_total > 0, F.col("n") / row_total))
 
 
-def _score_counts(preds: DataFrame, score: str, label: str, by) -> DataFrame:
-    return preds.groupBy(*by, F.col(score).alias("threshold")).agg(
+def scored(preds: DataFrame, score: str = "p") -> DataFrame:
+    """Rows that can be ranked: the score is neither NULL nor NaN."""
+    return preds.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+
+
+def unscored(preds: DataFrame, score: str = "p", by=()) -> DataFrame:
+    """``…by, n_unscored``: rows that ROC and AUC leave out."""
+    missing = (F.col(score).isNull() | F.isnan(F.col(score).cast("double"))).cast("long")
+    return preds.groupBy(*by).agg(F.sum(missing).alias("n_unscored"))
+
+
+def score_counts(preds: DataFrame, score: str = "p", label: str = "y", by=()) -> DataFrame:
+    """``…by, threshold, pos, neg``: positives and negatives of each distinct score."""
+    return scored(preds, score).groupBy(*by, F.col(score).alias("threshold")).agg(
         F.sum(_is_pos(label)).alias("pos"), F.sum(1 - _is_pos(label)).alias("neg"))
 
 
-def _bucket(threshold: Column, nbins: int) -> Column:
-    """Monotone bucket of any real score, in ``[0, nbins)``.
+def running_counts(points: DataFrame, by=()) -> DataFrame:
+    """``score_counts`` rows with ``tp``, ``fp`` (counts scored >= threshold) and the totals ``P``, ``N``.
 
-    Scores in [0, 1] (probabilities) are cut linearly into the middle half of the
-    buckets; scores below 0 / above 1 go to the first / last quarter through an
-    ``atan`` squash.  Order is preserved, so running totals stay exact.
+    The ranges are cut over (group, score) and written to the shared scratch folder with their
+    number, so the totals and the in-range sums see the same cut.
     """
-    q = max(nbins // 4, 1)
-    below = F.floor((F.lit(0.5) + F.atan(threshold) / F.lit(math.pi)) * (2 * q))           # [0, q)
-    inside = F.floor(threshold * (2 * q)) + q                                               # [q, 3q]
-    above = F.floor(F.atan(threshold - 1) / F.lit(math.pi) * (2 * q)) + 3 * q               # [3q, 4q]
-    b = F.when(threshold < 0, below).when(threshold <= 1, inside).otherwise(above)
-    return F.least(b, F.lit(4 * q - 1)).cast("int")
+    ranged = points.repartitionByRange(*by, F.col("threshold").desc()).withColumn("rng", F.spark_partition_id())
+    ranged = keep(ranged, "roc-ranges")
+    inside = Window.partitionBy(*by, "rng").orderBy(F.col("threshold").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    totals = ranged.groupBy(*by, "rng").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
+    higher = Window.partitionBy(*by).orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
+    offsets = totals.select(*by, "rng", F.coalesce(F.sum("bp").over(higher), F.lit(0)).alias("tp_off"),
+                            F.coalesce(F.sum("bn").over(higher), F.lit(0)).alias("fp_off"),
+                            F.sum("bp").over(whole).alias("P"), F.sum("bn").over(whole).alias("N"))
+    tp, fp = F.col("tp_off") + F.sum("pos").over(inside), F.col("fp_off") + F.sum("neg").over(inside)
+    return (ranged.join(offsets, [*by, "rng"])
+            .select(*by, "threshold", "pos", "neg", tp.alias("tp"), fp.alias("fp"), "P", "N"))
 
 
-def roc_curve(preds: DataFrame, score: str = "p", label: str = "y", by=(), nbins: int = 1024) -> DataFrame:
+def roc_curve(preds: DataFrame, score: str = "p", label: str = "y", by=()) -> DataFrame:
     """ROC points, one per distinct score: ``threshold, pos, neg, tp, fp, tpr, fpr``.
 
-    ``tp`` / ``fp`` count the positives / negatives scored >= threshold.  All
-    points are kept (no pruning of collinear points, no extra (0, 0) point).
+    All points are kept (no pruning of collinear points, no extra (0, 0) point);
+    rows without a score are left out of the points and of the totals.
     """
-    pts = _score_counts(preds, score, label, by).withColumn("bucket", _bucket(F.col("threshold"), nbins))
-    # one hash partitioning by (group, bucket) serves the in-bucket window and the bucket totals
-    pts = pts.repartition(*by, "bucket")
-    in_bucket = Window.partitionBy(*by, "bucket").orderBy(F.col("threshold").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    pts = (pts.withColumn("tp_in", F.sum("pos").over(in_bucket))
-           .withColumn("fp_in", F.sum("neg").over(in_bucket)))
-    buckets = pts.groupBy(*by, "bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
-    higher = Window.partitionBy(*by).orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
-    offsets = buckets.select(*by, "bucket",
-                             F.coalesce(F.sum("bp").over(higher), F.lit(0)).alias("tp_off"),
-                             F.coalesce(F.sum("bn").over(higher), F.lit(0)).alias("fp_off"),
-                             F.sum("bp").over(whole).alias("P"), F.sum("bn").over(whole).alias("N"))
-    out = pts.join(offsets, [*by, "bucket"])
-    tp, fp = F.col("tp_off") + F.col("tp_in"), F.col("fp_off") + F.col("fp_in")
-    return out.select(*by, "threshold", "pos", "neg", tp.alias("tp"), fp.alias("fp"),
-                      F.when(F.col("P") > 0, tp / F.col("P")).alias("tpr"),
-                      F.when(F.col("N") > 0, fp / F.col("N")).alias("fpr"))
-
-
-def auc(preds: DataFrame, score: str = "p", label: str = "y", by=(), nbins: int = 1024,
-        out: str = "auc") -> DataFrame:
+    out = running_counts(score_counts(preds, score, label, by), by)
+    return out.select(*by, "threshold", "pos", "neg", "tp", "fp",
+                      F.when(F.col("P") > 0, F.col("tp") / F.col("P")).alias("tpr"),
+                      F.when(F.col("N") > 0, F.col("fp") / F.col("N")).alias("fpr"))
+
+
+def auc(preds: DataFrame, score: str = "p", label: str = "y", by=(), out: str = "auc") -> DataFrame:
     """Area under the ROC curve (trapezoids; tied scores count one half).
 
     Equals ``sum over scores of neg(s) * (tp(s) - pos(s) / 2) / (P * N)``.
     With ``score`` = the hard label it is the "area" of hard predictions,
     ``(TPR + TNR) / 2``.
     """
-    roc = roc_curve(preds, score, label, by, nbins)
-    agg = roc.groupBy(*by).agg(F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0)).alias("num"),
-                               F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return auc_of_counts(running_counts(score_counts(preds, score, label, by), by), by, out)
+
+
+def auc_of_counts(points: DataFrame, by=(), out: str = "auc") -> DataFrame:
+    """AUC from ``running_counts`` rows; the products are taken in doubles, so counts may be of any size."""
+    pos, neg, tp = (F.col(c).cast("double") for c in ("pos", "neg", "tp"))
+    agg = points.groupBy(*by).agg(F.sum(neg * (tp - pos / 2.0)).alias("num"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return agg.select(*by, F.when((F.col("P") > 0) & (F.col("N") > 0),
-                                  F.col("num") / (F.col("P") * F.col("N"))).alias(out))
+                                  F.col("num") / (F.col("P").cast("double") * F.col("N").cast("double"))).alias(out))

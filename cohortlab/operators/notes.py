@@ -7,12 +7,11 @@ Scale notes
   tokenizing every note and counting (patient, term) pairs gives the same bag.
   That count is a partial/final aggregate, so a patient with a huge share of
   the notes is reduced map-side before any shuffle.
-* ``patient_terms`` never shuffles note text: the anchor table is broadcast
-  when a bounded count proves it small, and otherwise the tokens are counted
-  per (patient, note day, term) before the join.
-* ``notes_concat`` still exists for callers that want the joined text, but it
-  builds one string per patient (bounded by Spark's 2 GB row limit); the
-  topic features never call it.
+* ``patient_terms`` never shuffles note text: tokens are counted per (patient,
+  note day, term) before the join, whatever the size of the anchor table.
+* ``note_sequence`` keeps one row per (patient, note) with its position;
+  ``notes_concat`` joins them to one string per patient only for callers that
+  ask for it (a string is bounded by Spark's 2 GB); the topic features never do.
 * Top-k per group (``topk_per_group``) is exact and two-stage: a first
   window over (group, salt) keeps the k best of each salted slice, a second
   window over the group sees at most ``salt_buckets * k`` rows.  One group
@@ -25,7 +24,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.functions.text import STOP_WORDS, tokens
-from cohortlab.operators.joins import DEFAULT_BROADCAST_ROWS, hint_small
 
 ID = "subject_id"
 
@@ -40,11 +38,17 @@ def notes_before_anchor(patients: DataFrame, notes: DataFrame, anchor_col: str =
     return j.select(ID, "note_id", "chartdate", anchor_col, "text")
 
 
+def note_sequence(notes: DataFrame, order=("chartdate", "note_id")) -> DataFrame:
+    """``subject_id, position, <order>, text``: one row per note, numbered from 1 in (date, note id) order."""
+    place = F.row_number().over(Window.partitionBy(ID).orderBy(*order))
+    return notes.where(F.col("text").isNotNull()).select(ID, place.alias("position"), *order, "text")
+
+
 def notes_concat(notes: DataFrame, order=("chartdate", "note_id")) -> DataFrame:
     """``subject_id, text``: the patient's note texts joined by one space, in (date, note id) order."""
-    ordered = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], F.col("text").alias("_t"))))
-    return notes.where(F.col("text").isNotNull()).groupBy(ID).agg(
-        F.array_join(F.transform(ordered, lambda s: s["_t"]), " ").alias("text"))
+    rows = note_sequence(notes, order)
+    ordered = F.array_sort(F.collect_list(F.struct("position", F.col("text").alias("_t"))))
+    return rows.groupBy(ID).agg(F.array_join(F.transform(ordered, lambda s: s["_t"]), " ").alias("text"))
 
 
 def note_terms(notes: DataFrame, key: str = ID, drop_stop_words: bool = True) -> DataFrame:
@@ -55,23 +59,14 @@ def note_terms(notes: DataFrame, key: str = ID, drop_stop_words: bool = True) ->
     return t.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def patient_terms(patients: DataFrame, notes: DataFrame, anchor_col: str = "max_date",
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def patient_terms(patients: DataFrame, notes: DataFrame, anchor_col: str = "max_date") -> DataFrame:
     """``subject_id, term, n``: the bag of words of each patient's notes up to the anchor day.
 
-    Equal to ``note_terms(notes_before_anchor(patients, notes))``, planned by size:
-
-    * anchor table proven small (``max_broadcast_rows``): broadcast it, filter
-      the notes map-side, one aggregation — note text never crosses a shuffle;
-    * otherwise: count tokens per (patient, note day, term) first, so the join
-      to the anchor shuffles compact counts instead of note text, then sum per
-      (patient, term).
+    Equal to ``note_terms(notes_before_anchor(patients, notes))``.  Tokens are
+    counted per (patient, day, term) before the join, so no note text is
+    shuffled and a patient with many notes arrives pre-aggregated.
     """
     anchor = patients.select(F.col(ID).alias("_pid"), F.col(anchor_col).alias("_anchor"))
-    anchor, small = hint_small(anchor, max_broadcast_rows)
-    if small:
-        j = notes.join(anchor, (notes[ID] == anchor["_pid"]) & (notes["chartdate"] <= anchor["_anchor"]))
-        return note_terms(j.select(ID, "text"))
     per_day = (notes.select(ID, "chartdate", F.explode(tokens("text")).alias("term"))
                .where(~F.col("term").isin(STOP_WORDS))
                .groupBy(ID, "chartdate", "term").agg(F.count(F.lit(1)).alias("n")))

@@ -17,19 +17,19 @@ a single reading are 0.
 
 Scale notes
 -----------
-The wide table is computed in one pass: every row is tagged with the (at most
-two) periods it belongs to, exploded, and reduced by one aggregation keyed by
-(patient, period, vital); a pivot over the 20 explicit (period, vital) values
-then builds the row of each patient from at most 20 small rows.  The exact
-median keeps a value -> count map per group (map-side combined); vitals are
-recorded at fixed resolution, so the map is bounded by the number of distinct
-readings, not by the number of rows.  ``approx_median=True`` swaps in a
-fixed-size quantile sketch for groups with unbounded distinct values.
+The wide table is computed in one pass: readings are counted per (patient,
+vital, day, value), joined to the anchor, tagged with the (at most two) periods
+they belong to, and repartitioned by (patient, period, vital); a pivot over the
+20 explicit (period, vital) values then builds the row of each patient from at
+most 20 small rows.  Statistics are exact and come from (value, count) rows, so
+no group keeps more than its distinct values, and those are rows of a sorted,
+spillable window rather than a map in memory.  ``approx_median=True`` swaps in
+a fixed-size quantile sketch for the median.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.functions.codes import VITAL_ITEM_IDS, VITAL_LABELS
@@ -54,7 +54,7 @@ def label_vitals(chart: DataFrame) -> DataFrame:
     """Add ``label`` (NULL for non-vital ids) and ``chart_date``; NaN readings become NULL."""
     return (chart.withColumn("valuenum", nan_to_null("valuenum"))
             .withColumn("label", vital_label("itemid"))
-            .withColumn("chart_date", F.to_date("charttime")))
+            .withColumn("chart_date", F.try_to_date("charttime")))
 
 
 def with_last_day(patients: DataFrame) -> DataFrame:
@@ -70,7 +70,7 @@ def vitals_with_anchor(chart: DataFrame, patients: DataFrame) -> DataFrame:
 
     The patient side is one row per patient; the planner broadcasts it when its
     estimated size is under the broadcast threshold and otherwise shuffles both
-    sides on ``subject_id`` (AQE splits a skewed patient's partition).
+    sides on ``subject_id``.
     """
     return label_vitals(vitals_filter(chart)).join(with_last_day(patients), "subject_id")
 
@@ -88,8 +88,28 @@ def period_condition(period: str, strict_history: bool = False) -> Column:
     raise ValueError(period)
 
 
-def _median(c: str, approx: bool) -> Column:
-    return F.percentile_approx(c, 0.5, 10000) if approx else F.median(c)
+def value_counts(rows: DataFrame, keys) -> DataFrame:
+    """``…keys, valuenum, n``: rows per group and value (NULL values too), combined map-side."""
+    return rows.groupBy(*keys, "valuenum").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stats_of_counts(counted: DataFrame, keys, approx_median: bool = False, with_max: bool = True) -> DataFrame:
+    """Exact statistics per group from ``value_counts`` rows.
+
+    The variance is taken around the group's mean, which a window over the same
+    partitioning supplies.
+    """
+    x = F.col("valuenum")
+    n = F.when(x.isNotNull(), F.col("n"))
+    group = Window.partitionBy(*keys)
+    rows = counted.withColumn("_mean", F.sum(x * n).over(group) / F.sum(n).over(group))
+    aggs = [F.max("valuenum").alias("valuenum_max")] if with_max else []
+    median = F.percentile_approx(x, 0.5, 10000) if approx_median else F.percentile(x, F.lit(0.5), F.coalesce(n, F.lit(0)))
+    aggs += [median.cast("double").alias("valuenum_median"), F.first("_mean").alias("valuenum_mean"),
+             F.when(F.sum(n) > 1, F.sqrt(F.sum(n * (x - F.col("_mean")) * (x - F.col("_mean"))) / (F.sum(n) - 1)))
+             .alias("valuenum_std"),
+             F.sum("n").alias("valuenum_len")]
+    return rows.groupBy(*keys).agg(*aggs)
 
 
 def vital_stats(rows: DataFrame, keys=("subject_id", "label"), approx_median: bool = False,
@@ -97,15 +117,9 @@ def vital_stats(rows: DataFrame, keys=("subject_id", "label"), approx_median: bo
     """Per-group ``valuenum`` statistics: max, median, mean, sample std, len.
 
     ``len`` counts rows (missing values included); std is NULL for one value.
+    ``approx_median`` takes the median of the distinct values from a sketch.
     """
-    aggs = []
-    if with_max:
-        aggs.append(F.max("valuenum").alias("valuenum_max"))
-    aggs += [_median("valuenum", approx_median).cast("double").alias("valuenum_median"),
-             F.avg("valuenum").alias("valuenum_mean"),
-             F.stddev_samp("valuenum").alias("valuenum_std"),
-             F.count(F.lit(1)).alias("valuenum_len")]
-    return rows.groupBy(*keys).agg(*aggs)
+    return stats_of_counts(value_counts(rows, keys), keys, approx_median, with_max)
 
 
 def period_stats(chart: DataFrame, patients: DataFrame, period: str, strict_history: bool = False,
@@ -138,12 +152,17 @@ def period_wide(chart: DataFrame, patients: DataFrame, period: str, strict_histo
 def vitals_features(chart: DataFrame, patients: DataFrame, strict_history: bool = False,
                     approx_median: bool = False) -> DataFrame:
     """Patient columns + the 80 period/statistic/vital features (missing -> 0), one row per patient."""
-    rows = vitals_with_anchor(chart, patients)
+    # readings are counted per day before the join, so a hot patient arrives pre-aggregated
+    per_day = (label_vitals(vitals_filter(chart)).groupBy("subject_id", "label", "chart_date", "valuenum")
+               .agg(F.count(F.lit(1)).alias("n")))
+    rows = per_day.join(with_last_day(patients), "subject_id")
     tags = F.array_compact(F.array(*[F.when(period_condition(p, strict_history), F.lit(p)) for p in PERIODS]))
-    tagged = rows.select("subject_id", "label", "valuenum", F.explode(tags).alias("period"))
-    # key the statistics by (patient, pivot key) so the pivot's own grouping reuses their partitioning
-    tagged = tagged.withColumn("pk", F.concat_ws("__", "period", "label"))
-    stats = vital_stats(tagged, keys=("subject_id", "pk"), approx_median=approx_median, with_max=False)
+    tagged = rows.select("subject_id", "label", "valuenum", "n", F.explode(tags).alias("period"))
+    # an exchange on the full key above the join: the join may be skew-split, and one patient's
+    # twenty groups spread; the statistics and their window share this partitioning
+    tagged = tagged.withColumn("pk", F.concat_ws("__", "period", "label")).repartition("subject_id", "pk")
+    counted = tagged.groupBy("subject_id", "pk", "valuenum").agg(F.sum("n").alias("n"))
+    stats = stats_of_counts(counted, ["subject_id", "pk"], approx_median, with_max=False)
     names = {f"{p}__{lab}": (p, lab) for p in PERIODS for lab in VITAL_LABELS}
     wide = _pivot_wide(stats, list(names), "pk", names)
     feats = feature_columns()

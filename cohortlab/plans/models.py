@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -17,14 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlab.operators import metrics
-from cohortlab.session import cut_lineage
+from cohortlab.session import keep
 
 
 def hash_split(df: DataFrame, key: str = "subject_id", train_frac: float = 0.7, seed: int = 17,
                out: str = "split") -> DataFrame:
-    """Deterministic train / test split by a hash of the key (independent of partitioning)."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1000))
-    return df.withColumn(out, F.when(bucket < int(round(train_frac * 1000)), F.lit("train")).otherwise(F.lit("test")))
+    """Deterministic train / test split by the md5 of seed and key (independent of partitioning, repeatable in SQL)."""
+    digest = F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string")).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 6), 16, 10).cast("long")
+    return df.withColumn(out, F.when(bucket < int(round(train_frac * 16 ** 6)), F.lit("train")).otherwise(F.lit("test")))
 
 
 def feature_columns(df: DataFrame, label: str, exclude=("subject_id", "max_date", "split")) -> list[str]:
@@ -56,33 +58,32 @@ def scores(model: PipelineModel, data: DataFrame, key: str, label: str, name: st
                       vector_to_array("probability")[1].alias("p"))
 
 
-def sized_for_iteration(df: DataFrame, n_rows: int, rows_per_partition: int = 200_000) -> DataFrame:
-    """Repartition a training set so each iterative pass runs ~``rows_per_partition`` rows per task.
+def fit_and_score(data: DataFrame, feature_sets: dict[str, list[str]], label: str = "angus",
+                  key: str = "subject_id", seed: int = 17) -> tuple[DataFrame, dict[str, PipelineModel]]:
+    """Fit one logistic model per feature set on the train split and score the test split.
 
-    Iterative fitting launches one job per pass; too many tiny partitions make
-    task start-up dominate, too few starve the cluster.  Only ever reduces.
+    The split table is computed once, to the shared scratch folder; fits and scores read it from there.
     """
-    want = max(1, -(-n_rows // rows_per_partition))
-    return df.repartition(want) if df.rdd.getNumPartitions() > want else df
+    split = keep(hash_split(data, key, seed=seed).repartition(key), "split")
+    train, test = (split.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    n_train = train.count()
+    labelled = [(name, logistic_estimator(cols, label, n_train)) for name, cols in feature_sets.items()]
+    return fit_estimators(train, test, labelled, label, key)
 
 
-def fit_and_score(data: DataFrame, feature_sets: dict[str, list[str]], label: str = "angus",
-                  key: str = "subject_id", seed: int = 17) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Fit one logistic model per feature set on the train split; score the test split.
+def fit_estimators(train: DataFrame, test: DataFrame, labelled: list[tuple[str, Estimator]], label: str = "angus",
+                   key: str = "subject_id") -> tuple[DataFrame, dict[str, PipelineModel]]:
+    """Fit each (name, estimator) on ``train`` and score ``test``; returns the score table and the fitted models.
 
-    Returns the union of score tables and the fitted models.
+    An estimator is any whose model adds ``prediction`` and ``probability``.  The score table is
+    written once, so metrics over it do not score again.
     """
-    split = hash_split(data, key, seed=seed)
-    train = split.where(F.col("split") == "train")
-    n_train = train.count()
-    train = cut_lineage(sized_for_iteration(train, n_train))
-    test = split.where(F.col("split") == "test")
-    fitted, tables = {}, []
-    for name, cols in feature_sets.items():
-        m = logistic_estimator(cols, label, n_train).fit(train)
-        fitted[name] = m
-        tables.append(scores(m, test, key, label, name))
-    return reduce(DataFrame.unionByName, tables), fitted
+    # passes of an iterative fit read the columns from memory or, once lost, from the scratch folder
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    fitted = {name: estimator.fit(train) for name, estimator in labelled}
+    train.unpersist()
+    tables = [scores(m, test, key, label, name) for name, m in fitted.items()]
+    return keep(reduce(DataFrame.unionByName, tables), "scores"), fitted
 
 
 def comparison(score_table: DataFrame) -> DataFrame:

@@ -22,9 +22,6 @@ def _sql_flag(criterion: str, code_col: str = "icd9_code") -> str:
     return f"CASE WHEN coalesce({_sql_match(criterion, code_col)}, false) THEN 1 ELSE 0 END"
 
 
-_FIRST_STAY = "SELECT subject_id, hadm_id, min(intime) AS intime FROM icustays GROUP BY subject_id, hadm_id"
-
-
 def _sql_criterion_time(criterion: str, table: str) -> str:
     """Admissions with a code of the criterion and a stay: first stay day."""
     return (f"SELECT subject_id, hadm_id, 1 AS {criterion}, min(s.intime) AS {criterion}_time "
@@ -32,6 +29,10 @@ def _sql_criterion_time(criterion: str, table: str) -> str:
             f"JOIN icustays s USING (subject_id, hadm_id) GROUP BY subject_id, hadm_id")
 
 
+def _last_sql(table: str, col: str) -> str:
+    return f"SELECT subject_id, max(cast({col} AS date)) AS final_date FROM {table} GROUP BY subject_id"
+
+
 # --- flags (P6-P9) -----------------------------------------------------------
 
 def _flag_query(criterion: str, table: str, extra_cols: list[str]):
@@ -55,7 +56,7 @@ for _crit, _tab, _extra in [("infection", "diagnoses_icd", ["seq_num"]),
 # --- joins with ICU stays (J1, J2) --------------------------------------------
 
 @register("diag_icu_join", with_views(
-    f"SELECT A.subject_id, A.hadm_id, A.seq_num, A.icd9_code, B.intime FROM diagnoses_icd A JOIN ({_FIRST_STAY}) B "
+    "SELECT A.subject_id, A.hadm_id, A.seq_num, A.icd9_code, B.intime FROM diagnoses_icd A JOIN icustays B "
     "ON A.hadm_id = B.hadm_id AND A.subject_id = B.subject_id", "diagnoses_icd", "icustays"))
 def diag_icu_join(spark, d):
     c = Clinical(spark, d)
@@ -64,7 +65,7 @@ def diag_icu_join(spark, d):
 
 
 @register("proc_icu_join", with_views(
-    f"SELECT A.subject_id, A.hadm_id, A.icd9_code, B.intime FROM procedures_icd A JOIN ({_FIRST_STAY}) B "
+    "SELECT A.subject_id, A.hadm_id, A.icd9_code, B.intime FROM procedures_icd A JOIN icustays B "
     "ON A.hadm_id = B.hadm_id AND A.subject_id = B.subject_id", "procedures_icd", "icustays"))
 def proc_icu_join(spark, d):
     c = Clinical(spark, d)
@@ -113,20 +114,18 @@ def sepsis_infection_vent(spark, d):
 
 
 @register("later_of_dates", with_views(
-    f"SELECT X.subject_id, X.hadm_id, X.infection_time, Y.organ_dysfunction_time, "
-    f"CASE WHEN X.infection_time > Y.organ_dysfunction_time THEN X.infection_time ELSE Y.organ_dysfunction_time END "
-    f"AS later_date FROM ({_sql_criterion_time('infection', 'diagnoses_icd')}) X LEFT JOIN "
-    f"({_sql_criterion_time('organ_dysfunction', 'diagnoses_icd')}) Y USING (subject_id, hadm_id)",
-    "diagnoses_icd", "icustays"))
+    "SELECT X.subject_id, X.final_date AS chart_date, Y.final_date AS note_date, "
+    "CASE WHEN X.final_date > Y.final_date THEN X.final_date ELSE Y.final_date END AS later_date "
+    f"FROM ({_last_sql('chartevents', 'charttime')}) X LEFT JOIN ({_last_sql('noteevents', 'charttime')}) Y USING (subject_id)",
+    "chartevents", "noteevents"))
 def later_of_dates(spark, d):
-    """Later-of over a left join, so the right side is often NULL (result is then NULL)."""
+    """Later of two days that differ either way: a patient's last chart day and last note day."""
     from cohortlab.functions.expressions import later_of
     c = Clinical(spark, d)
-    x = cohort.criterion_time(c.diagnoses_icd, c.icustays, "infection")
-    y = cohort.criterion_time(c.diagnoses_icd, c.icustays, "organ_dysfunction")
-    return (x.join(y, cohort.ADMISSION, "left")
-            .select("subject_id", "hadm_id", "infection_time", "organ_dysfunction_time",
-                    later_of("infection_time", "organ_dysfunction_time").alias("later_date")))
+    x = cohort.last_date(c.chartevents, "charttime").withColumnRenamed("final_date", "chart_date")
+    y = cohort.last_date(c.noteevents, "charttime").withColumnRenamed("final_date", "note_date")
+    return x.join(y, "subject_id", "left").select("subject_id", "chart_date", "note_date",
+                                                  later_of("chart_date", "note_date").alias("later_date"))
 
 
 # --- sepsis date (K1, flagship) ----------------------------------------------------
@@ -158,10 +157,6 @@ def sepsis_date_branches(spark, d):
 
 # --- last record date (K2: A1-A4, U1) -------------------------------------------------
 
-def _last_sql(table: str, col: str) -> str:
-    return f"SELECT subject_id, max(cast({col} AS date)) AS final_date FROM {table} GROUP BY subject_id"
-
-
 @register("last_lab_date", with_views(_last_sql("labevents", "charttime"), "labevents"))
 def last_lab_date(spark, d):
     return cohort.last_date(Clinical(spark, d).labevents, "charttime")
@@ -172,18 +167,18 @@ def last_chart_date(spark, d):
     return cohort.last_date(Clinical(spark, d).chartevents, "charttime")
 
 
-@register("last_note_date", with_views(_last_sql("noteevents", "chartdate"), "noteevents"))
+@register("last_note_date", with_views(_last_sql("noteevents", "charttime"), "noteevents"))
 def last_note_date(spark, d):
-    return cohort.last_date(Clinical(spark, d).noteevents, "chartdate")
+    return cohort.last_date(Clinical(spark, d).noteevents, "charttime")
 
 
 LAST_RECORD_SQL = (
     f"SELECT subject_id, max(final_date) AS final_date FROM ({_last_sql('labevents', 'charttime')} UNION ALL "
-    f"{_last_sql('chartevents', 'charttime')} UNION ALL {_last_sql('noteevents', 'chartdate')}) U GROUP BY subject_id")
+    f"{_last_sql('chartevents', 'charttime')} UNION ALL {_last_sql('noteevents', 'charttime')}) U GROUP BY subject_id")
 
 
 def last_record_sources(c: Clinical):
-    return [(c.labevents, "charttime"), (c.chartevents, "charttime"), (c.noteevents, "chartdate")]
+    return [(c.labevents, "charttime"), (c.chartevents, "charttime"), (c.noteevents, "charttime")]
 
 
 @register("last_record_date", with_views(LAST_RECORD_SQL, "labevents", "chartevents", "noteevents"))
@@ -193,11 +188,20 @@ def last_record_date(spark, d):
 
 # --- patient details (J11 / K4) --------------------------------------------------------
 
-@register("patient_details", with_views(
+DETAILS_SQL = (
     f"SELECT coalesce(L.subject_id, S.subject_id) AS subject_id, coalesce(S.sepsis_date, L.final_date) AS max_date, "
     f"CASE WHEN S.sepsis_date IS NULL THEN 0 ELSE 1 END AS angus FROM ({LAST_RECORD_SQL}) L FULL OUTER JOIN "
-    f"({SEPSIS_DATE_BODY}) S ON L.subject_id = S.subject_id",
-    "labevents", "chartevents", "noteevents", "diagnoses_icd", "procedures_icd", "icustays"))
+    f"({SEPSIS_DATE_BODY}) S ON L.subject_id = S.subject_id")
+DETAILS_VIEWS = ("labevents", "chartevents", "noteevents", "diagnoses_icd", "procedures_icd", "icustays")
+
+
+def with_details(sql: str) -> str:
+    """``sql`` over a ``patient_anchor`` that is the patient details computed from the clinical tables."""
+    return with_views(f"WITH patient_anchor AS (SELECT *, 0 AS first_admit_age FROM ({DETAILS_SQL}) x)\n"
+                      + (f",{sql.lstrip()[5:]}" if sql.lstrip()[:5].upper() == "WITH " else sql), *DETAILS_VIEWS)
+
+
+@register("patient_details", with_views(DETAILS_SQL, *DETAILS_VIEWS))
 def patient_details(spark, d):
     c = Clinical(spark, d)
     return cohort.patient_details(cohort.last_record_date(last_record_sources(c)),

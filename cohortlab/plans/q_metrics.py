@@ -25,12 +25,12 @@ def _two_models(spark, d):
 
 
 _TWO_MODELS_SQL = ("SELECT 'fixture_label' AS model, doc_id, y, h, p FROM predictions UNION ALL "
-                   "SELECT 'fixture_argmax' AS model, doc_id, y, CASE WHEN p > 1 - p THEN 1 ELSE 0 END AS h, p "
+                   "SELECT 'fixture_argmax' AS model, doc_id, y, CASE WHEN p IS NULL OR isnan(p) THEN NULL WHEN p > 1 - p THEN 1 ELSE 0 END AS h, p "
                    "FROM predictions")
 
 
 @register("argmax_class", with_views(
-    "SELECT doc_id, y, CASE WHEN p > 1 - p THEN 1 ELSE 0 END AS h_argmax, round(p, 6) AS class1_score "
+    "SELECT doc_id, y, CASE WHEN p IS NULL OR isnan(p) THEN NULL WHEN p > 1 - p THEN 1 ELSE 0 END AS h_argmax, round(p, 6) AS class1_score "
     "FROM predictions", "predictions"))
 def argmax_class(spark, d):
     p = _preds(spark, d).withColumn("scores", F.array(1 - F.col("p"), F.col("p")))
@@ -88,7 +88,8 @@ _ROC_SQL = ("SELECT threshold, pos, neg, tp, fp, CASE WHEN P > 0 THEN tp / P END
             "cast(sum(neg) OVER (ORDER BY threshold DESC) AS BIGINT) AS fp, "
             "sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM (SELECT {score} AS threshold, "
             "cast(sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos, "
-            "cast(sum(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg FROM predictions GROUP BY 1) s) r")
+            "cast(sum(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg FROM predictions "
+            "WHERE {score} IS NOT NULL AND NOT isnan(cast({score} AS double)) GROUP BY 1) s) r")
 
 
 @register("roc_curve", with_views(

@@ -9,8 +9,8 @@ from cohortlab.operators import notes as notes_ops
 from cohortlab.operators import vitals
 from cohortlab.plans import models, topics
 from cohortlab.plans.catalog import register
-from cohortlab.session import scratch_dir
-from cohortlab.sources.tables import Clinical
+from cohortlab.session import keep, scratch_dir
+from cohortlab.sources.tables import Clinical, with_views
 
 LABEL = "angus"
 
@@ -52,7 +52,9 @@ def features_with_topics(spark, d):
     return _features_with_topics(spark, d)
 
 
-@register("train_test_split")
+@register("train_test_split", with_views(
+    "SELECT subject_id, angus, CASE WHEN cast('0x' || left(md5('17-' || cast(subject_id AS varchar)), 6) AS BIGINT) "
+    "< 11744051 THEN 'train' ELSE 'test' END AS split FROM patient_anchor", "patient_anchor"))
 def train_test_split(spark, d):
     return models.hash_split(_features(spark, d)).select("subject_id", LABEL, "split")
 
@@ -79,10 +81,12 @@ def top_coefficients(spark, d):
     return models.top_coefficients(fitted["logistic"], cols, 15)
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", with_views(
+    "SELECT subject_id, angus AS y, TRUE AS equal FROM patient_anchor WHERE "
+    "cast('0x' || left(md5('17-' || cast(subject_id AS varchar)), 6) AS BIGINT) >= 11744051", "patient_anchor"))
 def model_roundtrip(spark, d):
-    """Fit, save to the shared scratch folder, load back, and score with both: ``p_saved == p_loaded``."""
-    data = models.hash_split(_features(spark, d))
+    """Fit, save to the shared scratch folder, load back, and score with both: are the scores equal?"""
+    data = keep(models.hash_split(_features(spark, d)), "split")
     cols = models.feature_columns(data, LABEL)
     train = data.where(F.col("split") == "train")
     m = models.logistic_estimator(cols, LABEL, train.count()).fit(train)
@@ -92,4 +96,4 @@ def model_roundtrip(spark, d):
     test = data.where(F.col("split") == "test")
     a = models.scores(m, test, "subject_id", LABEL, "saved").select("subject_id", "y", F.col("p").alias("p_saved"))
     b = models.scores(loaded, test, "subject_id", LABEL, "loaded").select("subject_id", F.col("p").alias("p_loaded"))
-    return a.join(b, "subject_id")
+    return a.join(b, "subject_id").select("subject_id", "y", (F.col("p_saved") == F.col("p_loaded")).alias("equal"))

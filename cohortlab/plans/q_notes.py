@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.functions.text import STOP_WORDS, tokens, without_stop_words
 from cohortlab.operators import notes
+from cohortlab.plans import q_cohort
 from cohortlab.plans.catalog import register
 from cohortlab.sources.tables import Clinical, with_views
 
@@ -37,25 +38,20 @@ def notes_concat(spark, d):
     return notes.notes_concat(_notes(spark, d))
 
 
-@register("tokenize", (
-    f"SELECT doc_id, len({_TOK_SQL}) AS n_tokens, len(list_distinct({_TOK_SQL})) AS n_distinct, "
-    f"length(array_to_string({_TOK_SQL}, '')) AS n_letters FROM documents"))
+@register("tokenize", f"SELECT doc_id, pos, term FROM (SELECT doc_id, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos "
+                      f"FROM (SELECT doc_id, {_TOK_SQL} AS toks FROM documents) t) u")
 def tokenize(spark, d):
+    """One row per token of every document, with its position."""
     docs = Clinical(spark, d).raw("documents").select("doc_id", tokens("text").alias("tok"))
-    return docs.select("doc_id", F.size("tok").cast("long").alias("n_tokens"),
-                       F.size(F.array_distinct("tok")).cast("long").alias("n_distinct"),
-                       F.length(F.array_join("tok", "")).cast("long").alias("n_letters"))
+    return docs.select("doc_id", F.posexplode("tok").alias("pos", "term")).select("doc_id", F.col("pos").cast("long").alias("pos"), "term")
 
 
-@register("stopword_filter", (
-    f"SELECT d.doc_id, coalesce(k.n_kept, 0) AS n_kept, coalesce(k.n_removed, 0) AS n_removed FROM documents d "
-    f"LEFT JOIN (SELECT doc_id, count(*) FILTER (WHERE term NOT IN ({_STOP_SQL})) AS n_kept, "
-    f"count(*) FILTER (WHERE term IN ({_STOP_SQL})) AS n_removed FROM (SELECT doc_id, unnest({_TOK_SQL}) AS term "
-    f"FROM documents) t GROUP BY doc_id) k ON d.doc_id = k.doc_id"))
+@register("stopword_filter", f"SELECT doc_id, array_to_string(list_filter({_TOK_SQL}, lambda w: w NOT IN ({_STOP_SQL})), ' ') AS kept "
+                             f"FROM documents")
 def stopword_filter(spark, d):
+    """The tokens that stay, in order, joined by a blank."""
     docs = Clinical(spark, d).raw("documents").select("doc_id", tokens("text").alias("tok"))
-    kept = F.size(without_stop_words("tok")).cast("long")
-    return docs.select("doc_id", kept.alias("n_kept"), (F.size("tok") - kept).alias("n_removed"))
+    return docs.select("doc_id", F.array_join(without_stop_words("tok"), " ").alias("kept"))
 
 
 @register("note_terms", with_views(_BAG_SQL, "noteevents", "patient_anchor"))
@@ -83,3 +79,24 @@ def topk_per_group(spark, d):
     counts = notes.note_terms(docs, key="lang")
     return notes.topk_per_group(counts, "lang", [F.col("n").desc(), F.col("term").asc()], TOP_K, salt_col="term")\
         .select("lang", "term", "n", F.col("rank").cast("int").alias("rank"))
+
+
+_VECTORS_SQL = (f"SELECT b.subject_id, v.idx, b.n FROM ({_BAG_SQL}) b JOIN (SELECT cast(row_number() OVER (ORDER BY term_count DESC, term) - 1 "
+                f"AS INTEGER) AS idx, term FROM (SELECT term, sum(n) AS term_count FROM ({_BAG_SQL}) x GROUP BY term) s "
+                f"QUALIFY row_number() OVER (ORDER BY term_count DESC, term) <= {VOCAB_SIZE}) v USING (term)")
+
+
+@register("count_vectors", with_views(_VECTORS_SQL, "noteevents", "patient_anchor"))
+def count_vectors(spark, d):
+    """Entries of the count vectors, read back out of the vectors."""
+    from cohortlab.plans import topics
+    c = Clinical(spark, d)
+    bag = notes.patient_terms(c.patient_anchor, c.noteevents)
+    _, docs = topics.vectors_from_bag(bag, _notes(spark, d).select("subject_id").distinct(), VOCAB_SIZE)
+    return topics.vector_entries(docs)
+
+
+@register("note_terms_from_details", q_cohort.with_details(_BAG_SQL))
+def note_terms_from_details(spark, d):
+    """The chained job: dates, patient details, bag of words."""
+    return notes.patient_terms(q_cohort.patient_details(spark, d), Clinical(spark, d).noteevents)

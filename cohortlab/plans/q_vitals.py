@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.functions.codes import ITEM_ID_TO_LABEL, VITAL_ITEM_IDS, VITAL_LABELS
 from cohortlab.operators import vitals
+from cohortlab.plans import q_cohort
 from cohortlab.plans.catalog import r6, register
 from cohortlab.sources.tables import Clinical, with_views
 
@@ -140,3 +141,9 @@ def vitals_features_strict(spark, d):
     """The wide table with the history period stopped at the last observation day (no later rows)."""
     c = Clinical(spark, d)
     return _rounded_wide(vitals.vitals_features(c.chartevents, c.patient_anchor, strict_history=True))
+
+
+@register("vitals_features_from_details", q_cohort.with_details(_wide_sql(vitals.PERIODS, ["subject_id", "max_date", "angus"])))
+def vitals_features_from_details(spark, d):
+    """The chained job: dates, patient details, vital features."""
+    return _rounded_wide(vitals.vitals_features(Clinical(spark, d).chartevents, q_cohort.patient_details(spark, d)))

@@ -22,44 +22,60 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LocalLDAModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from cohortlab.operators import notes as notes_ops
-from cohortlab.plans.models import sized_for_iteration
-from cohortlab.session import cut_lineage
+from cohortlab.session import keep, scratch_dir
 
 NUM_TOPICS = 20
 VOCAB_SIZE = 10000
 MAX_ITER = 2
 MINI_BATCH_ITER_BASE = 100  # the mini-batch fraction is 2 / this + 1 / corpus size
 TOP_TERMS = 100
-
-
-def _sparse_builder(size: int):
-    @F.udf(VectorUDT())
-    def build(indices, counts):
-        # one patient's sorted term indices and counts: at most `size` of each
-        if not indices:
-            return SparseVector(size, [], [])
-        return SparseVector(size, indices, [float(c) for c in counts])
-    return build
+DOC_PARTITIONS = 64  # of the count vectors: a mini-batch is sampled per partition, so their number is part of the model
 
 
 def count_vectors(bag: DataFrame, vocab: DataFrame, doc_keys: DataFrame, size: int,
                   key: str = "subject_id") -> DataFrame:
-    """``<key>, features``: sparse term-count vector per document over the vocabulary index."""
+    """``<key>, features``: sparse term-count vector per document over the vocabulary index.
+
+    The vector's stored form (type 0, size, indices, values) is built from columns,
+    written to the shared scratch folder and read back as vectors: no Python per row.
+    Rows are partitioned and sorted by the key, so later passes see the same partitions
+    whatever the input's were.
+    """
+    # at most ``vocab_size`` rows
     indexed = bag.join(F.broadcast(vocab.select("term", "idx")), "term")
     per_doc = indexed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "n"))).alias("entries"))
-    docs = doc_keys.join(per_doc, key, "left")
-    # plain int / long arrays cross into Python much faster than an array of structs
-    idx = F.transform("entries", lambda e: e["idx"])
-    cnt = F.transform("entries", lambda e: e["n"])
-    return docs.select(key, _sparse_builder(size)(idx, cnt).alias("features"))
+    docs = doc_keys.join(per_doc, key, "left").withColumn("entries", F.coalesce("entries", F.expr("array()")))
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                      F.transform("entries", lambda e: e["idx"].cast("int")).alias("indices"),
+                      F.transform("entries", lambda e: e["n"].cast("double")).alias("values"))
+    rows = docs.select(key, vector.alias("features")).repartition(DOC_PARTITIONS, key).sortWithinPartitions(key)
+    path = scratch_dir(bag.sparkSession, "count-vectors")
+    rows.write.parquet(path)
+    schema = StructType([docs.schema[key], StructField("features", VectorUDT())])
+    return bag.sparkSession.read.schema(schema).parquet(path)
+
+
+def vector_entries(docs: DataFrame, key: str = "subject_id") -> DataFrame:
+    """``<key>, idx, n``: the entries of the count vectors."""
+    dense = docs.select(key, F.posexplode(vector_to_array("features")).alias("idx", "v")).where("v > 0")
+    return dense.select(key, "idx", F.col("v").cast("long").alias("n"))
+
+
+def vectors_from_bag(bag: DataFrame, doc_keys: DataFrame, vocab_size: int = VOCAB_SIZE,
+                     key: str = "subject_id") -> tuple[DataFrame, DataFrame]:
+    """(vocabulary, count vectors) of a (key, term, n) bag; the notes are tokenized once."""
+    bag = keep(bag, "bag")
+    vocab = keep(notes_ops.vocabulary(bag, vocab_size, key=key), "vocabulary")  # <= vocab_size rows
+    n_terms = vocab.count()  # the vector size, as a count vectorizer sets it
+    return vocab, count_vectors(bag, vocab, doc_keys, max(n_terms, 1), key)
 
 
 def mini_batch_fraction(corpus_size: int) -> float:
@@ -90,24 +106,17 @@ class TopicModel:
 
 
 def fit_topics(notes: DataFrame, k: int = NUM_TOPICS, vocab_size: int = VOCAB_SIZE, max_iter: int = MAX_ITER,
-               seed: int = 6250, key: str = "subject_id") -> TopicModel:
+               seed: int = 41, key: str = "subject_id") -> TopicModel:
     """Fit the note topic model on one document per ``key`` (notes: ``key, text``)."""
     return fit_topics_from_bag(notes_ops.note_terms(notes, key=key), notes.select(key).distinct(),
                                k, vocab_size, max_iter, seed, key)
 
 
 def fit_topics_from_bag(bag: DataFrame, doc_keys: DataFrame, k: int = NUM_TOPICS, vocab_size: int = VOCAB_SIZE,
-                        max_iter: int = MAX_ITER, seed: int = 6250, key: str = "subject_id") -> TopicModel:
+                        max_iter: int = MAX_ITER, seed: int = 41, key: str = "subject_id") -> TopicModel:
     """Fit on a (key, term, n) bag; ``doc_keys`` lists every document (empty ones included)."""
-    # the bag feeds both the vocabulary and the vectors: tokenize the notes once
-    bag = bag.persist(StorageLevel.MEMORY_AND_DISK)
-    vocab = cut_lineage(notes_ops.vocabulary(bag, vocab_size, key=key))  # <= vocab_size rows
-    n_terms = vocab.count()  # <= vocab_size; the vector size, as a count vectorizer sets it
-    corpus_size = doc_keys.count()
-    # one row per document: size the partitions for the iterative passes, then keep them
-    docs = cut_lineage(sized_for_iteration(count_vectors(bag, vocab, doc_keys, max(n_terms, 1), key), corpus_size,
-                                           rows_per_partition=20_000))
-    bag.unpersist()
+    vocab, docs = vectors_from_bag(bag, doc_keys, vocab_size, key)
+    corpus_size = docs.count()
     lda = LDA(k=k, maxIter=max_iter, optimizer="online", subsamplingRate=mini_batch_fraction(corpus_size),
               optimizeDocConcentration=False, seed=seed, featuresCol="features")
     model = lda.fit(docs)

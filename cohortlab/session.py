@@ -8,7 +8,9 @@ session runs in local mode and the setting is unset (tests, the bench).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -68,7 +70,8 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int | Non
     return spark
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+def _ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder; a cluster session without one is an error."""
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if base:
@@ -77,9 +80,11 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     if conf:
         sc.setCheckpointDir(conf)
     elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlab-ckpt-"))
+        local = tempfile.mkdtemp(prefix="cohortlab-ckpt-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        sc.setCheckpointDir(local)
     else:
-        return None
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running cohortlab jobs")
     return sc.getCheckpointDir()
 
 
@@ -87,11 +92,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of ``df`` into the shared checkpoint folder (eager).
 
     Used before iterative fits so that a lost executor re-reads the checkpoint
-    instead of recomputing the whole upstream plan.  Without a checkpoint folder
-    on a cluster the frame is only persisted (memory and disk).
+    instead of recomputing the whole upstream plan.  Like every job that needs the
+    folder, it is an error on a cluster without ``spark.checkpoint.dir``.
     """
-    if _ensure_checkpoint_dir(df.sparkSession) is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    _ensure_checkpoint_dir(df.sparkSession)
     # persisted first, so writing the checkpoint files re-reads the cached rows
     # instead of running the plan a second time
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -109,7 +113,15 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     because executors cannot see each other's local disks.
     """
     base = _ensure_checkpoint_dir(spark)
-    if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running cohortlab jobs")
     leaf = f"{name or 'tmp'}-{uuid.uuid4().hex[:12]}"
     return base.rstrip("/") + "/" + leaf
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared scratch folder and read back.
+
+    Cuts the lineage and survives lost executors; later plans read it column-pruned.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -69,10 +69,8 @@ def diagnoses_icd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def procedures_icd(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = _mod_lookup(F.col("l_suppkey"), 10, [(0, "9670"), (1, "9671"), (2, "9672"), (3, "967")], "3893")
-    return (_line_orders(spark, sf_dir, "l_suppkey", "l_linenumber")
-            .where(F.col("l_linenumber") == 1)
-            .select(F.col("o_custkey").alias("subject_id"), F.col("l_orderkey").alias("hadm_id"),
-                    code.alias("icd9_code")))
+    return _line_orders(spark, sf_dir, "l_suppkey").select(
+        F.col("o_custkey").alias("subject_id"), F.col("l_orderkey").alias("hadm_id"), code.alias("icd9_code"))
 
 
 def chartevents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,10 +96,13 @@ def labevents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def noteevents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes with their chart date and, for three of four, a chart time up to two days later."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    later = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30 + F.col("doc_id") % 3).cast("int"))
+    charttime = F.when(F.col("doc_id") % 4 != 0, F.concat(later.cast("string"), F.lit(" 19:08:00")))
     return docs.select((F.col("doc_id") % 150).alias("subject_id"),
                        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 30).cast("int")).alias("chartdate"),
-                       F.col("doc_id").alias("note_id"), "text")
+                       charttime.alias("charttime"), F.col("doc_id").alias("note_id"), "text")
 
 
 def patient_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,9 +129,11 @@ def dm_diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    r = (F.col("doc_id") * 37) % 100
-    return lab.select("doc_id", F.col("quality").alias("y"), (r.cast("double") / 100).alias("p"),
-                      F.when(r >= 50, F.lit(1)).otherwise(F.lit(0)).alias("h"))
+    """Predictions; one row in 13 has no score, one in 17 a NaN score, one in 19 no predicted class."""
+    r, i = (F.col("doc_id") * 37) % 100, F.col("doc_id")
+    p = (F.when(i % 13 == 5, F.lit(None)).when(i % 17 == 5, F.lit(float("nan"))).otherwise(r.cast("double") / 100))
+    return lab.select("doc_id", F.col("quality").alias("y"), p.cast("double").alias("p"),
+                      F.when(i % 19 == 5, F.lit(None)).when(r >= 50, F.lit(1)).otherwise(F.lit(0)).alias("h"))
 
 
 VIEWS = {
@@ -173,7 +176,7 @@ VIEW_SQL = {
                      "FROM lineitem JOIN orders ON l_orderkey=o_orderkey",
     "procedures_icd": "SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, CASE l_suppkey % 10 WHEN 0 THEN '9670' "
                       "WHEN 1 THEN '9671' WHEN 2 THEN '9672' WHEN 3 THEN '967' ELSE '3893' END AS icd9_code "
-                      "FROM lineitem JOIN orders ON l_orderkey=o_orderkey WHERE l_linenumber=1",
+                      "FROM lineitem JOIN orders ON l_orderkey=o_orderkey",
     "chartevents": "SELECT user_id AS subject_id, ts AS charttime, CASE WHEN event_id % 7 = 0 THEN 999999 "
                    "WHEN event_type='click' THEN CASE WHEN event_id % 2 = 0 THEN 211 ELSE 220045 END "
                    "WHEN event_type='view' THEN CASE WHEN event_id % 2 = 0 THEN 442 ELSE 224167 END "
@@ -183,7 +186,8 @@ VIEW_SQL = {
                  "'Glucose' WHEN '2-HIGH' THEN 'Fasting Glucose' WHEN '3-MEDIUM' THEN 'glucose' WHEN '5-LOW' THEN "
                  "'Sodium' ELSE 'Glucose, Serum' END AS test_name, o_totalprice/2000 AS value FROM orders",
     "noteevents": "SELECT doc_id % 150 AS subject_id, cast(date '2024-01-01' + cast(doc_id % 30 AS int) AS date) "
-                  "AS chartdate, doc_id AS note_id, text FROM documents",
+                  "AS chartdate, CASE WHEN doc_id % 4 <> 0 THEN cast(cast(date '2024-01-01' + cast(doc_id % 30 + doc_id % 3 AS int) "
+                  "AS date) AS varchar) || ' 19:08:00' END AS charttime, doc_id AS note_id, text FROM documents",
     "patient_anchor": "SELECT user_id AS subject_id, cast(date '2024-01-15' + cast(user_id % 15 AS int) AS date) "
                       "AS max_date, CASE WHEN user_id % 3 = 0 THEN 1 ELSE 0 END AS angus, 20 + user_id % 70 AS "
                       "first_admit_age FROM (SELECT DISTINCT user_id FROM events) u",
@@ -193,8 +197,9 @@ VIEW_SQL = {
     "dm_diagnoses": "SELECT o_custkey AS subject_id, cast(l_shipdate AS date) AS dx_date, CASE l_partkey % 60 WHEN 0 "
                     "THEN '250.00' WHEN 1 THEN '250.02' WHEN 2 THEN '250.01' WHEN 3 THEN '790.21' ELSE '401.9' END "
                     "AS code FROM lineitem JOIN orders ON l_orderkey=o_orderkey",
-    "predictions": "SELECT doc_id, quality AS y, cast((doc_id * 37) % 100 AS double)/100 AS p, CASE WHEN "
-                   "(doc_id * 37) % 100 >= 50 THEN 1 ELSE 0 END AS h FROM labels",
+    "predictions": "SELECT doc_id, quality AS y, CASE WHEN doc_id % 13 = 5 THEN NULL WHEN doc_id % 17 = 5 THEN "
+                   "cast('NaN' AS double) ELSE cast((doc_id * 37) % 100 AS double)/100 END AS p, CASE WHEN doc_id % 19 = 5 "
+                   "THEN NULL WHEN (doc_id * 37) % 100 >= 50 THEN 1 ELSE 0 END AS h FROM labels",
 }
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cohortlab.functions.codes import NOTE_STOP_WORDS, T2DM_MED, distinct
 from cohortlab.functions.expressions import later_of, nan_to_null, parse_iso_date, parse_us_date, prefix_flag
 from cohortlab.operators import vitals
+from cohortlab.session import scratch_dir
 from cohortlab.sources import files
 
 
@@ -67,7 +68,7 @@ def test_quoted_multiline_csv_and_malformed_rows(spark):
         f.write('2,11,plain note\n')
         f.write('3,12,too,many,fields\n')
         f.write('4\n')
-    df = files.load_csv_as_table(spark, path, "ROW_ID long, SUBJECT_ID long, TEXT string")
+    df = files.load_csv_as_table(spark, path, "ROW_ID long, SUBJECT_ID long, TEXT string", multi_line=True)
     rows = sorted(df.collect(), key=lambda r: r["ROW_ID"])
     assert [r["ROW_ID"] for r in rows] == [1, 2]
     assert rows[0]["TEXT"] == 'first line\nsecond "quoted" line'
@@ -121,17 +122,25 @@ def test_headerless_csv_and_bulk_registration(spark):
     assert spark.sql("SELECT max(to_date(charttime)) FROM LABEVENTS").collect()[0][0] == dt.date(2101, 10, 20)
 
 
-def test_single_file_sink_is_guarded(spark):
-    from cohortlab.session import scratch_dir
+def test_single_file_sink(spark):
     df = spark.range(10).withColumnRenamed("id", "subject_id")
-    out = files.write_single_csv(df, scratch_dir(spark, "single"), max_rows=10)
+    out = files.write_single_csv(df, scratch_dir(spark, "single"))
     back = files.read_csv(spark, out, "subject_id long")
-    assert back.count() == 10 and back.inputFiles() and len([f for f in back.inputFiles() if f.endswith(".csv")]) == 1
-    try:
-        files.write_single_csv(df, scratch_dir(spark, "single2"), max_rows=5)
-        raise AssertionError("expected a refusal")
-    except ValueError:
-        pass
+    assert back.count() == 10 and len([f for f in back.inputFiles() if f.endswith(".csv")]) == 1
+
+
+def test_csv_columns_by_name_and_bad_values(spark):
+    path = scratch_dir(spark, "csv")
+    spark.createDataFrame([("valuenum,subject_id,charttime",), ("1.5,1,2101-01-01 08:00:00",), ("abc,2,2101-01-02 08:00:00",),
+                           (",3,not a time",), ("1,2",)], "value string").repartition(1).write.text(path)
+    schema = "subject_id long, charttime timestamp_ntz, valuenum double"
+    df = files.read_csv(spark, path, schema)
+    rows = {r["subject_id"]: r for r in df.collect()}
+    assert set(rows) == {1, 2, 3} and rows[1]["valuenum"] == 1.5 and rows[2]["valuenum"] is None and rows[3]["charttime"] is None
+    assert {df.count(), df.select("subject_id").count(), df.select("valuenum").count(), len(df.select("charttime").collect())} == {3}
+    bad = files.bad_values(spark, path, schema).collect()[0]
+    assert (bad["subject_id"], bad["charttime"], bad["valuenum"]) == (0, 1, 1)
+
 
 
 def test_approx_median_close_to_exact(spark):

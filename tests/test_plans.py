@@ -11,6 +11,18 @@ from cohortlab.sources.tables import Clinical
 from conftest import SF_SMALL
 
 
+import pytest
+
+
+@pytest.fixture(autouse=True)
+def no_broadcast(spark):
+    """Plans as they are on large tables: nothing is small enough to broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -19,9 +31,16 @@ def _shuffles(plan: str) -> int:
     return plan.count("Exchange hashpartitioning")
 
 
+def _stored(spark, df):
+    """A frame read from Parquet, so that the plan holds the operator alone."""
+    path = scratch_dir(spark, "plan")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def test_sepsis_date_is_two_shuffles_without_joins_of_codes(spark):
     c = Clinical(spark, SF_SMALL)
-    plan = _plan(cohort.sepsis_date(c.diagnoses_icd, c.procedures_icd, c.icustays))
+    plan = _plan(cohort.sepsis_date(*[_stored(spark, t) for t in (c.diagnoses_icd, c.procedures_icd, c.icustays)]))
     # one exchange for the per-admission aggregate, one for the per-patient aggregate
     assert _shuffles(plan) == 2, plan
     assert "SortMergeJoin" not in plan
@@ -50,7 +69,7 @@ def test_phenotype_one_pass_has_single_patient_shuffle(spark):
     from cohortlab.operators import phenotype as ph
     c = Clinical(spark, SF_SMALL)
     dx = c.dm_diagnoses.withColumnRenamed("dx_date", "date")
-    plan = _plan(ph.phenotype(c.medications, c.labevents, dx))
+    plan = _plan(ph.phenotype(*[_stored(spark, t) for t in (c.medications, c.labevents, dx)]))
     assert _shuffles(plan) == 1, plan
 
 
@@ -61,8 +80,17 @@ def test_vitals_features_shuffles(spark):
                           "subject_id long, charttime timestamp_ntz, itemid int, valuenum double").write.parquet(cpath)
     spark.createDataFrame([(1, dt.date(2024, 1, 10), 0)], "subject_id long, max_date date, angus int").write.parquet(ppath)
     plan = _plan(vitals.vitals_features(spark.read.parquet(cpath), spark.read.parquet(ppath)))
-    # statistics per (patient, pivot key); the per-patient pivot (reusing nothing else); and the
-    # one-row-per-patient side of the final left join -- the wide side is already partitioned by
-    # patient, so only the small table moves (AQE may still turn it into a broadcast at run time)
-    assert _shuffles(plan) == 3, plan
-    assert "Exchange hashpartitioning(subject_id" in plan and "pk" in plan
+    # above the join an exchange on the full key, so the join may be skew-split and the groups spread
+    above = plan.split("SortMergeJoin [subject_id")[-2] if plan.count("SortMergeJoin [subject_id") > 1 else plan
+    assert "Exchange hashpartitioning(subject_id" in above and "REPARTITION_BY_COL" in plan and "pk" in plan
+    # below it the readings are counted map-side per (patient, vital, day, value)
+    assert "partial_count" in plan and "chart_date" in plan
+
+
+def test_patient_terms_counts_before_the_join(spark):
+    from cohortlab.operators import notes
+    c = Clinical(spark, SF_SMALL)
+    plan = _plan(notes.patient_terms(_stored(spark, c.patient_anchor), _stored(spark, c.noteevents)))
+    below = plan[plan.index("SortMergeJoin"):]
+    assert "partial_count" in below and "chartdate" in below
+    assert not [x for x in plan.splitlines() if "Exchange" in x and "text" in x]
