@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.session import scratch_dir
+from cohortlab.session import keep
+
+__all__ = ["WORD", "held_out", "keep", "read"]
 
 #: Words: maximal runs of characters other than space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,10 +20,3 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for rows whose crc32 of the id as text leaves 1 on division by 3; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
-
-
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared scratch folder and read back (cuts lineage, survives lost executors)."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

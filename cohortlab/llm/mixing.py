@@ -71,40 +71,45 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_repeats: int =
         F.md5(F.concat(F.lit("mix-"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("h"))
         .withColumn("bucket", F.substring("h", 1, BUCKET_DIGITS)), "mix-sizes")
     buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    sources = source_targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, max_repeats)
+    sources = keep(source_targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, max_repeats), "mix-sources")
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (buckets.withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(before), F.lit(0))).alias("b")
               .join(sources.alias("s"), F.col("b.source").eqNullSafe(F.col("s.source")))
               .select(F.col("b.source").alias("source"), "bucket", "bucket_start", "source_size", "target"))
     running = F.sum("size").over(Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size", "tie")
                                  .rowsBetween(Window.unboundedPreceding, 0))
-    placed = (rows.withColumn("running", running).alias("r")
-              .join(starts.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")) & (F.col("r.bucket") == F.col("t.bucket")))
-              .select("doc_id", "tie", "size", "source_size", "target", (F.col("bucket_start") + F.col("running")).alias("upto")))
+    placed = keep(rows.withColumn("running", running).alias("r")
+                  .join(starts.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")) & (F.col("r.bucket") == F.col("t.bucket")))
+                  .select("doc_id", "tie", "size", "source_size", "target", (F.col("bucket_start") + F.col("running")).alias("upto")), "mix-places")
 
     def finish(e):
         return F.try_divide((e * F.col("source_size") + F.col("upto")).cast("double"), F.col("target"))
 
-    passes = (placed.where("size > 0 and target > 0")
-              .select("size", F.explode(F.array(*[finish(F.lit(e)) for e in range(max_repeats)])).alias("finish"))
-              .withColumn("slice", F.floor(F.col("finish") * SLICES)))
-    ends = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
-    slices = (passes.groupBy("slice").agg(F.sum("size").alias("slice_size"), F.max("finish").alias("last_finish"))
-              .withColumn("end", F.sum("slice_size").over(ends)))
-    budget = sources.agg(F.sum("source_size").alias("budget"))  # one row
-    # the slice in which the budget ends, and the last finish time before the budget is passed
-    crossing = (slices.crossJoin(F.broadcast(budget)).where("end > budget")
-                .agg(F.min(F.struct("slice", (F.col("end") - F.col("slice_size")).alias("start"), "budget")).alias("c"))
-                .select("c.*"))
-    inside = (passes.join(F.broadcast(crossing), "slice").groupBy("finish", "start", "budget").agg(F.sum("size").alias("size"))
-              .withColumn("end", F.col("start") + F.sum("size").over(
-                  Window.orderBy("finish").rowsBetween(Window.unboundedPreceding, 0)))
-              .where("end <= budget").agg(F.max("finish").alias("in_slice")))
-    earlier = (slices.crossJoin(F.broadcast(budget)).where("end <= budget").agg(F.max("last_finish").alias("before_slice")))
-    last = inside.crossJoin(earlier).select(F.coalesce("in_slice", "before_slice", F.lit(-1.0)).alias("last"))  # one row each
-    n = sum((F.coalesce(finish(F.lit(e)) <= F.col("last"), F.lit(False)).cast("long") for e in range(max_repeats)), F.lit(0))
-    return (placed.crossJoin(F.broadcast(last))
-            .select("doc_id", "tie", "size", "source_size", "target", (F.col("size") * n).alias("taken")))
+    passes = placed.where("size > 0 and target > 0").select("size", F.explode(F.array(*[finish(F.lit(e)) for e in range(max_repeats)])).alias("finish"))
+    last = F.lit(_last_finish(passes, sources.agg(F.sum("source_size")).first()[0] or 0))
+    n = sum((F.coalesce(finish(F.lit(e)) <= last, F.lit(False)).cast("long") for e in range(max_repeats)), F.lit(0))
+    return placed.select("doc_id", "tie", "size", "source_size", "target", (F.col("size") * n).alias("taken"))
+
+
+def _last_finish(passes: DataFrame, budget: int) -> float:
+    """The last finish time before the running size, in the order of finish times, passes the budget.
+
+    Virtual time is cut into slices and the slice where the budget ends into finer ones, so only one row per
+    slice and the passes of one fine slice are ever put in order; a few numbers reach the driver.
+    """
+    last, start, width = -1.0, 0, 1.0
+    while True:
+        width /= SLICES
+        fine = width < 1.0 / SLICES ** 2  # finish times themselves
+        place = F.col("finish") if fine else F.floor(F.col("finish") / F.lit(width))
+        parts = passes.groupBy(place.alias("part")).agg(F.sum("size").alias("n"), F.max("finish").alias("last"))
+        ends = parts.withColumn("upto", F.lit(start) + F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)))
+        fits = ends.where(F.col("upto") <= budget).agg(F.max("last")).first()[0]
+        last = last if fits is None else fits
+        over = ends.where(F.col("upto") > budget).agg(F.min(F.struct("part", (F.col("upto") - F.col("n")).alias("start")))).first()[0]
+        if fine or over is None:
+            return last
+        passes, start = passes.where(place == over.part), over.start
 
 
 def apply_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_repeats: int = 3) -> DataFrame:
