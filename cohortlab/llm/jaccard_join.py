@@ -254,7 +254,8 @@ def _verified(docs: DataFrame, members: DataFrame) -> DataFrame:
                         + [pa.array([s.tobytes() for _, s in out], pa.binary())], schema=sets_schema)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).where("text is not null")
-    rows = (texts.join(members, "rep").mapInArrow(sets_of, "cluster long, rep long, digest binary, weight long, sets binary")
+    # sorted and merged at every size: the members are a share of the documents
+    rows = (texts.join(members.hint("merge"), "rep").mapInArrow(sets_of, "cluster long, rep long, digest binary, weight long, sets binary")
             .dropDuplicates(["cluster", "rep", "digest"]))
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
 
