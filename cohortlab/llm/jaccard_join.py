@@ -322,8 +322,8 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def apply_join(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class: the rows of the least ``doc_id``, once."""
+    """``docs`` with one document of each class: the rows of the least ``doc_id``, equal ones once; rows without an id stay."""
     classes = join(docs).where("doc_id is not null").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     gone = classes.where("class_id < doc_id").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept.dropDuplicates([c for c in docs.columns if c in ("doc_id", "text")]).select(*docs.columns)
+    known = docs.where("doc_id is not null").join(gone.hint("merge"), "doc_id", "left_anti")
+    return known.dropDuplicates(["doc_id", "text"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
