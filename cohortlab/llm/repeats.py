@@ -5,23 +5,23 @@ smallest hash of the ``gram``-unit grams in it (its minimiser); consecutive
 windows with the same minimiser form one super-k-mer.  Equal windows have the
 same minimiser, so they meet in the minimiser's bucket.
 
-1. ``seen``: each document's minimisers, packed per bucket (hashes only, a few
-   bytes each).  Minimisers are first merged to (minimiser, least, greatest
-   document) and then compared across the corpus; those of a single document
-   cannot head a repeat.
-2. ``super_kmers``: the documents meet the list of their repeated minimisers
-   and emit those super-k-mers as packed strings.
-3. Equal strings are merged to (string, least, greatest document) and dealt to
-   the buckets, where the operator's own method (sorting, or an enhanced suffix
-   array) finds for parts of each string the least document that has them.
-4. ``spans``: the answers return to every occurrence and the document is cut.
-
-A document equal to a smaller one as a whole sends no strings: all its windows
-are known to repeat.  Hot minimisers and strings are merged before they are
-shuffled; the joins back are plain equi-joins, which Spark splits when skewed.
-
-Hash collisions only let some strings through step 1; steps 2 to 4 compare the
-units themselves.
+1. ``_wanted``: the documents' minimisers go to their buckets, packed (a few
+   bytes each); a minimiser of a single document cannot head a repeat.
+2. ``_spans``: the documents meet the list of their repeated minimisers and send
+   those super-k-mers as packed strings to the buckets, where the operator's own
+   method (sorting, or an enhanced suffix array) finds for each window the least
+   document that has it.
+3. The spans of each document come back and it is cut.
+
+Hot minimisers and strings are merged before they are shuffled.  What many
+documents of one task share is settled there: a minimiser of two of them is
+known to repeat, and a string of two of them is known to go from the greater
+one.  So a task sends each minimiser and each string once, whatever share of
+the documents has it.  A document equal to a smaller one as a whole sends no
+strings: all its windows are known to repeat.
+
+Hash collisions only let some strings through step 1; step 2 compares the units
+themselves.
 """
 
 from __future__ import annotations
@@ -36,17 +36,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import keep
-
 _BASE = 0x9E3779B97F4A7C15
 #: Fixed random value of each byte.
 _BYTE = np.random.default_rng(2024).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Windows of one super-k-mer at most; longer runs go on as the next one.
 RUN = 64
-#: Entries packed at once, and bytes of text looked at together.
-_PACK, _STEP = 1_500_000, 1 << 20
-#: Parts into which the documents of one bucket are dealt when they get their answers.
-SALTS = 8
+#: Minimisers and bytes of strings packed at once, and bytes of text looked at together.
+_PACK, _PACK_BYTES, _STEP = 1_000_000, 8 << 20, 1 << 20
+#: Parts of a bucket of minimisers that its strings are divided into.
+PARTS = 8
 
 
 @dataclass(frozen=True)
@@ -180,15 +178,16 @@ def _deltas(a: np.ndarray) -> np.ndarray:
     return np.diff(a, prepend=a.dtype.type(0))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str):
-    """(key, rows) of consecutive rows with one key; the partition is sorted by it."""
+def _groups(batches: Iterator[pa.RecordBatch], keys: tuple):
+    """(key values, rows) of consecutive rows with the same ones; the partition is sorted by them."""
     now, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            if rows and row[key] != now:
+            key = tuple(row[k] for k in keys)
+            if rows and key != now:
                 yield now, rows
                 rows = []
-            now = row[key]
+            now = key
             rows.append(row)
     if rows:
         yield now, rows
@@ -212,10 +211,25 @@ def _texts(batch: pa.RecordBatch, step: int = _STEP):
         yield rows, texts
 
 
-def _seen(docs: DataFrame, u: Units, n_buckets: int) -> DataFrame:
-    """(bucket, salt, data) with the (minimiser, document) pairs of many documents per row."""
+def _by_document(doc: np.ndarray, *values: np.ndarray):
+    """(document, bytes of its values, interleaved) of each document."""
+    order = np.argsort(doc, kind="stable")
+    doc, rows = doc[order], np.column_stack([v[order] for v in values]).astype(np.int64)
+    cuts = np.append(np.flatnonzero(np.append(True, doc[1:] != doc[:-1])), len(doc)).tolist()
+    raw, n = rows.tobytes(), 8 * rows.shape[1]
+    return doc[cuts[:-1]], [raw[n * a:n * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _wanted(docs: DataFrame, u: Units, n_buckets: int) -> DataFrame:
+    """(doc_id, keys): the minimisers of each document that other documents have too, as packed 64-bit keys.
+
+    Rows of kind 0 carry a task's minimisers of one bucket, each once: hash, document, and whether the task
+    knows that it repeats.  Rows of kind 1 carry answers that the task knows.
+    """
+    sent = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, owners, n, salt = [], [], 0, 0
+        keys, owners, n = [], [], 0
 
         def flush():
             key, doc = np.concatenate(keys), np.concatenate(owners)
@@ -223,16 +237,21 @@ def _seen(docs: DataFrame, u: Units, n_buckets: int) -> DataFrame:
             key, doc = key[order], doc[order]
             fresh = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))
             key, doc = key[fresh], doc[fresh]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            size = np.diff(np.append(first, len(key)))
+            known = np.repeat(size > 1, size)
+            out = []
+            if known.any():
+                at = np.argsort(doc[known], kind="stable")
+                out.append((int(key[0] % n_buckets), 1, _dump(_deltas(doc[known][at].astype(np.uint64)), key[known][at].astype(np.uint64))))
+            key, doc, many = key[first], doc[first], (size > 1).astype(np.uint8)
             bucket = (key >> 32).astype(np.int64)
-            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist() + [len(key)]
-            out = {"bucket": [], "salt": [], "data": []}
+            cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(key)).tolist()
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                table, at = np.unique(doc[a:b], return_inverse=True)
-                out["bucket"].append(int(bucket[a]))
-                out["salt"].append((salt + int(table[0])) % SALTS)
-                out["data"].append(_dump(_deltas((key[a:b] & 0xFFFFFFFF).astype(np.uint32)), at.astype(np.uint32),
-                                         _deltas(table.astype(np.uint64))))
-            return pa.RecordBatch.from_pydict(out, schema=pa.schema([("bucket", pa.int64()), ("salt", pa.int32()), ("data", pa.binary())]))
+                table, place = np.unique(doc[a:b], return_inverse=True)
+                out.append((int(bucket[a]), 0, _dump(_deltas((key[a:b] & 0xFFFFFFFF).astype(np.uint32)), many[a:b],
+                                                     np.where(many[a:b], 0, place).astype(np.uint32), _deltas(table.astype(np.uint64)))))
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), sent, strict=True)], schema=sent)
 
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
@@ -244,160 +263,200 @@ def _seen(docs: DataFrame, u: Units, n_buckets: int) -> DataFrame:
                     n += len(key)
                 if n >= _PACK:
                     yield flush()
-                    keys, owners, n, salt = [], [], 0, salt + 1
+                    keys, owners, n = [], [], 0
         if n:
             yield flush()
 
-    return docs.mapInArrow(run, "bucket long, salt int, data binary")
-
-
-def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, document) pairs of a row of ``_seen``, sorted."""
-    h, at, table = _load(data)
-    return np.cumsum(h, dtype=np.uint32), np.cumsum(table, dtype=np.uint64).astype(np.int64)[at]
-
-
-def _repeated(seen: DataFrame) -> DataFrame:
-    """(bucket, data): the hashes that at least two documents have."""
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                h, doc = _unpack(data)
-                first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-                low, high = np.minimum.reduceat(doc, first), np.maximum.reduceat(doc, first)
-                out.append({"bucket": bucket, "data": _dump(_deltas(h[first]), low.astype(np.uint64), (high - low).astype(np.uint64))})
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("bucket", pa.int64()), ("data", pa.binary())]))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, rows in _groups(batches, "bucket"):
-            parts = [_load(r["data"]) for r in rows]
-            h = np.concatenate([np.cumsum(p[0], dtype=np.uint32) for p in parts])
-            low = np.concatenate([p[1] for p in parts]).astype(np.int64)
-            high = low + np.concatenate([p[2] for p in parts]).astype(np.int64)
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(doc, key):
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(_by_document(doc, key), (pa.int64(), pa.binary()), strict=True)], names=["doc_id", "keys"])
+
+        for (bucket, kind), packed in _groups(batches, ("bucket", "kind")):
+            if kind == 1:
+                for r in packed:
+                    doc, key = _load(r["data"])
+                    yield rows(np.cumsum(doc, dtype=np.uint64).astype(np.int64), key.astype(np.int64))
+                continue
+            parts = []
+            for r in packed:
+                h, many, place, table = _load(r["data"])
+                parts.append((np.cumsum(h, dtype=np.uint32), many, np.cumsum(table, dtype=np.uint64).astype(np.int64)[place]))
+            h, many, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(h, kind="stable")
-            h, low, high = h[order], low[order], high[order]
+            h, many, doc = h[order], many[order], doc[order]
             first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-            more = np.minimum.reduceat(low, first) != np.maximum.reduceat(high, first)
-            if more.any():
-                yield pa.RecordBatch.from_pylist([{"bucket": bucket, "data": _dump(_deltas(h[first][more]))}],
-                                                 schema=pa.schema([("bucket", pa.int64()), ("data", pa.binary())]))
+            size = np.diff(np.append(first, len(h)))
+            hit = np.repeat((size > 1) | (np.maximum.reduceat(many, first) > 0), size) & (many == 0)
+            if hit.any():
+                yield rows(doc[hit], np.int64(bucket) << 32 | h[hit].astype(np.int64))
 
-    merged = seen.mapInArrow(merge, "bucket long, data binary")
-    return merged.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare, "bucket long, data binary")
-
-
-def _wanted(seen: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(doc_id, keys): the repeated minimisers of each document, as packed 64-bit keys."""
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, known = None, np.zeros(0, np.uint32)
-        schema = pa.schema([("doc_id", pa.int64()), ("keys", pa.binary())])
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["kind"] == 0:
-                    at, known = (row["bucket"], row["salt"]), np.cumsum(_load(row["data"])[0], dtype=np.uint32)
-                    continue
-                if at != (row["bucket"], row["salt"]):
-                    continue  # no minimiser of this bucket repeats
-                h, doc = _unpack(row["data"])
-                place = np.searchsorted(known, h)
-                hit = known[np.minimum(place, len(known) - 1)] == h
-                h, doc = h[hit], doc[hit]
-                if not len(h):
-                    continue
-                order = np.argsort(doc, kind="stable")
-                key = (np.int64(row["bucket"]) << 32 | h[order].astype(np.int64)).tobytes()
-                doc = doc[order]
-                cuts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
-                ends = np.append(cuts[1:], len(doc))
-                yield pa.RecordBatch.from_arrays([pa.array(doc[cuts]), pa.array([key[8 * a:8 * b] for a, b in zip(cuts.tolist(), ends.tolist(), strict=True)], pa.binary())],
-                                                 schema=schema)
-
-    answers = repeated.select("bucket", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(0).alias("kind"), "data")
-    rows = seen.select("bucket", "salt", F.lit(1).alias("kind"), "data").unionByName(answers)
-    return (rows.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "kind")
+    return (docs.mapInArrow(run, "bucket long, kind int, data binary").repartition("bucket").sortWithinPartitions("bucket", "kind")
             .mapInArrow(answer, "doc_id long, keys binary"))
 
 
-def _super_kmers(docs: DataFrame, wanted: DataFrame, u: Units, n_buckets: int) -> DataFrame:
-    """(key, string, doc_id, text_hash, first): the super-k-mers under the documents' repeated minimisers."""
-    schema = pa.schema([("key", pa.int64()), ("string", pa.binary()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("first", pa.int64())])
+def _spans(docs: DataFrame, wanted: DataFrame, u: Units, n_buckets: int, resolve: Callable) -> DataFrame:
+    """(doc_id, spans): packed (text hash, from, to) of unit spans that a smaller document has too.
+
+    Rows of kind 0 carry a task's strings of one part, each once, with the places of its least document;
+    rows of kind 1 carry the places in greater documents, which go as a whole.
+    """
+    sent = pa.schema([("part", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[tuple[int, bytes], tuple[int, list]] = {}  # (key, string) -> least document, its places
+        greater: list[tuple] = []  # document, place
+        size = 0
+
+        def flush():
+            out = []
+            if greater:
+                doc = np.array([d for d, _ in greater], np.int64)
+                text_hash, first, n = np.array([p for _, p in greater], np.int64).T
+                out.append((int(first.sum()) % (n_buckets * PARTS), 1, _dump(doc.astype(np.uint64), text_hash.view(np.uint64), first.astype(np.uint64), n.astype(np.uint32))))
+            order = sorted(least, key=lambda x: x[0])
+            key = np.array([k for k, _ in order], np.int64)
+            part = (key >> 32) * PARTS + (key & (PARTS - 1))
+            at = np.argsort(part, kind="stable")
+            cuts = np.append(np.flatnonzero(np.append(True, np.diff(part[at]) != 0)), len(at)).tolist()
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                own = [order[i] for i in at[a:b].tolist()]
+                docs_of, places = [least[x][0] for x in own], [least[x][1] for x in own]
+                text_hash, first, _ = np.array([p for ps in places for p in ps], np.int64).T
+                head = _dump(_deltas(key[at[a:b]].astype(np.uint64)), np.array([len(s) for _, s in own], np.uint32), np.array(docs_of, np.int64).astype(np.uint64),
+                             np.array([len(p) for p in places], np.uint32), text_hash.view(np.uint64), first.astype(np.uint64))
+                out.append((int(part[at[a]]), 0, struct.pack("<I", len(head)) + head + zstandard.compress(b"".join([s for _, s in own]), 3)))
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), sent, strict=True)], schema=sent)
+
         for batch in batches:
             ids, hashes, lists = (batch.column(c) for c in ("doc_id", "text_hash", "lists"))
-            for rows, texts in _texts(batch, _STEP // 4):
+            for rows, texts in _texts(batch):
                 pairs = [(i, t) for i, t in zip(rows, texts, strict=True) if lists[i].is_valid]
                 if not pairs:
                     continue
                 split = [u.split(t) for _, t in pairs]
                 key, no, first, length = runs([s[0] for s in split], u, n_buckets)
-                own = [np.unique(np.frombuffer(b"".join(lists[i].as_py()), np.int64)) for i, _ in pairs]
                 ends = np.searchsorted(no, np.arange(len(pairs) + 1))
-                out: list[tuple] = []
                 for k, (i, text) in enumerate(pairs):
+                    own = np.unique(np.frombuffer(b"".join(lists[i].as_py()), np.int64))
                     at = slice(ends[k], ends[k + 1])
-                    hit = np.flatnonzero(np.isin(key[at], own[k])) + ends[k]
+                    hit = np.flatnonzero(np.isin(key[at], own)) + ends[k]
                     doc_id, text_hash = ids[i].as_py(), hashes[i].as_py()
                     _, a, b = split[k]
-                    out += [(x, u.join(text, f, f + n + u.width - 1, a, b), doc_id, text_hash, f)
-                            for x, f, n in zip(key[hit].tolist(), first[hit].tolist(), length[hit].tolist(), strict=True)]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+                    for x, f, n in zip(key[hit].tolist(), first[hit].tolist(), length[hit].tolist(), strict=True):
+                        string = u.join(text, f, f + n + u.width - 1, a, b)
+                        old = least.get((x, string))
+                        if old is None:
+                            size += len(string)
+                            least[x, string] = (doc_id, [(text_hash, f, n)])
+                        elif old[0] == doc_id:
+                            old[1].append((text_hash, f, n))
+                        elif old[0] < doc_id:
+                            greater.append((doc_id, (text_hash, f, n)))
+                        else:
+                            greater.extend((old[0], p) for p in old[1])
+                            least[x, string] = (doc_id, [(text_hash, f, n)])
+                if size >= _PACK_BYTES or len(greater) >= 200_000:
+                    yield flush()
+                    least.clear()
+                    greater.clear()
+                    size = 0
+        if least:
+            yield flush()
+
+    def spans(doc, text_hash, a, b):
+        who, data = _by_document(doc, text_hash, a, b)
+        return pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(data, pa.binary())], names=["doc_id", "spans"])
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, kind), packed in _groups(batches, ("part", "kind")):
+            if kind == 1:
+                for r in packed:
+                    doc, text_hash, first, n = (x.astype(np.int64) for x in _load(r["data"]))
+                    yield spans(doc, text_hash, first, first + n + (u.width - 1))
+                continue
+            number: dict[bytes, int] = {}
+            keys, of, docs_of, hashes, firsts = [], [], [], [], []
+            for r in packed:
+                n_head = struct.unpack_from("<I", r["data"])[0]
+                key, lengths, doc, n_places, text_hash, first = _load(r["data"][4:4 + n_head])
+                raw = zstandard.decompress(r["data"][4 + n_head:])
+                cuts = np.append(0, np.cumsum(lengths, dtype=np.int64)).tolist()
+                for k, a, b in zip(np.cumsum(key, dtype=np.uint64).astype(np.int64).tolist(), cuts[:-1], cuts[1:], strict=True):
+                    s = raw[a:b]
+                    m = number.get(s)
+                    if m is None:
+                        m = number[s] = len(number)
+                        keys.append(k)
+                    of.append(m)
+                docs_of.append(np.repeat(doc.astype(np.int64), n_places))
+                hashes.append(text_hash.view(np.int64))
+                firsts.append(first.astype(np.int64))
+                of[-len(doc):] = np.repeat(np.array(of[-len(doc):], np.int64), n_places).tolist()
+            of, doc, text_hash, first = np.array(of, np.int64), *(np.concatenate(x) for x in (docs_of, hashes, firsts))
+            strings = list(number)
+            low, high = np.full(len(strings), np.iinfo(np.int64).max), np.full(len(strings), np.iinfo(np.int64).min)
+            np.minimum.at(low, of, doc)
+            np.maximum.at(high, of, doc)
+            order = np.argsort(of, kind="stable")
+            of, doc, text_hash, first = of[order], doc[order], text_hash[order], first[order]
+            by_key = np.argsort(np.array(keys), kind="stable")
+            key = np.array(keys)[by_key]
+            total = np.cumsum([len(strings[i]) for i in by_key.tolist()])
+            # whole keys, about _STEP bytes at a time
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            cut = starts[np.append(True, np.diff(total[starts] // _STEP) != 0)].tolist() + [len(key)]
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                own = by_key[a:b]
+                no, p, q, found = resolve([strings[i] for i in own.tolist()], low[own], high[own], u)
+                if not len(no):
+                    continue
+                at = np.argsort(own[no], kind="stable")
+                no, p, q, found = own[no][at], p[at], q[at], found[at]
+                # every place of a string takes every part found for it
+                left, right = np.searchsorted(of, no), np.searchsorted(of, no, side="right")
+                times = right - left
+                place = np.repeat(left, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                p, q, found = (np.repeat(x, times) for x in (p, q, found))
+                use = found < doc[place]
+                place = place[use]
+                if len(place):
+                    yield spans(doc[place], text_hash[place], first[place] + p[use], first[place] + q[use] + (u.width - 1))
 
     lists = wanted.groupBy("doc_id").agg(F.collect_list("keys").alias("lists"))
-    return docs.join(lists, "doc_id", "left").mapInArrow(run, "key long, string binary, doc_id long, text_hash long, first long")
+    return (docs.join(lists, "doc_id", "left").mapInArrow(run, "part long, kind int, data binary")
+            .repartition("part").sortWithinPartitions("part", "kind").mapInArrow(solve, "doc_id long, spans binary"))
 
 
 def earlier_spans(docs: DataFrame, u: Units, resolve: Callable) -> DataFrame:
-    """Per document with repeats, the unit spans that a smaller document has too: (doc_id, spans).
+    """Per document with repeats, the unit spans that a smaller document has too: (doc_id, spans); ``own_spans`` reads them.
 
     ``docs``: doc_id, text, text_hash.  ``resolve(strings, low, high, u)`` gives for distinct strings of
-    one or more whole buckets the (string number, first window, last window + 1, least document) tuples
-    that matter, i.e. whose least document is under the string's greatest one.
+    one or more whole minimisers the (string number, first window, last window + 1, least document)
+    tuples that matter, i.e. whose least document is under the string's greatest one.
     """
-    spark = docs.sparkSession
-    n_buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    seen = keep(_seen(docs.select("doc_id", "text"), u, n_buckets), "seen")
-    digest = docs.where("doc_id is not null and text is not null").select("doc_id", "text_hash", F.md5(F.col("text").cast("binary")).alias("digest"))
+    n_buckets = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    digest = docs.where("doc_id is not null and text is not null").select("doc_id", "text_hash", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"))
     least = digest.groupBy("digest").agg(F.min("doc_id").alias("least"))
     copies = digest.join(least, "digest").where(F.col("doc_id") > F.col("least")).select("doc_id", "text_hash")
-    wanted = _wanted(seen, _repeated(seen)).join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
-    found = _super_kmers(docs, wanted, u, n_buckets)
-    distinct = found.groupBy("key", "string").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    wanted = _wanted(docs.select("doc_id", "text"), u, n_buckets).join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("string", pa.binary()), ("a", pa.int32()), ("b", pa.int32()), ("least", pa.int64())])
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                doc, text_hash = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "text_hash"))
+                who, data = _by_document(doc, text_hash, np.zeros(len(doc), np.int64), np.full(len(doc), 1 << 62))
+                yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(data, pa.binary())], names=["doc_id", "spans"])
 
-        def solve(keys, strings, low, high):
-            no, a, b, least = resolve(strings, np.array(low, np.int64), np.array(high, np.int64), u)
-            for at in range(0, len(no), 50_000):
-                s = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array([strings[i] for i in no[s].tolist()], pa.binary()), pa.array(a[s], pa.int32()),
-                                                  pa.array(b[s], pa.int32()), pa.array(least[s], pa.int64())], schema=schema)
+    found = _spans(docs, wanted, u, n_buckets, resolve).unionByName(copies.mapInArrow(whole, "doc_id long, spans binary"))
+    return found.groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
 
-        keys, strings, low, high, size = [], [], [], [], 0
-        for batch in batches:
-            for key, string, x, y in zip(*(batch.column(c).to_pylist() for c in ("key", "string", "low", "high")), strict=True):
-                if size > _STEP and key != keys[-1]:
-                    yield from solve(keys, strings, low, high)
-                    keys, strings, low, high, size = [], [], [], [], 0
-                keys.append(key)
-                strings.append(string)
-                low.append(x)
-                high.append(y)
-                size += len(string)
-        if strings:
-            yield from solve(keys, strings, low, high)
-
-    answers = (distinct.repartition("key").sortWithinPartitions("key").mapInArrow(run, "string binary, a int, b int, least long")
-               .groupBy(F.md5("string").alias("digest")).agg(F.collect_list(F.struct("a", "b", "least")).alias("parts")))
-    where = found.select(F.md5("string").alias("digest"), "doc_id", "text_hash", "first")
-    spans = (where.join(answers, "digest").select("doc_id", "text_hash", "first", F.inline("parts"))
-             .where(F.col("least") < F.col("doc_id"))
-             .select("doc_id", "text_hash", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b") + (u.width - 1)).alias("b")))
-    whole = copies.select("doc_id", "text_hash", F.lit(0).cast("long").alias("a"), F.lit((1 << 62)).alias("b"))
-    return spans.unionByName(whole).groupBy("doc_id").agg(F.collect_list(F.struct("text_hash", "a", "b")).alias("spans"))
+
+def own_spans(packed: list[bytes] | None, text_hash: int | None, n: int, width: int) -> list[tuple[int, int]]:
+    """The merged spans of one row among the packed spans of its ``doc_id``."""
+    if not packed:
+        return []
+    rows = np.frombuffer(b"".join(packed), np.int64).reshape(-1, 3)
+    return merged(rows[rows[:, 0] == text_hash][:, 1:].tolist(), n, width)
 
 
 def merged(spans: list, n: int, width: int) -> list[tuple[int, int]]:

@@ -27,34 +27,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cohortlab.llm.repeats import Units, earlier_spans, join_bytes, merged, split_bytes, with_hash
+from cohortlab.llm.repeats import _BYTE, Units, _gram_hash, earlier_spans, join_bytes, own_spans, split_bytes, with_hash
 
 WIDTH, GRAM = 50, 16
 
 
-def _ranks(text: np.ndarray, longest: int) -> list[tuple[int, np.ndarray]]:
-    """(n, names of the n bytes from each position) for n = 8, 16, ... up to ``longest`` or more; names keep the order."""
-    w = text.astype(np.uint64)
-    for n in (1, 2, 4):
-        w = (w << np.uint64(8 * n)) | np.append(w[n:], np.zeros(n, np.uint64))
-    name = np.unique(w, return_inverse=True)[1]
-    out, size = [(8, name)], 8
-    while size < longest:
-        pair = name * (int(name.max()) + 2)
-        pair[:-size] += name[size:] + 1
-        name = np.unique(pair, return_inverse=True)[1]
-        size *= 2
-        out.append((size, name))
-    return out
-
-
 def maximal_repeats(strings: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All left-diverse common-prefix intervals of at least ``least`` bytes, with all their occurrences.
 
     Returns (group, length, string number, offset), one entry per occurrence.
+
+    Only suffixes that can lie in such an interval are sorted: those whose first ``least`` bytes
+    occur again, with another byte (or a start) to the left of some occurrence.  Where all have
+    the same byte to the left, the interval is part of a longer repeat.
     """
     lengths = np.array([len(s) for s in strings], np.int64)
-    text = np.frombuffer(b"\0".join(s.replace(b"\0", b"\xff") for s in strings) + bytes(8), np.uint8)  # ff is in no UTF-8 text
+    longest = int(lengths.max())
+    # ff is in no UTF-8 text, so 0 can end a string; the tail lets every suffix be read to the greatest length
+    text = np.frombuffer(b"\0".join([s.replace(b"\0", b"\xff") for s in strings]) + bytes(longest + 1), np.uint8)
     starts = np.cumsum(lengths + 1) - lengths - 1
     owned = np.maximum(lengths - least + 1, 0)
     no = np.repeat(np.arange(len(strings)), owned)
@@ -62,35 +52,30 @@ def maximal_repeats(strings: list[bytes], least: int) -> tuple[np.ndarray, np.nd
     nothing = (np.zeros(0, np.int64),) * 4
     if len(no) < 2:
         return nothing
-    ranks = _ranks(text, int(lengths.max()))
     suffix = starts[no] + offset
-    order = np.argsort(ranks[-1][1][suffix], kind="stable")
-    suffix, no, offset = suffix[order], no[order], offset[order]
-    # common prefix of neighbours, from the names of 2^k bytes downwards, not past either string
-    p, q, common = suffix[:-1].copy(), suffix[1:].copy(), np.zeros(len(suffix) - 1, np.int64)
-    end = len(text) - 1
-    for size, name in reversed(ranks):
-        same = np.flatnonzero(name[np.minimum(p, end)] == name[np.minimum(q, end)])
-        p[same] += size
-        q[same] += size
-        common[same] += size
-    alive = np.arange(len(common))
-    for _ in range(7):
-        alive = alive[text[np.minimum(p[alive], end)] == text[np.minimum(q[alive], end)]]
-        p[alive] += 1
-        q[alive] += 1
-        common[alive] += 1
+    head = _gram_hash(_BYTE[text], least)[suffix]
+    left = np.where(offset > 0, text[np.maximum(suffix - 1, 0)].astype(np.int64), -1 - np.arange(len(suffix)))  # a start differs from all
+    order = np.argsort(head, kind="stable")
+    edge = np.flatnonzero(np.append(True, np.diff(head[order]) != 0))
+    size = np.diff(np.append(edge, len(order)))
+    own = left[order]
+    use = order[np.repeat((size > 1) & (np.minimum.reduceat(own, edge) != np.maximum.reduceat(own, edge)), size)]
+    if not len(use):
+        return nothing
+    no, offset, left, suffix = no[use], offset[use], left[use], suffix[use]
+    # the enhanced suffix array: suffixes to the end of their string, in order, and neighbours' common prefixes
     room = lengths[no] - offset
+    table = np.lib.stride_tricks.sliding_window_view(text, longest)[suffix]
+    table[np.arange(longest)[None, :] >= room[:, None]] = 0
+    order = np.argsort(np.ascontiguousarray(table).view(f"S{longest}").ravel(), kind="stable")
+    no, offset, left, room, table = no[order], offset[order], left[order], room[order], table[order]
+    differ = table[1:] != table[:-1]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), longest)
     common = np.minimum(common, np.minimum(room[:-1], room[1:]))
-    left = np.where(offset > 0, text[np.maximum(suffix - 1, 0)].astype(np.int64), -1 - np.arange(len(suffix)))  # a start differs from all
-    # runs of neighbours with enough in common; one with the same byte to the left of all is part of a longer repeat
-    linked = common >= least
-    edge = np.flatnonzero(np.append(True, ~linked))
-    size = np.diff(np.append(edge, len(suffix)))
-    low, high = np.minimum.reduceat(left, edge), np.maximum.reduceat(left, edge)
-    use = (size > 1) & (low != high)
-    groups: list[tuple[int, int, int]] = [(a, a + 2, int(common[a])) for a in edge[use & (size == 2)].tolist()]
-    for a, n in zip(edge[use & (size > 2)].tolist(), size[use & (size > 2)].tolist(), strict=True):
+    edge = np.flatnonzero(np.append(True, common < least))
+    size = np.diff(np.append(edge, len(no)))
+    groups: list[tuple[int, int, int]] = []
+    for a, n in zip(edge[size > 1].tolist(), size[size > 1].tolist(), strict=True):
         groups += _intervals(common[a:a + n - 1].tolist(), left[a:a + n].tolist(), a)
     if not groups:
         return nothing
@@ -127,19 +112,27 @@ def _intervals(common: list[int], left: list[int], base: int) -> list[tuple[int,
 
 
 def least_documents(strings: list[bytes], low: np.ndarray, high: np.ndarray, u: Units):
-    """For occurrences of maximal repeats: the windows they span and the least document of the group, where it is under ``high``."""
+    """Runs of windows of each string with their least document, where it is under ``high``: the string's own, or a repeat group's."""
+    windows = np.array([max(0, len(s) - u.width + 1) for s in strings], np.int64)
+    start = np.cumsum(windows) - windows
+    owner = np.repeat(np.arange(len(strings)), windows)
+    least = low[owner]
     group, length, no, offset = maximal_repeats(strings, u.width)
     if len(group):
         first = np.flatnonzero(np.append(True, np.diff(group) != 0))
-        least = np.repeat(np.minimum.reduceat(low[no], first), np.diff(np.append(first, len(group))))
-        hit = least < high[no]
-        no, a, b, least = no[hit], offset[hit], (offset + length)[hit] - u.width + 1, least[hit]
-    else:
-        no = a = b = least = np.zeros(0, np.int64)
-    # the string itself, where several documents have all of it
-    own = np.flatnonzero(low < high)
-    windows = np.array([len(strings[i]) - u.width + 1 for i in own.tolist()], np.int64)
-    return tuple(np.concatenate(x).astype(np.int64) for x in ((no, own), (a, np.zeros(len(own))), (b, windows), (least, low[own])))
+        found = np.repeat(np.minimum.reduceat(low[no], first), np.diff(np.append(first, len(group))))
+        use = found < low[no]  # the others tell their string nothing new
+        found, a, n = found[use], (start[no] + offset)[use], (length - u.width + 1)[use]
+        at = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        np.minimum.at(least, at, np.repeat(found, n))
+    hit = np.flatnonzero(least < high[owner])
+    if not len(hit):
+        return hit, hit, hit, hit
+    new = np.append(True, (np.diff(hit) != 1) | (np.diff(least[hit]) != 0) | (np.diff(owner[hit]) != 0))
+    a = hit[new]
+    n = np.diff(np.append(np.flatnonzero(new), len(hit)))
+    place = a - start[owner[a]]
+    return owner[a], place, place + n, least[a]
 
 
 def units(width: int = WIDTH, gram: int = GRAM) -> Units:
@@ -156,7 +149,7 @@ def dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
             out = []
             for doc_id, text, own, spans in zip(*(batch.column(c) for c in ("doc_id", "text", "text_hash", "spans")), strict=True):
                 raw, own = (text.as_py() or "").encode(), own.as_py()
-                gone = merged([(s["a"], s["b"]) for s in spans.as_py() or () if s["text_hash"] == own], len(raw), width)
+                gone = own_spans(spans.as_py(), own, len(raw), width)
                 kept = b"".join(raw[x:y] for x, y in zip([0, *(b for _, b in gone)], [*(a for a, _ in gone), len(raw)], strict=True))
                 out.append((doc_id.as_py(), len(raw), sum(b - a for a, b in gone), len(gone), hashlib.sha256(kept).hexdigest(), kept,
                             [list(g) for g in gone]))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlab.llm.repeats import Units, earlier_spans, join_words, merged, split_words, with_hash
+from cohortlab.llm.repeats import Units, earlier_spans, join_words, own_spans, split_words, with_hash
 
 WIDTH, GRAM = 50, 8
 
@@ -91,7 +91,7 @@ def dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
                 raw = (text.as_py() or "").encode()
                 _, a, b = split_words(raw)
                 own = own.as_py()
-                gone = merged([(s["a"], s["b"]) for s in spans.as_py() or () if s["text_hash"] == own], len(a), width)
+                gone = own_spans(spans.as_py(), own, len(a), width)
                 keep, at = [], 0
                 for x, y in [*gone, (len(a), len(a))]:
                     keep += [raw[i:j] for i, j in zip(a[at:x].tolist(), b[at:x].tolist(), strict=True)]
@@ -119,16 +119,17 @@ def apply_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFr
             texts = batch.column("text").to_pylist()
             stay = np.ones(len(texts), bool)
             for i, (own, spans) in enumerate(zip(batch.column("_hash").to_pylist(), batch.column("_spans").to_pylist(), strict=True)):
-                mine = [(s["a"], s["b"]) for s in spans or () if s["text_hash"] == own]
-                if not mine or texts[i] is None:
+                if not spans or texts[i] is None:
                     continue
                 raw = texts[i].encode()
                 _, a, b = split_words(raw)
                 gone = np.zeros(len(a), bool)
-                for x, y in merged(mine, len(a), width):
+                for x, y in own_spans(spans, own, len(a), width):
                     gone[x:y] = True
+                if not gone.any():
+                    continue
                 texts[i] = b" ".join([raw[x:y] for x, y in zip(a[~gone].tolist(), b[~gone].tolist(), strict=True)]).decode()
-                stay[i] = not len(gone) or not gone.all()
+                stay[i] = not gone.all()
             columns = [batch.column(c) for c in out_schema.names]
             columns[where] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=out_schema.names).filter(pa.array(stay))
