@@ -231,8 +231,8 @@ def learn(docs: DataFrame, labels: DataFrame, trigrams: tuple) -> tuple:
 
     toxic = keep(rows.where("toxic").mapInArrow(of_toxic, "features array<string>").withColumn("row", F.monotonically_increasing_id()), "toxic-rows")
     pairs = toxic.select("row", F.explode("features").alias("feature"))
-    often = pairs.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_TOXIC).select("feature")
-    candidates = frozenset(r.feature for r in often.collect())  # of at most SAMPLE_DOCS rows
+    often = {r.feature: r.n for r in pairs.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_TOXIC).collect()}
+    candidates = frozenset(often)  # of at most SAMPLE_DOCS rows
 
     def of_clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, count, n = _Known(_restorer(trigrams), candidates), Counter(), 0
@@ -246,9 +246,10 @@ def learn(docs: DataFrame, labels: DataFrame, trigrams: tuple) -> tuple:
     clean = rows.where("not toxic").mapInArrow(of_clean, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
     in_clean = {r.feature: r.n for r in clean}
     n_clean = in_clean.pop(None, 0)
-    kept_pairs = pairs.join(F.broadcast(often), "feature").collect() if candidates else []
+    # only features that can enter the list need to be known row by row
+    sure = [f for f, n in often.items() if n / (n + in_clean.get(f, 0)) >= MIN_SHARE]
     by_feature: dict[str, set] = {}
-    for r in kept_pairs:
+    for r in pairs.where(F.col("feature").isin(sure)).collect() if sure else []:
         by_feature.setdefault(r.feature, set()).add(r.row)
     n_toxic = toxic.count()
     return decision_list(by_feature, in_clean, n_toxic, n_clean)
