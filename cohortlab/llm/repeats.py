@@ -43,8 +43,8 @@ _BYTE = np.random.default_rng(2024).integers(1, 1 << 63, 256, dtype=np.uint64) *
 RUN = 64
 #: Minimisers and bytes of strings packed at once, and bytes of text looked at together.
 _PACK, _PACK_BYTES, _STEP = 1_000_000, 8 << 20, 1 << 20
-#: Parts of a bucket of minimisers that its strings are divided into.
-PARTS = 8
+#: Buckets at least; there are as many as shuffle partitions if those are more.
+BUCKETS = 64
 
 
 @dataclass(frozen=True)
@@ -297,10 +297,10 @@ def _wanted(docs: DataFrame, u: Units, n_buckets: int) -> DataFrame:
 def _spans(docs: DataFrame, wanted: DataFrame, u: Units, n_buckets: int, resolve: Callable) -> DataFrame:
     """(doc_id, spans): packed (text hash, from, to) of unit spans that a smaller document has too.
 
-    Rows of kind 0 carry a task's strings of one part, each once, with the places of its least document;
+    Rows of kind 0 carry a task's strings of one bucket, each once, with the places of its least document;
     rows of kind 1 carry the places in greater documents, which go as a whole.
     """
-    sent = pa.schema([("part", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
+    sent = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[tuple[int, bytes], tuple[int, list]] = {}  # (key, string) -> least document, its places
@@ -312,19 +312,19 @@ def _spans(docs: DataFrame, wanted: DataFrame, u: Units, n_buckets: int, resolve
             if greater:
                 doc = np.array([d for d, _ in greater], np.int64)
                 text_hash, first, n = np.array([p for _, p in greater], np.int64).T
-                out.append((int(first.sum()) % (n_buckets * PARTS), 1, _dump(doc.astype(np.uint64), text_hash.view(np.uint64), first.astype(np.uint64), n.astype(np.uint32))))
+                out.append((int(first.sum()) % n_buckets, 1, _dump(doc.astype(np.uint64), text_hash.view(np.uint64), first.astype(np.uint64), n.astype(np.uint32))))
             order = sorted(least, key=lambda x: x[0])
             key = np.array([k for k, _ in order], np.int64)
-            part = (key >> 32) * PARTS + (key & (PARTS - 1))
-            at = np.argsort(part, kind="stable")
-            cuts = np.append(np.flatnonzero(np.append(True, np.diff(part[at]) != 0)), len(at)).tolist()
+            bucket = key >> 32
+            at = np.argsort(bucket, kind="stable")
+            cuts = np.append(np.flatnonzero(np.append(True, np.diff(bucket[at]) != 0)), len(at)).tolist()
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 own = [order[i] for i in at[a:b].tolist()]
                 docs_of, places = [least[x][0] for x in own], [least[x][1] for x in own]
                 text_hash, first, _ = np.array([p for ps in places for p in ps], np.int64).T
                 head = _dump(_deltas(key[at[a:b]].astype(np.uint64)), np.array([len(s) for _, s in own], np.uint32), np.array(docs_of, np.int64).astype(np.uint64),
                              np.array([len(p) for p in places], np.uint32), text_hash.view(np.uint64), first.astype(np.uint64))
-                out.append((int(part[at[a]]), 0, struct.pack("<I", len(head)) + head + zstandard.compress(b"".join([s for _, s in own]), 3)))
+                out.append((int(bucket[at[a]]), 0, struct.pack("<I", len(head)) + head + zstandard.compress(b"".join([s for _, s in own]), 3)))
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), sent, strict=True)], schema=sent)
 
         for batch in batches:
@@ -368,7 +368,7 @@ def _spans(docs: DataFrame, wanted: DataFrame, u: Units, n_buckets: int, resolve
         return pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(data, pa.binary())], names=["doc_id", "spans"])
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, kind), packed in _groups(batches, ("part", "kind")):
+        for (_, kind), packed in _groups(batches, ("bucket", "kind")):
             if kind == 1:
                 for r in packed:
                     doc, text_hash, first, n = (x.astype(np.int64) for x in _load(r["data"]))
@@ -422,9 +422,8 @@ def _spans(docs: DataFrame, wanted: DataFrame, u: Units, n_buckets: int, resolve
                 if len(place):
                     yield spans(doc[place], text_hash[place], first[place] + p[use], first[place] + q[use] + (u.width - 1))
 
-    lists = wanted.groupBy("doc_id").agg(F.collect_list("keys").alias("lists"))
-    return (docs.join(lists, "doc_id", "left").mapInArrow(run, "part long, kind int, data binary")
-            .repartition("part").sortWithinPartitions("part", "kind").mapInArrow(solve, "doc_id long, spans binary"))
+    return (docs.join(wanted, "doc_id", "left").mapInArrow(run, "bucket long, kind int, data binary")
+            .repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(solve, "doc_id long, spans binary"))
 
 
 def earlier_spans(docs: DataFrame, u: Units, resolve: Callable) -> DataFrame:
@@ -434,11 +433,12 @@ def earlier_spans(docs: DataFrame, u: Units, resolve: Callable) -> DataFrame:
     one or more whole minimisers the (string number, first window, last window + 1, least document)
     tuples that matter, i.e. whose least document is under the string's greatest one.
     """
-    n_buckets = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n_buckets = max(BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     digest = docs.where("doc_id is not null and text is not null").select("doc_id", "text_hash", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"))
     least = digest.groupBy("digest").agg(F.min("doc_id").alias("least"))
     copies = digest.join(least, "digest").where(F.col("doc_id") > F.col("least")).select("doc_id", "text_hash")
-    wanted = _wanted(docs.select("doc_id", "text"), u, n_buckets).join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
+    wanted = (_wanted(docs.select("doc_id", "text"), u, n_buckets).groupBy("doc_id").agg(F.collect_list("keys").alias("lists"))
+              .join(copies.select("doc_id").distinct(), "doc_id", "left_anti"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
