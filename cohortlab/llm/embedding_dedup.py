@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 from pyspark.sql.window import Window
 
 from cohortlab.llm.blocks import blocked, merge, sorted_groups
@@ -93,8 +94,8 @@ def _linked(vectors: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool
     return left[i], right[j]
 
 
-def _forest_edges(reps: DataFrame) -> DataFrame:
-    """Spanning edges (u, v) of the linked pairs inside leaves."""
+def _forest_edges(reps: DataFrame, kind: str) -> DataFrame:
+    """Spanning edges (u, v) of the linked pairs inside leaves; ``kind``: the number type that holds a component exactly."""
     sizes = {(r.label, r.dim): r.n for r in reps.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LEAF).collect()}
     place = F.row_number().over(Window.partitionBy("label", "dim").orderBy(F.xxhash64("rep"), "rep"))
     by: dict[tuple, list] = {}
@@ -111,24 +112,27 @@ def _forest_edges(reps: DataFrame) -> DataFrame:
             for k, key in enumerate(zip(cols[0], cols[1], strict=True)):
                 groups.setdefault(key, []).append(k)
             for (label, dim), own in groups.items():
-                x = _unit([batch.column("embedding")[k].as_py() for k in own])
+                raw = np.array([batch.column("embedding")[k].as_py() for k in own], np.float64)
+                x, sent = _unit(raw), [v.tobytes() for v in raw.astype(kind)]
                 ids = np.array([cols[2][k] for k in own], np.int64)
                 for t, cuts in enumerate(forest.get((label, dim), [{}])):
                     who, leaf = leaves(x, t, cuts)
                     n = len(who)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([label] * n, pa.int64()), pa.array([dim] * n, pa.int32()), pa.array([t] * n, pa.int32()), pa.array(leaf, pa.int64()),
-                         pa.array(ids[who]), pa.array([v.tobytes() for v in x[who]], pa.binary())],
-                        names=["label", "dim", "tree", "leaf", "rep", "unit"])
+                         pa.array(ids[who]), pa.array([sent[k] for k in who.tolist()], pa.binary())],
+                        names=["label", "dim", "tree", "leaf", "rep", "vector"])
 
     key = ["label", "dim", "tree", "leaf"]
-    placed = keep(reps.mapInArrow(grow, "label long, dim int, tree int, leaf long, rep long, unit binary"), "leaves")
-    dealt = blocked(placed, key, F.col("rep"), placed.groupBy(*key).agg(F.count(F.lit(1)).alias("size")), BLOCK)
+    placed = reps.mapInArrow(grow, "label long, dim int, tree int, leaf long, rep long, vector binary")
+    # a row per leaf: at most TREES * SAMPLE of each label that has a tree, else one
+    sizes = F.broadcast(placed.groupBy(*key).agg(F.count(F.lit(1)).alias("size")))
+    dealt = blocked(placed, key, F.col("rep"), sizes, BLOCK)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for now, (ids, units, sides) in sorted_groups(batches, [*key, "bi", "bj"], ["rep", "unit", "side"]):
+        for now, (ids, vectors, sides) in sorted_groups(batches, [*key, "bi", "bj"], ["rep", "vector", "side"]):
             same = now[-1] == now[-2]
-            x, side, ids = np.frombuffer(b"".join(units), np.float64).reshape(len(ids), -1), np.array(sides), np.array(ids, np.int64)
+            x, side, ids = _unit(np.frombuffer(b"".join(vectors), kind).reshape(len(ids), -1)), np.array(sides), np.array(ids, np.int64)
             left = np.flatnonzero(side == 0)
             i, j = _linked(x, left, left if same else np.flatnonzero(side == 1), same)
             label = np.arange(len(ids))
@@ -169,7 +173,8 @@ def dedup(rows: DataFrame) -> DataFrame:
     good = all_rows.where(usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
     reps = keep(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
                 .withColumn("dim", F.size("embedding")), "vectors")
-    edges = keep(_forest_edges(reps), "links")
+    single = isinstance(rows.schema["embedding"].dataType.elementType, FloatType)
+    edges = keep(_forest_edges(reps, "<f4" if single else "<f8"), "links")
     clusters = components(edges)
     found = (reps.select("label", "embedding", "rep", "weight").join(clusters.select(F.col("node").alias("rep"), "component"), "rep", "left")
              .join(_counts(reps, clusters), "rep", "left")
