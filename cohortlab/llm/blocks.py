@@ -23,14 +23,18 @@ def merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
         label[:] = label[label]
 
 
-def blocked(rows: DataFrame, group: list[str], member: Column, sizes: DataFrame, block: int) -> DataFrame:
-    """Rows of groups with >= 2 members, repeated for each pair of blocks (bi <= bj) that their block is in; ``side`` 0 is block bi."""
-    blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
-    dealt = (rows.join(sizes.where("size > 1"), group).withColumn("blocks", blocks)
-             .withColumn("own", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
+def pairs_of_blocks(rows: DataFrame, member: Column) -> DataFrame:
+    """Rows, repeated for each pair of the ``blocks`` of their group (bi <= bj) that their own block is in; ``side`` 0 is block bi."""
+    dealt = (rows.withColumn("own", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     return (dealt.withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other"))
-            .withColumn("side", (F.col("own") > F.col("other")).cast("int")).drop("blocks", "own", "other", "size"))
+            .withColumn("side", (F.col("own") > F.col("other")).cast("int")).drop("blocks", "own", "other"))
+
+
+def blocked(rows: DataFrame, group: list[str], member: Column, sizes: DataFrame, block: int) -> DataFrame:
+    """``pairs_of_blocks`` of the groups with >= 2 members."""
+    blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
+    return pairs_of_blocks(rows.join(sizes.where("size > 1"), group).withColumn("blocks", blocks).drop("size"), member)
 
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str], columns: list[str]):

@@ -8,9 +8,9 @@ inside a component all pairs are verified and counted once.
 
 Equal vectors of a label are one representative with a weight.  Leaves and
 components of more than ``BLOCK`` members are dealt into blocks that meet two
-at a time.  The split points come from a bounded sample: per label the
-``SAMPLE`` representatives with the smallest hash of the id; every vector is
-indexed and compared.
+at a time.  The split points of a label come from about ``SAMPLE`` of its
+representatives, chosen by hash and fitted in a task, never on the driver;
+every vector is indexed and compared.
 
 Defined cases: vectors with a null label, and null or zero ones or ones with a
 null or non-finite component, link with nothing and are kept; vectors of
@@ -21,6 +21,7 @@ are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
-from pyspark.sql.window import Window
 
-from cohortlab.llm.blocks import blocked, merge, sorted_groups
+from cohortlab.llm.blocks import blocked, merge, pairs_of_blocks, sorted_groups
 from cohortlab.llm.common import keep
 from cohortlab.llm.components import components
 from cohortlab.llm.vectors import typed, usable
@@ -40,7 +40,9 @@ TREES, LEAF, SAMPLE, LEAST_SAMPLE = 4, 512, 2048, 16
 #: Half width of the strip around a split whose vectors go to both sides.  Two unit vectors at
 #: cosine 0.98 are 0.2 apart, 0.025 on a random direction of 64 dimensions, and part only if 0.08 apart there.
 SPILL = 0.04
-BLOCK = 1024
+#: LEAF is at most BLOCK, so a group without a forest is one block.  PART: vectors that meet one copy of their group's forest.
+#: OUT_ROWS: rows that a task hands on at once.
+BLOCK, PART, OUT_ROWS = 1024, 2048, 4096
 
 
 def _direction(tree: int, node: int, dim: int) -> np.ndarray:
@@ -48,25 +50,25 @@ def _direction(tree: int, node: int, dim: int) -> np.ndarray:
     return v / np.linalg.norm(v)
 
 
-def fit_tree(sample: np.ndarray, members: int, tree: int) -> dict[int, float]:
-    """Split points by node (root 1, children 2n and 2n + 1), until a leaf would hold ``LEAF`` of the ``members``."""
+def fit_tree(sample: np.ndarray, members: int, tree: int, most: int = LEAF, spill: float = SPILL) -> dict[int, float]:
+    """Split points by node (root 1, children 2n and 2n + 1), until a leaf would hold ``most`` of the ``members``."""
     out: dict[int, float] = {}
     todo = [(1, sample)]
     while todo:
         node, own = todo.pop()
-        if len(own) < LEAST_SAMPLE or len(own) / len(sample) * members <= LEAF:
+        if len(own) < LEAST_SAMPLE or len(own) / len(sample) * members <= most:
             continue
         at = own @ _direction(tree, node, sample.shape[1])
         cut = float(np.median(at))
-        low, high = own[at <= cut + SPILL], own[at >= cut - SPILL]
-        if len(low) == len(own) or len(high) == len(own):
-            continue  # nothing tells them apart here: blocks will
+        low, high = own[at <= cut + spill], own[at >= cut - spill]
+        if len(low) ** 2 + len(high) ** 2 >= len(own) ** 2:
+            continue  # what goes to both sides, such as a dense group, outweighs the split: blocks will part them
         out[node] = cut
         todo += [(2 * node, low), (2 * node + 1, high)]
     return out
 
 
-def leaves(vectors: np.ndarray, tree: int, cuts: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
+def leaves(vectors: np.ndarray, tree: int, cuts: dict[int, float], spill: float = SPILL) -> tuple[np.ndarray, np.ndarray]:
     """(vector number, leaf) of all leaves that each vector is in."""
     who, leaf = [], []
     todo = [(1, np.arange(len(vectors)))]
@@ -77,10 +79,17 @@ def leaves(vectors: np.ndarray, tree: int, cuts: dict[int, float]) -> tuple[np.n
             leaf.append(np.full(len(own), node))
         elif len(own):
             at = vectors[own] @ _direction(tree, node, vectors.shape[1])
-            todo += [(2 * node, own[at <= cuts[node] + SPILL]), (2 * node + 1, own[at >= cuts[node] - SPILL])]
+            todo += [(2 * node, own[at <= cuts[node] + spill]), (2 * node + 1, own[at >= cuts[node] - spill])]
     return np.concatenate(who), np.concatenate(leaf)
 
 
+def leaf_blocks(sample: np.ndarray, members: int, tree: int, cuts: dict[int, float], spill: float, block: int) -> dict[int, int]:
+    """Leaves that are expected to hold more than ``block`` of the ``members``, with the number of blocks to deal them into."""
+    found, n = np.unique(leaves(sample, tree, cuts, spill)[1], return_counts=True)
+    blocks = np.ceil(n / len(sample) * members / block).astype(int)
+    return {int(f): int(k) for f, k in zip(found, blocks, strict=True) if k > 1}
+
+
 def _unit(column) -> np.ndarray:
     x = np.array(column, np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)
@@ -94,40 +103,77 @@ def _linked(vectors: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool
     return left[i], right[j]
 
 
+def _forests(sized: DataFrame) -> DataFrame:
+    """(label, dim, n, forest) of every group with more than ``LEAF`` representatives, fitted in tasks; ``forest``: per tree
+    the split points and the leaves to be dealt into blocks, pickled."""
+    most, spill, block = LEAF, SPILL, BLOCK
+    # a uniform number per representative: about SAMPLE of each group, or all of a smaller one
+    at = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "rep", "embedding"), 11) / F.lit(2.0 ** 53)
+    sample = sized.where((F.col("n") > most) & (at * F.col("n") < SAMPLE)).select("label", "dim", "n", "rep", "embedding")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (label, dim, n), (_, vectors) in sorted_groups(batches, ["label", "dim", "n"], ["rep", "embedding"]):
+            x, trees = _unit(vectors), []
+            for t in range(TREES):
+                cuts = fit_tree(x, n, t, most, spill)
+                trees.append((cuts, leaf_blocks(x, n, t, cuts, spill, block)))
+            yield pa.RecordBatch.from_arrays([pa.array([label], pa.int64()), pa.array([dim], pa.int32()), pa.array([n], pa.int64()), pa.array([pickle.dumps(trees)], pa.binary())],
+                                             names=["label", "dim", "n", "forest"])
+
+    return (sample.repartition("label", "dim").sortWithinPartitions("label", "dim", "n", "rep")
+            .mapInArrow(fit, "label long, dim int, n long, forest binary"))
+
+
 def _forest_edges(reps: DataFrame, kind: str) -> DataFrame:
-    """Spanning edges (u, v) of the linked pairs inside leaves; ``kind``: the number type that holds a component exactly."""
-    sizes = {(r.label, r.dim): r.n for r in reps.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LEAF).collect()}
-    place = F.row_number().over(Window.partitionBy("label", "dim").orderBy(F.xxhash64("rep"), "rep"))
-    by: dict[tuple, list] = {}
-    if sizes:  # labels that need a tree; the others are one leaf
-        sampled = reps.where(F.concat_ws("/", "label", "dim").isin([f"{a}/{b}" for a, b in sizes])).withColumn("place", place).where(F.col("place") <= SAMPLE)
-        for r in sampled.select("label", "dim", "embedding", "rep").collect():
-            by.setdefault((r.label, r.dim), []).append((r.rep, r.embedding))
-    forest = {k: [fit_tree(_unit([e for _, e in sorted(v)]), sizes[k], t) for t in range(TREES)] for k, v in by.items()}
+    """Spanning edges (u, v) of the linked pairs inside leaves; ``kind``: the number type that holds a component exactly.
+
+    Forests and vectors meet in tasks: the vectors of a group are dealt into parts of about ``PART``, and each part gets
+    a copy of its group's forest.  Nothing grows on the driver with the number of labels.
+    """
+    sizes = keep(reps.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "label-sizes")
+    sized, spill = reps.join(sizes, ["label", "dim"]), SPILL
+    parts = F.ceil(F.col("n") / F.lit(PART)).cast("int")
+    forests = _forests(sized).select("label", "dim", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("row"),
+                                     F.lit(None).cast("long").alias("rep"), F.lit(None).cast("array<double>").alias("embedding"), "forest")
+    vectors = sized.select("label", "dim", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part"), F.lit(1).alias("row"),
+                           "rep", "embedding", F.lit(None).cast("binary").alias("forest"))
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def placed(batch, sent, t, all_who, all_leaf, all_blocks):
+            for k in range(0, len(all_who), OUT_ROWS):  # a dense group spills into many leaves
+                who, leaf, blocks = (x[k:k + OUT_ROWS] for x in (all_who, all_leaf, all_blocks))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("label").take(pa.array(who)), batch.column("dim").take(pa.array(who)), pa.array(np.full(len(who), t, np.int32)), pa.array(leaf.astype(np.int64)),
+                     pa.array(blocks.astype(np.int32)), batch.column("rep").take(pa.array(who)), pa.array([sent[w] for w in who.tolist()], pa.binary())],
+                    names=["label", "dim", "tree", "leaf", "blocks", "rep", "vector"])
+
+        of, forest = None, None  # the group whose forest came last; it lies before its vectors
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("label", "dim", "rep")]
-            groups: dict[tuple, list[int]] = {}
-            for k, key in enumerate(zip(cols[0], cols[1], strict=True)):
-                groups.setdefault(key, []).append(k)
-            for (label, dim), own in groups.items():
-                raw = np.array([batch.column("embedding")[k].as_py() for k in own], np.float64)
-                x, sent = _unit(raw), [v.tobytes() for v in raw.astype(kind)]
-                ids = np.array([cols[2][k] for k in own], np.int64)
-                for t, cuts in enumerate(forest.get((label, dim), [{}])):
-                    who, leaf = leaves(x, t, cuts)
-                    n = len(who)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([label] * n, pa.int64()), pa.array([dim] * n, pa.int32()), pa.array([t] * n, pa.int32()), pa.array(leaf, pa.int64()),
-                         pa.array(ids[who]), pa.array([sent[k] for k in who.tolist()], pa.binary())],
-                        names=["label", "dim", "tree", "leaf", "rep", "vector"])
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("label", "dim", "part", "row")), strict=True))
+            starts = [k for k in range(len(keys)) if k == 0 or keys[k] != keys[k - 1]]
+            sent: dict[int, bytes] = {}
+            whole = []  # rows of groups that are one leaf
+            for a, b in zip(starts, [*starts[1:], len(keys)], strict=True):
+                if keys[a][-1] == 0:
+                    of, forest = keys[a][:-1], pickle.loads(batch.column("forest")[a].as_py())
+                    continue
+                raw = batch.column("embedding").slice(a, b - a).flatten().to_numpy(zero_copy_only=False).reshape(b - a, -1)
+                sent |= {a + k: v.tobytes() for k, v in enumerate(raw.astype(kind))}
+                if keys[a][:-1] != of:
+                    whole.append(np.arange(a, b))
+                    continue
+                x = _unit(raw)
+                for t, (cuts, blocks) in enumerate(forest):
+                    who, leaf = leaves(x, t, cuts, spill)
+                    yield from placed(batch, sent, t, a + who, leaf, np.array([blocks.get(f, 1) for f in leaf.tolist()]))
+            if whole:
+                who = np.concatenate(whole)
+                yield from placed(batch, sent, 0, who, np.ones(len(who)), np.ones(len(who)))
 
     key = ["label", "dim", "tree", "leaf"]
-    placed = reps.mapInArrow(grow, "label long, dim int, tree int, leaf long, rep long, vector binary")
-    # a row per leaf: at most TREES * SAMPLE of each label that has a tree, else one
-    sizes = F.broadcast(placed.groupBy(*key).agg(F.count(F.lit(1)).alias("size")))
-    dealt = blocked(placed, key, F.col("rep"), sizes, BLOCK)
+    met = vectors.unionByName(forests).repartition("label", "dim", "part").sortWithinPartitions("label", "dim", "part", "row")
+    rows = met.mapInArrow(grow, "label long, dim int, tree int, leaf long, blocks int, rep long, vector binary")
+    dealt = pairs_of_blocks(rows, F.col("rep"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for now, (ids, vectors, sides) in sorted_groups(batches, [*key, "bi", "bj"], ["rep", "vector", "side"]):

@@ -68,6 +68,33 @@ def test_planted_copies(spark, monkeypatch, leaf, block):
     assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got), key=str) == plain_links(rows)
 
 
+def test_forests_of_many_labels_stay_off_the_driver(spark, monkeypatch):
+    """No label's vectors are collected, and no table with rows per label is broadcast whatever its size."""
+    from pyspark.sql import DataFrame
+    monkeypatch.setattr(embedding_dedup, "LEAF", 8)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 8)
+    monkeypatch.setattr(embedding_dedup, "SPILL", 0.1)
+    monkeypatch.setattr(embedding_dedup, "PART", 16, raising=False)
+    rng = np.random.default_rng(5)
+    rows = []
+    for label in range(40):
+        centres = rng.standard_normal((8, 16))
+        rows += [(1000 * label + k, [float(a) for a in np.float32(centres[k % 8] + 0.05 * rng.standard_normal(16))], label) for k in range(30)]
+    seen = []
+    collect, real = DataFrame.collect, embedding_dedup._forest_edges
+
+    def watched(reps, kind):
+        monkeypatch.setattr(DataFrame, "collect", lambda self: seen.append(self.columns) or collect(self))
+        edges = real(reps, kind)
+        monkeypatch.setattr(DataFrame, "collect", collect)
+        assert "strategy=broadcast" not in edges._jdf.queryExecution().logical().toString()
+        return edges
+    monkeypatch.setattr(embedding_dedup, "_forest_edges", watched)
+    got = embedding_dedup.dedup(frame(spark, rows)).collect()
+    assert not seen
+    assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got), key=str) == plain_links(rows)
+
+
 def test_dedup_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
