@@ -269,9 +269,7 @@ def decision_list(by_feature: dict[str, set], in_clean: dict[str, int], n_toxic:
         rows = live.pop(f)
         bad = in_clean.get(f, 0)
         if len(rows) < MIN_TOXIC or len(rows) / (len(rows) + bad) < MIN_SHARE:
-            if gain(max(live, key=gain, default=f) if live else f)[0] < MIN_TOXIC or not live:
-                break
-            continue
+            continue  # its rows only get fewer; a larger one of less gain may still be good
         share = (len(rows) + 0.5) / (len(rows) + bad + 1)
         out.append((f, share))
         explained += len(rows)

@@ -89,3 +89,13 @@ def test_defined_cases(spark, docs_of):
     nothing = toxicity.score_documents(docs, labels.where("false")).collect()
     assert {r.predicted for r in nothing} == {0}
     assert toxicity.score_documents(docs.where("false"), labels).count() == 0
+
+
+def test_a_failing_feature_is_dropped_and_the_list_goes_on():
+    alone = toxicity.decision_list({"a": set(range(10)), "b": set(range(13))}, {"b": 5}, 13, 100)
+    assert [f for f, _ in alone[0]] == ["a"]
+    # after "a", "small" holds 4 toxic rows and 3 clean ones (gain -3.5), "large" 145 and 60 (gain -5, share 0.71)
+    rows = {"a": set(range(40)), "small": set(range(36, 44)), "large": set(range(100, 245))}
+    learned, _ = toxicity.decision_list(rows, {"small": 3, "large": 60}, 245, 1000)
+    assert [f for f, _ in learned] == ["a", "large"]
+    assert dict(learned)["large"] == 145.5 / 206
