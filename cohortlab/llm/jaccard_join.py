@@ -140,7 +140,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
                 mh = min_hashes([s for _, s in rows])
                 band = (mh.reshape(len(rows), BANDS, ROWS).astype(np.uint64) * mix).sum(axis=2, dtype=np.uint64)
                 band = ((band ^ (band >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)).view(np.int64)
-                low = (mh >> np.uint32(24)).astype(np.uint8)
+                low = mh.astype(np.uint8)  # the top byte of a minimum over many shingles is 0 for any text
                 yield pa.RecordBatch.from_arrays([
                     pa.array([d for d, _ in rows], pa.int64()), pa.array([hashlib.md5(s.tobytes()).digest() for _, s in rows], pa.binary()),
                     pa.array([r.tobytes() for r in low], pa.binary()),

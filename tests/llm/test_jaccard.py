@@ -102,3 +102,14 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(x) for x in parent if x != 5}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_unrelated_long_texts_are_pruned(docs_of):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(5000)]
+    texts = [rng.choices(words, k=1000) for _ in range(12)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)] + [(100, " ".join([*texts[0][:990], *texts[1][:10]]))]
+    got = sorted((r.doc_id, r.sig) for r in jj._signatures(docs_of(rows)).collect())
+    sig = np.array([np.frombuffer(s, np.uint8) for _, s in got])
+    i, j = np.triu_indices(len(sig), 1)
+    assert [(got[a][0], got[b][0]) for a, b in ((i[k], j[k]) for k in jj.survivors(sig, i, j))] == [(0, 100)]
