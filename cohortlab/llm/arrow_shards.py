@@ -178,7 +178,9 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     docs = files.mapInArrow(documents, "doc_id long, at long, n_tokens long, ids_crc32 long, shard string")
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    # Spark's names, part-<partition>-<job>-c<file>.<kind>: the numbers have more digits when there are many
+    number = lambda pattern: F.regexp_extract("shard", pattern, 1).try_cast("long")
+    before = Window.orderBy(number(r"^part-(\d+)"), number(r"-c(\d+)(?:\.|$)"), "shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = (files.mapInArrow(totals, "shard string, n long")
              .select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
     return docs.join(bases, "shard").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens",

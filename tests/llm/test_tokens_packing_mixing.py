@@ -177,3 +177,17 @@ def test_mix_sql(spark):
     want = con.sql(queries.ORACLES["op5_weighted_mix"]).df().sort_values("doc_id").reset_index(drop=True)
     got = queries.QUERIES["op5_weighted_mix"](spark, SF).toPandas().sort_values("doc_id").reset_index(drop=True)
     assert got.astype(str).equals(want[list(got.columns)].astype(str))
+
+
+def test_shards_are_in_order_by_number(spark, docs_of, tmp_path):
+    docs = docs_of([(k, f"text {k} " * 5) for k in range(40)])
+    path = arrow_shards.write_shards(docs.coalesce(1), scratch_dir(spark, "t"), BYTE, end_id=2, seq_len=8, rows_per_batch=2, shard_tokens=50)
+    files = [(r.path.rsplit("/", 1)[-1], bytes(r.content)) for r in spark.read.format("binaryFile").load(path).collect() if len(r.content)]
+    names = ["part-99999-u-c999", "part-99999-u-c1000", "part-100000-u-c000"]
+    assert all(f.startswith("part-") and "-c0" in f for f, _ in files) and len(files) >= 3
+    for name, (file, content) in zip(names, sorted(files), strict=False):
+        (tmp_path / (name + file[file.index("."):] if "." in file else name)).write_bytes(content)
+    rows = sorted(arrow_shards.read_documents(spark, str(tmp_path)).collect(), key=lambda r: r.start)
+    order = list(dict.fromkeys(r.shard.split(".")[0] for r in rows))
+    assert order == names
+    assert [r.start for r in rows] == np.concatenate([[0], np.cumsum([r.n_tokens for r in rows])[:-1]]).tolist()
