@@ -180,7 +180,7 @@ def test_patient_terms_match_python_with_hot_patient(spark):
     from cohortlab.functions.text import STOP_WORDS
     from cohortlab.operators import notes
     from cohortlab.sources.tables import Clinical
-    from conftest import SF_SMALL
+    from cohort_test_tables import SF_SMALL
 
     docs = Clinical(spark, SF_SMALL).raw("documents").select("doc_id", "text").orderBy("doc_id").collect()
     base = dt.date(2024, 1, 1)

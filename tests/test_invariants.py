@@ -11,7 +11,7 @@ from cohortlab.operators import metrics, notes
 from cohortlab.operators import phenotype as ph
 from cohortlab.sources.tables import Clinical
 
-from conftest import SF_SMALL
+from cohort_test_tables import SF_SMALL
 
 
 def test_topic_distributions_sum_to_one(spark, catalog):

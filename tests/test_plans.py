@@ -8,7 +8,7 @@ from cohortlab.operators import cohort, vitals
 from cohortlab.session import scratch_dir
 from cohortlab.sources.tables import Clinical
 
-from conftest import SF_SMALL
+from cohort_test_tables import SF_SMALL
 
 
 import pytest
