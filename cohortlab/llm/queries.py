@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm import ann_forest, arrow_shards, embedding_dedup, jaccard_join, language, mixing, oracles, packing, suffix_repeats, superkmer, toxicity
+from cohortlab.llm import ann_forest, arrow_shards, embedding_dedup, jaccard_join, language, line_quality, mixing, oracles, packing, suffix_repeats, superkmer, toxicity
 from cohortlab.llm.common import read
 from cohortlab.session import scratch_dir
 
@@ -75,3 +75,8 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_nearest_neighbours")
 def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_forest.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op11_line_quality", line_quality.sql())
+def line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.quality(read(spark, sf_dir, "documents"))
