@@ -25,7 +25,7 @@ FILLED = sorted(set(ORACLE_KEYS) - {"note_terms_from_details"})
 
 @pytest.mark.parametrize("key", FILLED)
 def test_oracle_has_rows(duck_small, key):
-    assert duck_small.sql(f"SELECT count(*) FROM ({_catalog.ORACLES[key]}) q").fetchone()[0] > 0
+    assert duck_small.execute(f"SELECT count(*) FROM ({_catalog.ORACLES[key]}) q").fetchall()[0][0] > 0
 
 
 def test_phenotype_label_counts(spark, catalog):
