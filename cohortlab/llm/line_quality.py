@@ -4,11 +4,11 @@ Every line is judged on its own, failing lines are removed, and a document that
 loses too much of its text goes.  A line (``\\n``-split, with at least a word)
 fails
 
+* **navigation**: two or more cell separators with at most ``CELL_WORDS`` words a
+  separator, or a short line with a navigation phrase;
 * **punctuation**: no word of its second half ends in a terminal mark (closing
   quotes and brackets may follow), or more than ``MARKED_PERCENT`` of its words are marked
   (a symbol inside, or two exclamation or question marks in a row);
-* **navigation**: two or more cell separators with at most ``CELL_WORDS`` words a
-  separator, or a short line with a navigation phrase;
 * **boilerplate**: a licence, copyright, cookie or sign-up phrase.
 
 The rules run in this order; a line counts for the first that it fails.  A
@@ -66,17 +66,15 @@ _NAV = re.compile("|".join(map(re.escape, NAV_PHRASES)))
 _BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE_PHRASES)))
 
 COLUMNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, "
-           "kept_chars long, failed_punctuation long, failed_navigation long, failed_boilerplate long, cleaned string")
+           "kept_chars long, failed_navigation long, failed_punctuation long, failed_boilerplate long, cleaned string")
 
 
 def failed_rule(line: str, words: list[str]) -> int:
-    """0 punctuation, 1 navigation, 2 boilerplate, -1 none."""
-    n_words = len(words)
-    if not _ENDS.search(" ".join(words[n_words // 2:])) or 100 * sum(1 for _ in _MARKED.finditer(line)) > MARKED_PERCENT * n_words:
-        return 0
-    cells = len(_SEPARATOR.findall(line))
-    low = line.lower()
+    """0 navigation, 1 punctuation, 2 boilerplate, -1 none."""
+    n_words, cells, low = len(words), len(_SEPARATOR.findall(line)), line.lower()
     if (cells >= 2 and n_words <= CELL_WORDS * cells) or (n_words <= NAV_WORDS and _NAV.search(low)):
+        return 0
+    if not _ENDS.search(" ".join(words[n_words // 2:])) or 100 * sum(1 for _ in _MARKED.finditer(line)) > MARKED_PERCENT * n_words:
         return 1
     return 2 if _BOILERPLATE.search(low) else -1
 

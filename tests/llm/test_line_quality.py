@@ -56,8 +56,8 @@ def test_rules_of_a_line():
     rule = lambda line: line_quality.failed_rule(line, WORD.findall(line))
     assert rule(PROSE) == -1 and rule("Is it so?\r") == -1 and rule("“It is so.”") == -1 and rule("真的。") == -1
     assert rule(PROSE + " and a tail") == -1  # a sentence ends in its second half
-    assert rule("no end of a sentence here") == 0 and rule("THIS!! IS!! LOUD!! NOW.") == 0 and rule("on$$$ and*** in%%% it.") == 0
-    assert rule("one | two words | three | four.") == 1 and rule("Click here to go on.") == 1 and rule("a » b » c.") == 1
+    assert rule("no end of a sentence here") == 1 and rule("THIS!! IS!! LOUD!! NOW.") == 1 and rule("on$$$ and*** in%%% it.") == 1
+    assert rule("one | two words | three | four.") == 0 and rule("Click here to go on.") == 0 and rule("a » b » c.") == 0
     assert rule("Licensed under the Apache License, Version 2.0.") == 2 and rule("© 2020 by them. All of it.") == 2
 
 
