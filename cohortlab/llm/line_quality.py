@@ -52,7 +52,7 @@ KEEP_PERCENT = 50
 
 #: Patterns that Python and RE2 read alike; the phrases are fixed values.
 ENDS = r"""[.!?:;…。！？]['"’”»)\]]*( |$)"""
-MARKED = r"[^\x20\x09-\x0D]*([#*$%&|<>]|[!?][!?])[^\x20\x09-\x0D]*"
+MARK = r"[#*$%&|<>]|[!?][!?]"
 SEPARATOR = r"[|»›•·]"
 NAV_PHRASES = ("click here", "log in", "login", "main menu", "next page", "previous page", "read more", "sign in", "sign up",
                "site map", "sitemap", "skip to content")
@@ -60,7 +60,7 @@ BOILERPLATE_PHRASES = ("all rights reserved", "cookie policy", "copyright", "ena
                        "powered by", "privacy policy", "spdx-license-identifier", "subscribe to our", "terms of service",
                        "terms of use", "©")
 
-_ENDS, _MARKED, _SEPARATOR = re.compile(ENDS), re.compile(MARKED), re.compile(SEPARATOR)
+_ENDS, _MARK, _SEPARATOR = re.compile(ENDS), re.compile(MARK), re.compile(SEPARATOR)
 _SYMBOL = re.compile(f"[{re.escape(SYMBOLS)}]")
 _NAV = re.compile("|".join(map(re.escape, NAV_PHRASES)))
 _BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE_PHRASES)))
@@ -74,7 +74,8 @@ def failed_rule(line: str, words: list[str]) -> int:
     n_words, cells, low = len(words), len(_SEPARATOR.findall(line)), line.lower()
     if (cells >= 2 and n_words <= CELL_WORDS * cells) or (n_words <= NAV_WORDS and _NAV.search(low)):
         return 0
-    if not _ENDS.search(" ".join(words[n_words // 2:])) or 100 * sum(1 for _ in _MARKED.finditer(line)) > MARKED_PERCENT * n_words:
+    if not _ENDS.search(" ".join(words[n_words // 2:])) or (
+            _MARK.search(line) and 100 * sum(1 for w in words if _MARK.search(w)) > MARKED_PERCENT * n_words):
         return 1
     return 2 if _BOILERPLATE.search(low) else -1
 
@@ -160,7 +161,7 @@ lines AS (
   FROM (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM docs) s),
 judged AS (
   SELECT r, len(array_to_string(words, '')) AS chars, row_number() OVER (PARTITION BY r, line ORDER BY pos) > 1 AS dup,
-         NOT regexp_matches(array_to_string(words[len(words) // 2 + 1:], ' '), '{ends}') OR 100 * len(regexp_extract_all(line, '{MARKED}')) > {MARKED_PERCENT} * len(words)
+         NOT regexp_matches(array_to_string(words[len(words) // 2 + 1:], ' '), '{ends}') OR 100 * len(list_filter(words, lambda w: regexp_matches(w, '{MARK}'))) > {MARKED_PERCENT} * len(words)
          OR (len(regexp_extract_all(line, '{SEPARATOR}')) >= 2 AND len(words) <= {CELL_WORDS} * len(regexp_extract_all(line, '{SEPARATOR}')))
          OR (len(words) <= {NAV_WORDS} AND {phrases(NAV_PHRASES)}) OR {phrases(BOILERPLATE_PHRASES)} AS fails
   FROM lines WHERE len(words) > 0),

@@ -62,9 +62,9 @@ def test_rules_of_a_line():
 
 
 def test_documents_that_lose_too_much_go():
-    prose, lost = (PROSE + "\n") * 1, "words without any end of a sentence in them at all\n"
-    assert line_quality.judge([prose + lost])[0][6] is True
-    assert line_quality.judge([prose + "".join(lost.replace("all", f"all{i}") for i in range(4))])[0][5:7] == (False, False)
+    prose, lost = PROSE + "\n", [f"words{i} without any{i} end{i} of a{i} sentence{i} in{i} them\n" for i in range(4)]
+    assert line_quality.judge([prose + lost[0]])[0][6] is True
+    assert line_quality.judge([prose + "".join(lost)])[0][5:7] == (False, False)
 
 
 def test_very_long_text_and_long_word():
