@@ -10,7 +10,9 @@ name drop out, so the work after the first rounds is that of the repeats alone.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pandas as pd
@@ -37,10 +39,9 @@ def slices(texts: pa.Array, chars: int = 1 << 22) -> Iterator[tuple[int, list[st
 
 def numbered(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of all texts in one array, equal for equal words, and the texts' bounds in it."""
-    code: dict[str, int] = {}
+    code: dict[str, int] = defaultdict(count().__next__)
     bounds = np.concatenate([[0], np.cumsum([len(w) for w in texts], dtype=np.int64)])
-    flat = np.fromiter((code.setdefault(w, len(code)) for words in texts for w in words), np.int64, bounds[-1])
-    return flat, bounds
+    return np.fromiter(map(code.__getitem__, chain.from_iterable(texts)), np.int64, bounds[-1]), bounds
 
 
 def _repeated(at: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
