@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm import ann_forest, arrow_shards, embedding_dedup, jaccard_join, language, line_quality, mixing, oracles, packing, periodic_runs, suffix_repeats, superkmer, toxicity
+from cohortlab.llm import ann_forest, arrow_shards, embedding_dedup, jaccard_join, language, line_quality, mixing, oracles, packing, periodic_runs, suffix_repeats, superkmer, toxicity, vector_codes
 from cohortlab.llm.common import read
 from cohortlab.session import scratch_dir
 
@@ -82,6 +82,11 @@ def line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality(read(spark, sf_dir, "documents"))
 
 
+@query("op12_vector_codes", vector_codes.sql())
+def vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read(spark, sf_dir, "embeddings"))
+
+
 @query("op13_periodic_runs")
 def periodic_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(read(spark, sf_dir, "documents"))
