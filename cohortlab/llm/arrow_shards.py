@@ -3,11 +3,11 @@
 Each shard file holds two Arrow IPC streams, one after the other:
 
 1. ``input_ids fixed_size_list<uint16|uint32>[seq_len]`` and ``mask
-   fixed_size_list<bool>[seq_len]``: the shard's documents joined in ascending
+   fixed_size_list<uint8>[seq_len]``: the shard's documents joined in ascending
    ``doc_id`` order and cut into sequences of ``seq_len``.  All batches have
    ``rows_per_batch`` sequences and so the same byte length: sequence ``i`` is
-   found by arithmetic and read without copying (``Shard``).  The tail is
-   padding with a false mask.
+   found by arithmetic and read without copying (``Shard``), ids and mask alike.
+   The tail is padding with mask 0.
 2. ``doc_id int64, start int64, n_tokens int64``: where each document lies in
    the shard.
 
@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortlab.llm.tokens import encoder
+from cohortlab.llm.common import keep
+from cohortlab.llm.tokens import encoder, slices
 
 _TAIL = b"\x00\x00\x00\x00"
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -41,21 +42,21 @@ _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens",
 
 def _shard_bytes(ids: np.ndarray, doc_ids: list, lengths: list[int], seq_len: int, rows: int) -> bytes:
     """Both streams of one shard."""
-    n_batches = max(1, -(-len(ids) // (seq_len * rows)))
-    padded = np.zeros(n_batches * rows * seq_len, dtype=ids.dtype)
-    padded[:len(ids)] = ids
-    mask = np.zeros(len(padded), dtype=bool)
-    mask[:len(ids)] = True
+    size = rows * seq_len
     kind = pa.from_numpy_dtype(ids.dtype)
     schema = pa.schema([("input_ids", pa.list_(pa.field("item", kind, False), seq_len)),
-                        ("mask", pa.list_(pa.field("item", pa.bool_(), False), seq_len))])
+                        ("mask", pa.list_(pa.field("item", pa.uint8(), False), seq_len))])
+    ones = np.ones(size, np.uint8)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, schema) as out:
-        for b in range(n_batches):
-            at = slice(b * rows * seq_len, (b + 1) * rows * seq_len)
+        for at in range(0, max(len(ids), 1), size):
+            part, mask = ids[at:at + size], ones
+            if len(part) < size:  # the last batch
+                mask = (np.arange(size) < len(part)).astype(np.uint8)
+                part = np.concatenate([part, np.zeros(size - len(part), ids.dtype)])
             out.write_batch(pa.record_batch([
-                pa.FixedSizeListArray.from_arrays(pa.array(padded[at], kind), type=schema.field(0).type),
-                pa.FixedSizeListArray.from_arrays(pa.array(mask[at]), type=schema.field(1).type)], schema=schema))
+                pa.FixedSizeListArray.from_arrays(pa.array(part, kind), type=schema.field(0).type),
+                pa.FixedSizeListArray.from_arrays(pa.array(mask), type=schema.field(1).type)], schema=schema))
     starts = np.concatenate([[0], np.cumsum(lengths)])[:-1].astype(np.int64)
     with pa.ipc.new_stream(sink, _INDEX) as out:
         out.write_batch(pa.record_batch([pa.array(doc_ids, pa.int64()), pa.array(starts), pa.array(lengths, pa.int64())],
@@ -78,24 +79,25 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, rule: str = "l
         parts, doc_ids, lengths, total = [], [], [], 0
 
         def shard() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(parts), dtype=enc.dtype)
-            return pa.record_batch([pa.array([_shard_bytes(ids, doc_ids, lengths, seq_len, rows_per_batch)], pa.binary())],
+            return pa.record_batch([pa.array([_shard_bytes(np.concatenate(parts), doc_ids, lengths, seq_len, rows_per_batch)], pa.binary())],
                                    names=["content"])
 
         for batch in batches:
-            ids_of = batch.column("doc_id").to_pylist()
-            texts = batch.column("text")
-            for i, doc_id in enumerate(ids_of):
-                if i % 64 == 0:
-                    encoded = enc.encode(texts.slice(i, 64).to_pylist(), end_id)
-                ids = encoded[i % 64]
-                parts.append(ids)
-                doc_ids.append(doc_id)
-                lengths.append(len(ids) // enc.dtype.itemsize)
-                total += lengths[-1]
-                if total >= shard_tokens:
-                    yield shard()
-                    parts, doc_ids, lengths, total = [], [], [], 0
+            for at, texts in slices(batch.column("text")):
+                ids, bounds = enc.encode(texts, end_id)
+                own = batch.column("doc_id").slice(at, len(texts)).to_pylist()
+                i = 0
+                while i < len(own):  # up to the document that fills the shard
+                    j = min(int(np.searchsorted(bounds, bounds[i] + shard_tokens - total)), len(own))
+                    j = max(j, i + 1)
+                    parts.append(ids[bounds[i]:bounds[j]].copy())
+                    doc_ids += own[i:j]
+                    lengths += np.diff(bounds[i:j + 1]).tolist()
+                    total += int(bounds[j] - bounds[i])
+                    i = j
+                    if total >= shard_tokens:
+                        yield shard()
+                        parts, doc_ids, lengths, total = [], [], [], 0
         if doc_ids:
             yield shard()
 
@@ -133,10 +135,10 @@ class Shard:
         return self.n_batches * self._rows
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (a view of the file's bytes) and mask of sequence ``i``."""
+        """Ids and mask of sequence ``i``, views of the file's bytes."""
         batch = self._batch(i // self._rows)
-        ids, mask = (batch.column(k)[i % self._rows].values for k in (0, 1))
-        return ids.to_numpy(zero_copy_only=True), mask.to_numpy(zero_copy_only=False)
+        ids, mask = (batch.column(k)[i % self._rows].values.to_numpy(zero_copy_only=True) for k in (0, 1))
+        return ids, mask.view(np.bool_)
 
     def tokens(self) -> np.ndarray:
         """All unmasked ids in order."""
@@ -144,7 +146,7 @@ class Shard:
         for b in range(self.n_batches):
             batch = self._batch(b)
             ids = batch.column(0).flatten().to_numpy(zero_copy_only=True)
-            out.append(ids[batch.column(1).flatten().to_numpy(zero_copy_only=False)])
+            out.append(ids[batch.column(1).flatten().to_numpy(zero_copy_only=True).view(np.bool_)])
         return np.concatenate(out)
 
 
@@ -163,25 +165,19 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 shard = Shard(data)
                 ids, table = shard.tokens(), shard.index
                 starts, counts = table["start"].to_numpy(), table["n_tokens"].to_numpy()
-                crcs = [zlib.crc32(ids[s:s + n].astype("<u4").tobytes()) for s, n in zip(starts, counts, strict=True)]
+                wide = ids.astype("<u4")
+                crcs = [zlib.crc32(wide[s:s + n]) for s, n in zip(starts, counts, strict=True)]
                 yield pa.record_batch([table["doc_id"].combine_chunks(), pa.array(starts), pa.array(counts),
                                        pa.array(crcs, pa.int64()), pa.array([name.rsplit("/", 1)[-1]] * len(crcs), pa.string())],
                                       names=["doc_id", "at", "n_tokens", "ids_crc32", "shard"])
 
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                data = content.as_buffer()
-                if data is not None and data.size:
-                    n = int(Shard(data).index["n_tokens"].to_numpy().sum())
-                    yield pa.record_batch([pa.array([name.rsplit("/", 1)[-1]]), pa.array([n], pa.int64())], names=["shard", "n"])
-
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    docs = files.mapInArrow(documents, "doc_id long, at long, n_tokens long, ids_crc32 long, shard string")
+    # written once, so that the shards are read once
+    docs = keep(files.mapInArrow(documents, "doc_id long, at long, n_tokens long, ids_crc32 long, shard string"), "shard-documents")
     # Spark's names, part-<partition>-<job>-c<file>.<kind>: the numbers have more digits when there are many
     number = lambda pattern: F.regexp_extract("shard", pattern, 1).try_cast("long")
     before = Window.orderBy(number(r"^part-(\d+)"), number(r"-c(\d+)(?:\.|$)"), "shard").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (files.mapInArrow(totals, "shard string, n long")
+    bases = (docs.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
              .select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
     return docs.join(bases, "shard").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens",
                                             "ids_crc32", "shard")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlab.llm.common import keep
-from cohortlab.llm.tokens import encoder
+from cohortlab.llm.tokens import encoder, slices
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, rule: str = "drop", end_id: int = 0, capacity: int = 2048,
@@ -35,20 +35,19 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, rule: str = "drop", end_i
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path, rule)
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
         for batch in batches:
-            rows: list[tuple] = []
-            texts = batch.column("text")
-            encoded = (ids for i in range(0, batch.num_rows, 256) for ids in enc.encode(texts.slice(i, 256).to_pylist(), end_id))
-            for doc_id, packed in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
-                ids = np.frombuffer(packed, dtype=enc.dtype)
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start:start + capacity]
-                    crc = zlib.crc32(part.astype("<u4").tobytes())
-                    rows.append((doc_id, piece, start, len(part), crc, *([part.tobytes()] if with_ids else [])))
-            cols = list(zip(*rows, strict=True)) or [()] * (5 + with_ids)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=False)], names=names[:len(cols)])
+            for at, texts in slices(batch.column("text")):
+                rows: list[tuple] = []
+                ids, bounds = enc.encode(texts, end_id)
+                wide = ids.astype("<u4")
+                for doc_id, a, b in zip(batch.column("doc_id").slice(at, len(texts)).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    for piece, start in enumerate(range(a, b, capacity)):
+                        stop = min(start + capacity, b)
+                        rows.append((doc_id, piece, start - a, stop - start, zlib.crc32(wide[start:stop]), *([ids[start:stop].tobytes()] if with_ids else [])))
+                cols = list(zip(*rows, strict=True)) or [()] * (5 + with_ids)
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=False)], names=names[:len(cols)])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -1,8 +1,9 @@
-"""Token ids of whole texts with the ``tokenizers`` library, one call per distinct piece.
+"""Token ids of whole texts with the ``tokenizers`` library, one call per distinct piece of a slice.
 
-A text is cut where the tokenizer's own pre-tokenizer always cuts, every
-distinct piece is encoded once by the library, and the ids of a text are the
-joined ids of its pieces.  ``rule`` names the cuts that are safe for a file:
+Texts are cut where the tokenizer's own pre-tokenizer always cuts, the pieces of
+a slice are numbered in Arrow, each distinct piece is encoded once, and the ids
+of a text are gathered from those of its pieces.  ``rule`` names the cuts that are
+safe for a file:
 
 * ``"lead"`` (byte-level BPE whose words start with their space): before a
   single space that stands between two non-spaces.  A text with other white
@@ -10,137 +11,174 @@ joined ids of its pieces.  ``rule`` names the cuts that are safe for a file:
 * ``"drop"`` (BPE that drops white space): at every space and newline.
 * ``"whole"``: no cut; any other tokenizer.
 
-Special-token strings inside a text are ordinary text.
+A text with the string of an added token is encoded in one call, so it gets the
+library's own ids.  Nothing is remembered between slices: a worker holds one
+slice of texts, its pieces and their ids.
 """
 
 from __future__ import annotations
 
 import os
-import re
-from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces remembered per Python worker and generation (two generations are kept).
-CACHE_PIECES = 500_000
+#: Bytes of text in a slice (one longer text is a slice of its own), and pieces per call.
+SLICE_BYTES = 12 << 20
+CALL_PIECES = 200
 
-#: A Latin word and the stops or the newline and Latin word after it: every rule cuts between these parts.
-_PARTS = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,]*)(\n[a-zA-ZÀ-ÖØ-öø-ÿ]+)?")
-_WORD = {" ": re.compile(r"[ \n][a-zA-ZÀ-ÖØ-öø-ÿ]+"), "": re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+")}
+_LATIN = "[a-zA-ZÀ-ÖØ-öø-ÿ]+"
+
+
+def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(row number, part) of parts of ``column`` of at most ``limit`` bytes, or one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right"))
+        upto = max(upto, at + 1)
+        yield at, column.slice(at, upto - at)
+        at = upto
+
+
+def _gathered(ids: np.ndarray, counts: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the pieces ``order`` one after the other, and where each begins and the last ends; ``counts``: ids of each piece."""
+    sizes = counts[order]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    starts = np.cumsum(counts) - counts
+    return ids[np.repeat(starts[order] - ends[:-1], sizes) + np.arange(ends[-1])], ends
 
 
 class Encoder:
-    """Encodes texts to packed little-endian ids; remembers the ids of recent pieces."""
+    """Encodes slices of texts to one array of ids and the texts' bounds in it."""
 
     def __init__(self, path: str, rule: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.rule = rule
-        small = self.tokenizer.get_vocab_size() <= 1 << 16
-        self.dtype, self._kind = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
-        #: piece -> ids; with rule "lead" a piece stands without its space, and None marks one that must not be cut off
-        self.new: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
-        #: part of a piece, with its space -> ids
-        self.parts: dict[str, bytes] = {}
-        self._lead = " " if rule == "lead" else ""
-        #: tokens that begin with a space or newline, or that end a word
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocab = self.tokenizer.get_vocab()
-        self._mark = np.zeros(max(vocab.values()) + 1, bool)
-        self._mark[[i for t, i in vocab.items() if (t[0] in "\u0120\u010a" if self._lead else t.endswith("</w>"))]] = True
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return array(self._kind, ids).tobytes()
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        #: the ids whose tokens begin with a space (rule "lead": each piece's first and no other) or end a word (rule "drop")
+        self._marks = np.zeros(max(vocab.values()) + 1, bool)
+        self._marks[[i for t, i in vocab.items() if (t.startswith("Ġ") if rule == "lead" else t.endswith("</w>"))]] = True
+        #: rule "drop": a word of one token, which parts the pieces of a call
+        words = sorted((t[:-4] for t in vocab if t.endswith("</w>") and t[:-4].isascii() and t[:-4].isalpha() and len(t) > 12), key=lambda t: (-len(t), t))
+        self._stop: tuple[str, int] | None = next(((w, ids[0]) for w in words if len(ids := self._ids([w])[0]) == 1), None) if rule == "drop" else None
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
         out = []
         for i in range(0, len(texts), 4096):
-            out += [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)]
-        return out
-
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of Latin letters, many per call: the token strings show where each word begins or ends."""
-        out: list[bytes] = []
-        for i in range(0, len(words), 2000):
-            part = words[i:i + 2000]
-            text = "".join(part) if self._lead else " ".join(part)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-            marks = np.flatnonzero(self._mark[ids])
-            cuts = marks if self._lead else np.concatenate([[0], marks[:-1] + 1])
-            if len(cuts) != len(part):
-                out += self._encode(part)
-                continue
-            raw, n = ids.tobytes(), self.dtype.itemsize
-            ends = np.append(cuts[1:], len(ids)) * n
-            out += [raw[a:b] for a, b in zip((cuts * n).tolist(), ends.tolist(), strict=True)]
+            out += [e.ids for e in self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)]
         return out
 
-    def _learn(self, missing: dict[str, None]) -> None:
-        """Ids of new pieces; a piece is first taken apart where every rule cuts, since its parts are often known."""
-        parts: dict[str, None] = {}  # as the tokenizer sees them, with their space
-        of = []
-        for piece in missing:
-            if self._lead and (not piece or piece[0].isspace() or piece[-1].isspace()):
-                self.new[piece] = None
-                continue
-            m = _PARTS.fullmatch(piece)
-            own = [self._lead + m[1], *(x for x in m.groups()[1:] if x)] if m else [self._lead + piece]
-            of.append((piece, own))
-            for x in own:
-                if x not in self.parts:
-                    parts[x] = None
-        if len(self.parts) > CACHE_PIECES:
-            self.parts.clear()
-            parts = dict.fromkeys(x for _, own in of for x in own)
-        words = [x for x in parts if _WORD[self._lead].fullmatch(x)]
-        self.parts.update(zip(words, self._encode_words(words), strict=True))
-        others = [x for x in parts if x not in self.parts]
-        self.parts.update(zip(others, self._encode(others), strict=True))
-        for piece, own in of:
-            self.new[piece] = b"".join([self.parts[x] for x in own])
-
-    def encode(self, texts: list[str | None], end_id: int | None = None) -> list[bytes]:
-        """Ids of each text (null: none) as packed bytes, with ``end_id`` appended."""
-        end = b"" if end_id is None else self._pack([end_id])
-        if self.rule == "whole":
-            return [ids + end for ids in self._encode([t or "" for t in texts])]
-        if len(self.new) > CACHE_PIECES:
-            self.old, self.new = self.new, {}
-        if self.rule == "lead":  # the first piece has no space before it
-            first, split = [], []
-            for t in texts:
-                head, _, rest = (t or "").partition(" ")
-                first.append(head)
-                split.append(rest.split(" ") if _ else [])
-            heads = self._encode(first)
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each text), a text at a time."""
+        ids = self._ids(texts)
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for own in ids for i in own), self.dtype, counts.sum()), counts
+
+    def _joined(self, pieces: list[str], marks: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each piece), many pieces a call.
+
+        ``marks`` tells the ids that begin a piece (rule "lead") or end one (rule "drop", words of letters); without it a
+        word of one token stands after each piece.
+        """
+        ids, counts = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
+        lead = self.rule == "lead"
+        for i in range(0, len(pieces), CALL_PIECES):
+            part = pieces[i:i + CALL_PIECES]
+            text = "".join(f"{p} {self._stop[0]} " for p in part) if marks is None else (" " if lead else "") + " ".join(part)
+            own = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            at = np.flatnonzero(own == self._stop[1] if marks is None else marks[own])
+            if len(at) != len(part):  # a piece holds the parting word
+                own, n = self._each([" " + p for p in part] if lead else part)
+            elif lead:
+                n = np.diff(np.append(at, len(own)))
+            else:
+                n = np.diff(at, prepend=-1)
+                if marks is None:
+                    n, own = n - 1, np.delete(own, at)
+            ids.append(own)
+            counts.append(n)
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each piece); pieces of rule "lead" stand without their space.
+
+        Words of Latin letters are parted from stops and commas behind them, where both rules cut, since
+        there are fewer distinct words than pieces.
+        """
+        base = pc.utf8_rtrim(pieces, ".,")
+        latin = pc.match_substring_regex(base, f"^{_LATIN}$")
+        with_word, others = pieces.filter(latin), pieces.filter(pc.invert(latin)).to_pylist()
+        words = base.filter(latin)
+        words = (words if self.rule == "lead" else pc.utf8_lower(words)).dictionary_encode()
+        stops = pc.replace_substring_regex(with_word, f"^{_LATIN}", "").dictionary_encode()
+        found = [self._joined(words.dictionary.to_pylist(), self._marks), self._each(stops.dictionary.to_pylist()),
+                 self._joined(others, self._marks if self.rule == "lead" else None) if self.rule == "lead" or self._stop else self._each(others)]
+        ids, counts = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        n_words, n_stops = len(words.dictionary), len(stops.dictionary)
+        order = np.full((len(pieces), 2), len(counts), np.int64)
+        is_word = latin.to_numpy(zero_copy_only=False)
+        order[is_word, 0] = words.indices.to_numpy()
+        order[is_word, 1] = n_words + stops.indices.to_numpy()
+        order[~is_word, 0] = n_words + n_stops + np.arange(len(others))
+        ids, ends = _gathered(ids, np.append(counts, 0).astype(np.int64), order.ravel())
+        return ids, np.diff(ends[::2])
+
+    def encode(self, texts: pa.Array | list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, bounds): text i (null: empty), with ``end_id`` appended, has the ids ``bounds[i]:bounds[i + 1]``."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        n, end = len(texts), np.array([] if end_id is None else [end_id], self.dtype)
+        whole = np.full(n, self.rule == "whole")
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        if self.rule == "whole" or not n:
+            at, own, ids, counts, bad = np.zeros(n, np.int64), np.zeros(0, np.int64), [], [], None
         else:
-            split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-            heads = [b""] * len(texts)
-        new, old = self.new, self.old
-        missing = dict.fromkeys(w for words in split for w in words if w not in new)
-        for w in [w for w in missing if w in old]:
-            new[w] = old[w]
-            del missing[w]
-        self._learn(missing)
-        out = []
-        for i, words in enumerate(split):
-            try:
-                if heads[i] and first[i][-1].isspace():
-                    raise TypeError
-                out.append(heads[i] + b"".join([new[w] for w in words]) + end)
-            except TypeError:  # white space beside a space: the whole text at once
-                out.append(self._encode([texts[i]])[0] + end)
-        return out
+            split = pc.split_pattern(pc.replace_substring(texts, "\n", " ") if self.rule == "drop" else texts, " ")
+            first, flat = split.offsets.to_numpy()[:-1].astype(np.int64) - split.offsets[0].as_py(), split.flatten()
+            at = np.diff(np.append(first, len(flat)))
+            coded = flat.dictionary_encode()
+            own, pieces = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+            if self.rule == "lead":  # a text's first piece has no space before it
+                heads = flat.take(pa.array(first)).dictionary_encode()
+                own[first] = heads.indices.to_numpy() + len(pieces)
+                head = heads.dictionary.to_pylist()
+                spaced = pc.or_(pc.equal(pieces, ""), pc.not_equal(pc.utf8_trim_whitespace(pieces), pieces))
+                bad = np.concatenate([spaced.to_numpy(zero_copy_only=False), [p[-1:].isspace() for p in head]])
+                whole |= np.logical_or.reduceat(bad[own], first)
+                parts = [self._pieces(pc.if_else(spaced, "x", pieces)), self._each(head)]
+            else:
+                parts = [self._pieces(pieces)]
+            ids, counts = ([p[k] for p in parts] for k in (0, 1))
+        alone = np.flatnonzero(whole)
+        lone, lone_counts = self._each(texts.take(pa.array(alone)).to_pylist())
+        known = sum(map(len, counts))
+        ids, counts = np.concatenate([*ids, lone, end]), np.concatenate([*counts, lone_counts, [len(end)]]).astype(np.int64)
+        # the numbers of all pieces in order: those of a text, or the text itself, and the end
+        n_own = np.where(whole, 1, at)
+        place = np.concatenate([[0], np.cumsum(n_own + 1)])
+        order = np.full(place[-1], len(counts) - 1, np.int64)
+        if len(own):
+            text = np.repeat(np.arange(n), at)
+            stays = ~whole[text]
+            order[(place[text] + np.arange(len(own)) - np.repeat(np.cumsum(at) - at, at))[stays]] = own[stays]
+        order[place[alone]] = known + np.arange(len(alone))
+        ids, ends = _gathered(ids, counts, order)
+        return ids, ends[place]
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
 def encoder(path: str, rule: str) -> Encoder:
-    """The encoder of this Python worker for a tokenizer file."""
+    """The encoder of this Python worker for a tokenizer file; it holds the file's vocabulary alone."""
     if (path, rule) not in _ENCODERS:
         _ENCODERS[path, rule] = Encoder(path, rule)
     return _ENCODERS[path, rule]

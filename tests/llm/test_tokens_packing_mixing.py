@@ -11,13 +11,14 @@ import pytest
 from tokenizers import Tokenizer
 
 from cohortlab.llm import arrow_shards, mixing, packing, queries
-from cohortlab.llm.tokens import Encoder
+from cohortlab.llm.tokens import Encoder, slices
 from cohortlab.session import scratch_dir
 
 SF = "/root/testdata/sf0.01"
 BYTE, WORDS = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
 ODD = [None, "", " ", "\n", "a", " a", "a ", "a  b", "a \n b\t c ", "x y z", "é ́e é", "it's we'LL I'd", "1234 5 六七 八",
-       "\x1c a\x85b 　c", "!!! ... ?!a", "Σας ΣΑΣ", "word " * 5000, "n" * 3000, "\U0001f600 \U0001f600\U0001f601", "a\r\n\r\nb"]
+       "\x1c a\x85b 　c", "!!! ... ?!a", "Σας ΣΑΣ", "word " * 5000, "n" * 3000, "\U0001f600 \U0001f600\U0001f601", "a\r\n\r\nb",
+       "a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>y <|endoftext|>\nz ", "a  b<|endoftext|>"]
 
 
 def crc(ids):
@@ -27,11 +28,18 @@ def crc(ids):
 @pytest.mark.parametrize("path, rule", [(BYTE, "lead"), (BYTE, "whole"), (WORDS, "drop")])
 def test_pieces_encode_like_whole_texts(path, rule, sf_docs):
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     enc = Encoder(path, rule)
     texts = ODD + [r[1] for r in sf_docs[:150]]
-    for text, ids in zip(texts, enc.encode(texts), strict=True):
-        assert np.frombuffer(ids, enc.dtype).tolist() == plain.encode(text or "", add_special_tokens=False).ids, repr(text)
+    for end in (None, 7):
+        ids, bounds = enc.encode(texts, end)
+        for text, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+            assert ids[a:b].tolist() == plain.encode(text or "", add_special_tokens=False).ids + [7] * (end is not None), repr(text)
+    assert [x.tolist() for x in enc.encode([])] == [[], [0]]
+
+
+def test_slices_are_bounded_by_bytes():
+    column = pa.array(["aaaa", None, "bb", "c" * 50, "", "dd", "eeee"])
+    assert [(at, part.to_pylist()) for at, part in slices(column, 6)] == [(0, ["aaaa", None, "bb"]), (3, ["c" * 50]), (4, ["", "dd", "eeee"])]
 
 
 def test_token_shards_equal_brute_force(spark, sf_docs):
@@ -60,7 +68,8 @@ def test_shards_round_trip_and_random_access(spark, docs_of):
         plain = np.concatenate([b.column(0).flatten().to_numpy() for b in reader])
         for i in range(len(shard)):
             ids, mask = shard.sequence(i)
-            assert ids.tolist() == plain[8 * i:8 * i + 8].tolist() and len(mask) == 8
+            assert ids.tolist() == plain[8 * i:8 * i + 8].tolist() and len(mask) == 8 and mask.dtype == bool
+            assert all(shard.buffer.address <= x.ctypes.data < shard.buffer.address + shard.buffer.size for x in (ids, mask))
         assert len(shard.tokens()) == sum(shard.index["n_tokens"].to_pylist())
 
 
