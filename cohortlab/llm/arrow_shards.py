@@ -3,7 +3,7 @@
 Each shard file holds two Arrow IPC streams, one after the other:
 
 1. ``input_ids fixed_size_list<uint16|uint32>[seq_len]`` and ``mask
-   fixed_size_list<uint8>[seq_len]``: the shard's documents joined in ascending
+   fixed_size_list<uint8>[seq_len / 8]``, a bit per id, lowest first: the shard's documents joined in ascending
    ``doc_id`` order and cut into sequences of ``seq_len``.  All batches have
    ``rows_per_batch`` sequences and so the same byte length: sequence ``i`` is
    found by arithmetic and read without copying (``Shard``), ids and mask alike.
@@ -45,14 +45,14 @@ def _shard_bytes(ids: np.ndarray, doc_ids: list, lengths: list[int], seq_len: in
     size = rows * seq_len
     kind = pa.from_numpy_dtype(ids.dtype)
     schema = pa.schema([("input_ids", pa.list_(pa.field("item", kind, False), seq_len)),
-                        ("mask", pa.list_(pa.field("item", pa.uint8(), False), seq_len))])
-    ones = np.ones(size, np.uint8)
+                        ("mask", pa.list_(pa.field("item", pa.uint8(), False), seq_len // 8))])
+    ones = np.full(size // 8, 255, np.uint8)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, schema) as out:
         for at in range(0, max(len(ids), 1), size):
             part, mask = ids[at:at + size], ones
             if len(part) < size:  # the last batch
-                mask = (np.arange(size) < len(part)).astype(np.uint8)
+                mask = np.packbits(np.arange(size) < len(part), bitorder="little")
                 part = np.concatenate([part, np.zeros(size - len(part), ids.dtype)])
             out.write_batch(pa.record_batch([
                 pa.FixedSizeListArray.from_arrays(pa.array(part, kind), type=schema.field(0).type),
@@ -71,9 +71,12 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, rule: str = "l
                  seq_len: int = 1024, rows_per_batch: int = 16, shard_tokens: int = 4_000_000) -> str:
     """Encode ``docs`` (doc_id, text) and write shard files under ``path`` in ascending ``doc_id`` order.
 
-    One shuffle: the texts, range-partitioned by ``doc_id``.  A task holds one
+    ``seq_len`` is a multiple of 8.  One shuffle: the texts, range-partitioned by ``doc_id``.  A task holds one
     shard (``shard_tokens`` ids, or one longer document) at a time.
     """
+    if seq_len % 8:
+        raise ValueError("seq_len must be a multiple of 8: a mask is a whole number of bytes")
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path, rule)
         parts, doc_ids, lengths, total = [], [], [], 0
@@ -108,6 +111,11 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, rule: str = "l
     return path
 
 
+def unpacked(bits: np.ndarray) -> np.ndarray:
+    """The booleans of mask bits."""
+    return np.unpackbits(bits, bitorder="little").view(np.bool_)
+
+
 class Shard:
     """Random access to one shard file's bytes (a memory map, a buffer); nothing is copied."""
 
@@ -135,10 +143,10 @@ class Shard:
         return self.n_batches * self._rows
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``, views of the file's bytes."""
+        """Ids and mask bits of sequence ``i``, both views of the file's bytes; ``unpacked`` makes booleans of the bits."""
         batch = self._batch(i // self._rows)
-        ids, mask = (batch.column(k)[i % self._rows].values.to_numpy(zero_copy_only=True) for k in (0, 1))
-        return ids, mask.view(np.bool_)
+        ids, bits = (batch.column(k)[i % self._rows].values.to_numpy(zero_copy_only=True) for k in (0, 1))
+        return ids, bits
 
     def tokens(self) -> np.ndarray:
         """All unmasked ids in order."""
@@ -146,7 +154,7 @@ class Shard:
         for b in range(self.n_batches):
             batch = self._batch(b)
             ids = batch.column(0).flatten().to_numpy(zero_copy_only=True)
-            out.append(ids[batch.column(1).flatten().to_numpy(zero_copy_only=True).view(np.bool_)])
+            out.append(ids[unpacked(batch.column(1).flatten().to_numpy(zero_copy_only=True))])
         return np.concatenate(out)
 
 

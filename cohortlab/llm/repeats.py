@@ -436,9 +436,12 @@ def earlier_spans(docs: DataFrame, u: Units, resolve: Callable) -> DataFrame:
     n_buckets = max(BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     digest = docs.where("doc_id is not null and text is not null").select("doc_id", "text_hash", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"))
     least = digest.groupBy("digest").agg(F.min("doc_id").alias("least"))
-    copies = digest.join(least, "digest").where(F.col("doc_id") > F.col("least")).select("doc_id", "text_hash")
+    against = digest.join(least, "digest").select("doc_id", "text_hash", (F.col("doc_id") > F.col("least")).alias("copy"))
+    copies = against.where("copy").select("doc_id", "text_hash")
+    # an id of which every row is a copy sends nothing; rows that share their id with another text do
+    nothing_else = against.groupBy("doc_id").agg(F.min(F.col("copy").cast("int")).alias("copy")).where("copy = 1").select("doc_id")
     wanted = (_wanted(docs.select("doc_id", "text"), u, n_buckets).groupBy("doc_id").agg(F.collect_list("keys").alias("lists"))
-              .join(copies.select("doc_id").distinct(), "doc_id", "left_anti"))
+              .join(nothing_else, "doc_id", "left_anti"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

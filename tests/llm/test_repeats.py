@@ -171,3 +171,13 @@ def test_equal_windows_have_one_minimiser():
         for p in range(f, f + m):
             assert seen.setdefault(tuple(w[p:p + 6]), k) == k
     assert total == sum(max(0, len(t.split()) - 5) for t in texts)
+
+
+def test_a_copy_and_another_text_under_one_id(spark):
+    """The second row of id 5 repeats another document though the first is a whole copy."""
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    docs = spark.createDataFrame([(1, a), (2, b), (5, a), (5, b + " tail")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in superkmer.dedup(docs).collect())
+    assert got == [(1, 60, 0), (2, 60, 0), (5, 60, 60), (5, 61, 60)]
+    cut = sorted((r.doc_id, r.n_bytes - r.n_removed) for r in suffix_repeats.dedup(docs).collect())
+    assert cut == [(1, len(a)), (2, len(b)), (5, 0), (5, 5)]
