@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortlab.operators import metrics
+from cohortlab.operators import metrics, running
 from cohortlab.plans.catalog import r6, register
 from cohortlab.sources.tables import Clinical, with_views
 
@@ -116,3 +116,22 @@ def auc_score(spark, d):
 def auc_hard(spark, d):
     a = metrics.auc(_preds(spark, d), score="h", out="auc_hard")
     return a.select(r6("auc_hard").alias("auc_hard"))
+
+
+@register("running_meter", with_views(
+    f"SELECT batch_id, round(val, 6) AS val, n, round(sum(val * n) OVER w, 6) AS sum, cast(sum(n) OVER w AS BIGINT) AS count, "
+    f"round(sum(val * n) OVER w / sum(n) OVER w, 6) AS avg FROM (SELECT batch_id, accuracy_pct AS val, n FROM ({_BATCH_SQL}) b) u "
+    f"WINDOW w AS (ORDER BY batch_id ROWS UNBOUNDED PRECEDING)", "predictions"))
+def running_meter(spark, d):
+    """The accuracy meter after each batch: last value, sum, count and running average."""
+    updates = _batches(spark, d).withColumnRenamed("accuracy_pct", "val")
+    out = running.running_meter(updates, [F.col("batch_id")])
+    return out.select("batch_id", r6("val").alias("val"), "n", r6("sum").alias("sum"), "count", r6("avg").alias("avg"))
+
+
+@register("document_numbers", with_views(
+    "SELECT note_id, subject_id, row_number() OVER (ORDER BY subject_id, chartdate, note_id) - 1 AS idx FROM noteevents", "noteevents"))
+def document_numbers(spark, d):
+    """Notes numbered 0, 1, 2 ... in (patient, day, note) order."""
+    notes = Clinical(spark, d).noteevents.select("note_id", "subject_id", "chartdate")
+    return running.dense_numbers(notes, [F.col("subject_id"), F.col("chartdate"), F.col("note_id")]).select("note_id", "subject_id", "idx")

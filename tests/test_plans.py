@@ -79,12 +79,16 @@ def test_vitals_features_shuffles(spark):
     spark.createDataFrame([(1, dt.datetime(2024, 1, 10, 8), 211, 80.0)],
                           "subject_id long, charttime timestamp_ntz, itemid int, valuenum double").write.parquet(cpath)
     spark.createDataFrame([(1, dt.date(2024, 1, 10), 0)], "subject_id long, max_date date, angus int").write.parquet(ppath)
-    plan = _plan(vitals.vitals_features(spark.read.parquet(cpath), spark.read.parquet(ppath)))
-    # above the join an exchange on the full key, so the join may be skew-split and the groups spread
-    above = plan.split("SortMergeJoin [subject_id")[-2] if plan.count("SortMergeJoin [subject_id") > 1 else plan
-    assert "Exchange hashpartitioning(subject_id" in above and "REPARTITION_BY_COL" in plan and "pk" in plan
-    # below it the readings are counted map-side per (patient, vital, day, value)
-    assert "partial_count" in plan and "chart_date" in plan
+    chart, anchor = spark.read.parquet(cpath), spark.read.parquet(ppath)
+    whole = vitals.vitals_features(chart, anchor)._jdf.queryExecution().toString()
+    assert "percentile" not in whole and "collect_list" not in whole
+    # the ranked rows come from a table that is cut by (group, value): no map and no window holds a whole group
+    counted = vitals.value_counts(vitals.label_vitals(chart), ["subject_id", "label"])
+    plan = _plan(vitals.stats_of_counts(counted, ["subject_id", "label"]))
+    assert "percentile" not in plan and "_range" in plan
+    for line in plan.splitlines():
+        if "Window [" in line and "upto" in line:
+            assert "_range" in line or "_by_" in line, line
 
 
 def test_patient_terms_counts_before_the_join(spark):
