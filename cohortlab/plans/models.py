@@ -10,14 +10,14 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortlab.operators import metrics
+from cohortlab.operators.logistic import NewtonLogistic
+from cohortlab.operators.running import dense_numbers
 from cohortlab.session import keep
 
 
@@ -36,18 +36,13 @@ def feature_columns(df: DataFrame, label: str, exclude=("subject_id", "max_date"
             if f.name != label and f.name not in exclude and f.dataType.simpleString() in numeric]
 
 
-def logistic_estimator(features: list[str], label: str, n_train: int, C: float = 1.0, max_iter: int = 100,
-                      tol: float = 1e-4) -> Pipeline:
-    """Assembler + L2 logistic regression whose objective equals ``C * sum(logloss) + |w|^2 / 2``.
+def logistic_estimator(features: list[str], label: str, n_train: int | None = None, C: float = 1.0, max_iter: int = 50,
+                       tol: float = 1e-9) -> Pipeline:
+    """L2 logistic regression with objective ``C * sum(logloss) + |w|^2 / 2``, fitted by Newton steps to a gradient below ``tol``.
 
-    Spark minimises ``mean(logloss) + regParam * |w|^2 / 2``, so regParam = 1 / (C * n);
-    features are not standardised (the common library default).
+    ``n_train`` is not needed and kept for callers of the former signature.
     """
-    asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (C * max(n_train, 1)),
-                            elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol,
-                            fitIntercept=True)
-    return Pipeline(stages=[asm, lr])
+    return Pipeline(stages=[NewtonLogistic(features=list(features), label=label, C=C, tol=tol, maxIter=max_iter)])
 
 
 def scores(model: PipelineModel, data: DataFrame, key: str, label: str, name: str) -> DataFrame:
@@ -66,8 +61,7 @@ def fit_and_score(data: DataFrame, feature_sets: dict[str, list[str]], label: st
     """
     split = keep(hash_split(data, key, seed=seed).repartition(key), "split")
     train, test = (split.where(F.col("split") == s).drop("split") for s in ("train", "test"))
-    n_train = train.count()
-    labelled = [(name, logistic_estimator(cols, label, n_train)) for name, cols in feature_sets.items()]
+    labelled = [(name, logistic_estimator(cols, label)) for name, cols in feature_sets.items()]
     return fit_estimators(train, test, labelled, label, key)
 
 
@@ -97,6 +91,36 @@ def comparison(score_table: DataFrame) -> DataFrame:
 def top_coefficients(model: PipelineModel, features: list[str], k: int = 15) -> DataFrame:
     """The ``k`` features with the largest absolute logistic weight (``feature, weight``)."""
     # the weight vector has one entry per feature column: bounded by the schema, not the data
-    weights = [float(w) for w in model.stages[-1].coefficients.toArray()]
+    weights = [float(w) for w in model.stages[-1].coefficients]
     df = SparkSession.getActiveSession().createDataFrame(list(zip(features, weights)), "feature string, weight double")
     return df.orderBy(F.abs("weight").desc(), F.col("feature")).limit(k)
+
+
+def permutation_importance(model: Model, data: DataFrame, features: list[str], label: str = "angus", key: str = "subject_id",
+                           seed: int = 17) -> DataFrame:
+    """``feature, importance, auc, base_auc``: how much AUC is lost when a feature's values are dealt to other rows.
+
+    Works for any fitted model that adds ``probability``.  Rows are numbered by the hash of their key; feature f of row i
+    is taken from row (i + shift of f) mod n, so every value is used once.  All features are scored in one
+    pass over (feature, row) rows and ranked by one grouped AUC; nothing is gathered.
+    """
+    rows = dense_numbers(data.select(key, label, *features), [F.xxhash64(F.lit(seed), key), F.col(key)], "_row")
+    rows = keep(rows, "importance-rows")
+    n = rows.count()
+    names = F.array(*[F.lit(f) for f in features])
+    # a shift per feature, 1 .. n - 1, fixed by its name
+    spun = rows.withColumn("_feature", F.explode(names)).withColumn(
+        "_donor", (F.col("_row") + 1 + F.pmod(F.xxhash64(F.lit(seed), F.col("_feature")), F.lit(max(n - 1, 1)))) % max(n, 1))
+    values = F.explode(F.array(*[F.struct(F.lit(f).alias("_f"), F.col(f"`{f}`").cast("double").alias("_value")) for f in features]))
+    donors = rows.select(F.col("_row").alias("_from"), values.alias("_v")).select("_from", "_v.*")
+    dealt = spun.join(donors, (spun["_donor"] == donors["_from"]) & (spun["_feature"] == donors["_f"]))
+    moved = dealt.select(key, label, F.col("_feature").alias("feature"),
+                         *[F.when(F.col("_feature") == f, F.col("_value")).otherwise(F.col(f"`{f}`").cast("double")).alias(f) for f in features])
+    unmoved = rows.select(key, label, F.lit("").alias("feature"), *[F.col(f"`{f}`").cast("double").alias(f) for f in features])
+    scored = model.transform(moved.unionByName(unmoved)).select("feature", F.col(label).cast("int").alias("y"),
+                                                                vector_to_array("probability")[1].alias("p"))
+    aucs = metrics.auc(scored, by=["feature"])
+    # one row per feature
+    base = F.max(F.when(F.col("feature") == "", F.col("auc"))).over(Window.partitionBy(F.lit(0)))
+    return (aucs.withColumn("base_auc", base).where("feature <> ''")
+            .select("feature", (F.col("base_auc") - F.col("auc")).alias("importance"), "auc", "base_auc"))

@@ -81,6 +81,16 @@ def top_coefficients(spark, d):
     return models.top_coefficients(fitted["logistic"], cols, 15)
 
 
+@register("feature_importance")
+def feature_importance(spark, d):
+    """The 15 features whose loss costs the fitted model most AUC on the test split."""
+    split = keep(models.hash_split(_features(spark, d)), "split")
+    cols = models.feature_columns(split, LABEL)
+    model = models.logistic_estimator(cols, LABEL).fit(split.where("split = 'train'"))
+    out = models.permutation_importance(model, split.where("split = 'test'"), cols, LABEL)
+    return out.orderBy(F.col("importance").desc(), "feature").limit(15)
+
+
 @register("model_roundtrip", with_views(
     "SELECT subject_id, angus AS y, TRUE AS equal FROM patient_anchor WHERE "
     "cast('0x' || left(md5('17-' || cast(subject_id AS varchar)), 6) AS BIGINT) >= 11744051", "patient_anchor"))
@@ -89,7 +99,7 @@ def model_roundtrip(spark, d):
     data = keep(models.hash_split(_features(spark, d)), "split")
     cols = models.feature_columns(data, LABEL)
     train = data.where(F.col("split") == "train")
-    m = models.logistic_estimator(cols, LABEL, train.count()).fit(train)
+    m = models.logistic_estimator(cols, LABEL).fit(train)
     path = scratch_dir(spark, "model")
     m.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
