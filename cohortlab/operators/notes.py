@@ -7,8 +7,9 @@ Scale notes
   tokenizing every note and counting (patient, term) pairs gives the same bag.
   That count is a partial/final aggregate, so a patient with a huge share of
   the notes is reduced map-side before any shuffle.
-* ``patient_terms`` never shuffles note text: tokens are counted per (patient,
-  note day, term) before the join, whatever the size of the anchor table.
+* ``patient_terms`` joins the notes to the anchor first, so that notes after it are
+  neither tokenized nor counted; while the anchor table is under the broadcast threshold no text
+  moves, beyond it the join is shuffled and a hot patient's notes are split by AQE.
 * ``note_sequence`` keeps one row per (patient, note) with its position;
   ``notes_concat`` joins them to one string per patient only for callers that
   ask for it (a string is bounded by Spark's 2 GB); the topic features never do.
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.functions.text import STOP_WORDS, tokens
+from cohortlab.operators.heavy import top_terms
 
 ID = "subject_id"
 
@@ -62,16 +64,10 @@ def note_terms(notes: DataFrame, key: str = ID, drop_stop_words: bool = True) ->
 def patient_terms(patients: DataFrame, notes: DataFrame, anchor_col: str = "max_date") -> DataFrame:
     """``subject_id, term, n``: the bag of words of each patient's notes up to the anchor day.
 
-    Equal to ``note_terms(notes_before_anchor(patients, notes))``.  Tokens are
-    counted per (patient, day, term) before the join, so no note text is
-    shuffled and a patient with many notes arrives pre-aggregated.
+    Equal to ``note_terms(notes_before_anchor(patients, notes))``: the small key side prunes the notes first, so
+    only notes up to the anchor are tokenized, and the tokens are counted map-side into (patient, term).
     """
-    anchor = patients.select(F.col(ID).alias("_pid"), F.col(anchor_col).alias("_anchor"))
-    per_day = (notes.select(ID, "chartdate", F.explode(tokens("text")).alias("term"))
-               .where(~F.col("term").isin(STOP_WORDS))
-               .groupBy(ID, "chartdate", "term").agg(F.count(F.lit(1)).alias("n")))
-    j = per_day.join(anchor, (per_day[ID] == anchor["_pid"]) & (per_day["chartdate"] <= anchor["_anchor"]))
-    return j.groupBy(ID, "term").agg(F.sum("n").alias("n"))
+    return note_terms(notes_before_anchor(patients, notes, anchor_col))
 
 
 def term_stats(bag: DataFrame, key: str = ID) -> DataFrame:
@@ -83,11 +79,11 @@ def vocabulary(bag: DataFrame, vocab_size: int = 10000, key: str = ID, min_df: i
     """The ``vocab_size`` most frequent terms: ``idx, term, term_count, doc_freq``.
 
     Order (and ``idx``) is total count descending, then term, so ties at the
-    cut are decided by the term and the result is deterministic.  The cut is
-    a distributed top-k (per-partition top ``vocab_size``, then a merge); only
-    the ``vocab_size`` survivors are numbered.
+    cut are decided by the term and the result is deterministic.  Counts are those of
+    certified heavy hitters (``heavy.top_terms``), so the shuffle does not carry every distinct
+    term; only the ``vocab_size`` survivors are numbered.
     """
-    stats = term_stats(bag, key).where(F.col("doc_freq") >= min_df)
+    stats = top_terms(bag, vocab_size, min_df)
     top = stats.orderBy(F.col("term_count").desc(), F.col("term").asc()).limit(vocab_size)
     w = Window.orderBy(F.col("term_count").desc(), F.col("term").asc())
     return top.select((F.row_number().over(w) - 1).cast("int").alias("idx"), "term", "term_count", "doc_freq")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortlab.functions.codes import SEPSIS_CODE_SETS
-from cohortlab.operators import cohort
+from cohortlab.operators import code_rules, cohort
 from cohortlab.plans.catalog import register
 from cohortlab.sources.tables import Clinical, with_views
 
@@ -53,6 +53,21 @@ for _crit, _tab, _extra in [("infection", "diagnoses_icd", ["seq_num"]),
     register(f"flag_{_crit}", _sql)(_q)
 
 
+_ALL_CODES_SQL = ("SELECT subject_id, hadm_id, 'D' AS kind, icd9_code FROM diagnoses_icd UNION ALL "
+                  "SELECT subject_id, hadm_id, 'P' AS kind, icd9_code FROM procedures_icd")
+
+
+@register("code_set_flags", with_views(
+    f"SELECT subject_id, hadm_id, kind, icd9_code, {', '.join(f'{_sql_flag(c)} AS {c}' for c in SEPSIS_CODE_SETS)} FROM ({_ALL_CODES_SQL}) u",
+    "diagnoses_icd", "procedures_icd"))
+def code_set_flags(spark, d):
+    """All four flags of every diagnosis and procedure, from the rule table."""
+    c = Clinical(spark, d)
+    codes = c.diagnoses_icd.select("subject_id", "hadm_id", F.lit("D").alias("kind"), "icd9_code").unionByName(
+        c.procedures_icd.select("subject_id", "hadm_id", F.lit("P").alias("kind"), "icd9_code"))
+    return code_rules.with_flags(codes, code_rules.rule_table(spark, SEPSIS_CODE_SETS), list(SEPSIS_CODE_SETS))
+
+
 # --- joins with ICU stays (J1, J2) --------------------------------------------
 
 @register("diag_icu_join", with_views(

@@ -4,8 +4,8 @@ CSV columns are found by their header names and read as text; rows with the
 wrong number of fields are dropped, whatever columns are asked for, and a value
 that does not fit its column's type becomes NULL (``bad_values`` counts them).
 A doubled quote inside a quoted field is a literal quote.  Quoted fields may
-span lines only with ``multi_line=True``: such a file is read by one task, so
-only tables with free text should ask for it.  Sinks write a directory of part
+span lines only with ``multi_line=True``; such files too are split over tasks
+(``split_csv.py``).  Sinks write a directory of part
 files; ``write_single_csv`` is the explicit exception.
 """
 
@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from cohortlab.sources import split_csv
+
 # fixed value: the table-name rule
 _TABLE_NAME = re.compile(r"(\w+)(\.csv)?$")
 
@@ -55,9 +57,15 @@ def read_csv_text(spark: SparkSession, path: str, schema: StructType | str, head
     """The columns of ``schema`` as text, found by header name (by position without a header)."""
     fields = _struct(schema).fields
     reader = spark.read.options(**dict(CSV_READ_OPTIONS, header=str(header).lower(), multiLine=str(multi_line).lower(), **options))
-    if not header:
+    if multi_line:
+        names = [f.name for f in fields] if not header else reader.csv(path).columns
+        raw = split_csv.read_text_columns(spark, path, names, header, CSV_READ_OPTIONS | options)
+        if not header:
+            return raw
+    elif not header:
         return reader.schema(StructType([StructField(f.name, StringType()) for f in fields])).csv(path)
-    raw = reader.csv(path)
+    else:
+        raw = reader.csv(path)
     missing = [f.name for f in fields if f.name.lower() not in {c.lower() for c in raw.columns}]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
@@ -93,9 +101,17 @@ def load_csv_as_table(spark: SparkSession, path: str, schema: StructType | str,
     return df
 
 
-def register_tables(spark: SparkSession, tables: dict[str, StructType | str]) -> dict[str, DataFrame]:
-    """Register several CSV files (path -> schema) as temp views; returns name -> DataFrame."""
-    return {infer_table_name(p): load_csv_as_table(spark, p, s) for p, s in tables.items()}
+def register_tables(spark: SparkSession, tables: dict[str, StructType | str | tuple]) -> dict[str, DataFrame]:
+    """Register several CSV files as temp views; returns name -> DataFrame.
+
+    ``tables``: path -> schema, or path -> (schema, options of ``load_csv_as_table``), e.g.
+    ``{"NOTEEVENTS.csv": (schema, {"multi_line": True})}``.
+    """
+    out = {}
+    for path, value in tables.items():
+        schema, options = value if isinstance(value, tuple) else (value, {})
+        out[options.get("table_name") or infer_table_name(path)] = load_csv_as_table(spark, path, schema, **options)
+    return out
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options: str) -> str:
