@@ -12,24 +12,25 @@ Steps (all distributed; the driver only holds the model and the vocabulary):
    gather holds at most ``vocab_size`` (index, count) pairs per patient, however
    many notes the patient has.  Patients whose notes have no vocabulary term
    get an empty vector, as a count vectorizer gives them.
-4. Online variational LDA (k topics, ``max_iter`` passes, mini-batch fraction
-   ``min(1, 2 / 100 + 1 / corpus size)``, symmetric default priors, no prior
-   re-estimation), then the per-patient topic distribution unpacked into
-   ``topic_1 .. topic_k``.
+4. Online variational topic model (``operators/topic_table.py``): k topics,
+   ``max_iter`` mini-batches, symmetric priors 1 / k; the topic-term weights are a
+   table, mini-batches are chosen by a hash of the document key, so topics do not
+   depend on partitions or shuffle settings.  Then the per-patient topic distribution
+   as ``topic_1 .. topic_k``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import LDA, LocalLDAModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from cohortlab.operators import notes as notes_ops
+from cohortlab.operators import topic_table
 from cohortlab.session import keep, scratch_dir
 
 NUM_TOPICS = 20
@@ -37,7 +38,7 @@ VOCAB_SIZE = 10000
 MAX_ITER = 2
 MINI_BATCH_ITER_BASE = 100  # the mini-batch fraction is 2 / this + 1 / corpus size
 TOP_TERMS = 100
-DOC_PARTITIONS = 64  # of the count vectors: a mini-batch is sampled per partition, so their number is part of the model
+DOC_PARTITIONS = 64  # files of the count vectors
 
 
 def count_vectors(bag: DataFrame, vocab: DataFrame, doc_keys: DataFrame, size: int,
@@ -84,25 +85,28 @@ def mini_batch_fraction(corpus_size: int) -> float:
 
 @dataclass
 class TopicModel:
-    model: LocalLDAModel
+    """``weights``: topic, idx, weight; ``vocab``: idx, term; ``docs``: entries (key, idx, n); ``keys``: every document's key."""
+
+    weights: DataFrame
     vocab: DataFrame
     docs: DataFrame
+    keys: DataFrame
+    k: int
     key: str = "subject_id"
 
     def topic_columns(self) -> DataFrame:
         """``<key>, topic_1 .. topic_k`` (each row sums to 1; an empty document gives all zeros)."""
-        k = self.model.getK()
-        dist = self.model.transform(self.docs).select(self.key, vector_to_array("topicDistribution").alias("t"))
-        return dist.select(self.key, *[F.col("t")[i].alias(f"topic_{i + 1}") for i in range(k)])
+        dist = topic_table.distributions(self.docs, self.weights, self.k, self.key)
+        rows = self.keys.join(dist, self.key, "left")
+        return rows.select(self.key, *[F.coalesce(F.col("share")[i], F.lit(0.0)).alias(f"topic_{i + 1}") for i in range(self.k)])
 
     def topic_terms(self, max_terms: int = TOP_TERMS) -> DataFrame:
         """``topic, rank, term, weight``: the top terms of every topic, rank 1 first."""
-        desc = self.model.describeTopics(max_terms)
-        pairs = desc.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("pos", "tw"))
-        ranked = pairs.select("topic", (F.col("pos") + 1).alias("rank"), F.col("tw.termIndices").alias("idx"),
-                              F.col("tw.termWeights").alias("weight"))
-        return ranked.join(F.broadcast(self.vocab.select("idx", "term")), "idx").select(
-            "topic", "rank", "term", "weight")
+        best = Window.partitionBy("topic").orderBy(F.col("weight").desc(), "idx")
+        share = F.col("weight") / F.sum("weight").over(Window.partitionBy("topic"))
+        ranked = self.weights.select("topic", "idx", share.alias("weight"), F.row_number().over(best).alias("rank")).where(F.col("rank") <= max_terms)
+        # at most vocab_size rows
+        return ranked.join(F.broadcast(self.vocab.select("idx", "term")), "idx").select("topic", "rank", "term", "weight")
 
 
 def fit_topics(notes: DataFrame, k: int = NUM_TOPICS, vocab_size: int = VOCAB_SIZE, max_iter: int = MAX_ITER,
@@ -115,9 +119,9 @@ def fit_topics(notes: DataFrame, k: int = NUM_TOPICS, vocab_size: int = VOCAB_SI
 def fit_topics_from_bag(bag: DataFrame, doc_keys: DataFrame, k: int = NUM_TOPICS, vocab_size: int = VOCAB_SIZE,
                         max_iter: int = MAX_ITER, seed: int = 41, key: str = "subject_id") -> TopicModel:
     """Fit on a (key, term, n) bag; ``doc_keys`` lists every document (empty ones included)."""
-    vocab, docs = vectors_from_bag(bag, doc_keys, vocab_size, key)
-    corpus_size = docs.count()
-    lda = LDA(k=k, maxIter=max_iter, optimizer="online", subsamplingRate=mini_batch_fraction(corpus_size),
-              optimizeDocConcentration=False, seed=seed, featuresCol="features")
-    model = lda.fit(docs)
-    return TopicModel(model=model, vocab=vocab, docs=docs, key=key)
+    bag = keep(bag, "bag")
+    vocab = keep(notes_ops.vocabulary(bag, vocab_size, key=key), "vocabulary")  # <= vocab_size rows
+    docs = keep(bag.join(F.broadcast(vocab.select("term", "idx")), "term").select(key, "idx", "n"), "topic-entries")
+    keys = keep(doc_keys, "topic-documents")
+    weights = topic_table.fit(docs, vocab.select("idx"), k, keys.count(), max_iter, mini_batch_fraction(keys.count()), seed, key)
+    return TopicModel(weights, vocab, docs, keys, k, key)
