@@ -71,7 +71,9 @@ def document_topics(n: np.ndarray, beta: np.ndarray, k: int) -> tuple[np.ndarray
 
 def _documents(entries: DataFrame, weights: DataFrame, k: int, key: str) -> DataFrame:
     """One row per document: its terms in order with counts and expected weights; at most vocabulary x k numbers."""
-    met = entries.join(F.broadcast(expected(weights, k)), "idx")  # the model: at most vocabulary rows
+    # as many tasks as the session shuffles to, however small the entries are: the work is in solving the documents
+    tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = entries.repartition(tasks, key).join(F.broadcast(expected(weights, k)), "idx")  # the model: at most vocabulary rows
     return met.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", F.col("n").cast("double").alias("n"), "beta"))).alias("own"))
 
 

@@ -7,6 +7,7 @@ distributed jobs.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -21,6 +22,10 @@ from cohortlab.operators.running import dense_numbers
 from cohortlab.session import keep
 
 
+#: Models that are fitted at a time.
+PARALLEL_FITS = 4
+
+
 def hash_split(df: DataFrame, key: str = "subject_id", train_frac: float = 0.7, seed: int = 17,
                out: str = "split") -> DataFrame:
     """Deterministic train / test split by the md5 of seed and key (independent of partitioning, repeatable in SQL)."""
@@ -74,7 +79,9 @@ def fit_estimators(train: DataFrame, test: DataFrame, labelled: list[tuple[str,
     """
     # passes of an iterative fit read the columns from memory or, once lost, from the scratch folder
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    fitted = {name: estimator.fit(train) for name, estimator in labelled}
+    # the fits are many short jobs each: they run side by side
+    with ThreadPoolExecutor(max(1, min(len(labelled), PARALLEL_FITS))) as pool:
+        fitted = dict(zip([name for name, _ in labelled], pool.map(lambda pair: pair[1].fit(train), labelled), strict=True))
     train.unpersist()
     tables = [scores(m, test, key, label, name) for name, m in fitted.items()]
     return keep(reduce(DataFrame.unionByName, tables), "scores"), fitted
