@@ -21,11 +21,14 @@ Scale notes
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.functions.text import STOP_WORDS, tokens
 from cohortlab.operators.heavy import top_terms
+from cohortlab.operators.running import prefix_sums
 
 ID = "subject_id"
 
@@ -53,6 +56,30 @@ def notes_concat(notes: DataFrame, order=("chartdate", "note_id")) -> DataFrame:
     return rows.groupBy(ID).agg(F.array_join(F.transform(ordered, lambda s: s["_t"]), " ").alias("text"))
 
 
+def note_chunks(notes: DataFrame, order=("chartdate", "note_id"), chunk_bytes: int = 1 << 20) -> DataFrame:
+    """``subject_id, chunk, offset, text``: each patient's joined text in chunks of bounded size, spread over tasks.
+
+    A note lies in the chunk that its first byte falls into; ``offset`` is the chunk's first byte in the text of
+    ``notes_concat``, so a chunk holds at most ``chunk_bytes`` and the rest of its last note.  ``order`` must
+    tell a patient's notes apart.  Offsets are two-level running sums over the notes' lengths alone; the texts
+    move once to their offsets and once to their chunks, whatever share of them one patient has.
+    """
+    own = notes.where(F.col("text").isNotNull())
+    sizes = own.select(ID, *order, (F.octet_length("text") + 1).cast("long").alias("_size"))
+    placed = prefix_sums(sizes, [F.col(c) for c in order], {"_upto": F.col("_size")}, [ID])
+    placed = placed.select(*[F.col(c).alias(f"_{c}") for c in (ID, *order)], (F.col("_upto") - F.col("_size")).alias("_start"))
+    same = reduce(lambda a, b: a & b, [own[c].eqNullSafe(placed[f"_{c}"]) for c in (ID, *order)])
+    rows = own.join(placed, same).withColumn("chunk", F.floor(F.col("_start") / chunk_bytes).cast("long"))
+    ordered = F.array_sort(F.collect_list(F.struct("_start", F.col("text").alias("_t"))))
+    return rows.groupBy(ID, "chunk").agg(F.min("_start").alias("offset"), F.array_join(F.transform(ordered, lambda p: p["_t"]), " ").alias("text"))
+
+
+def text_of_chunks(chunks: DataFrame) -> DataFrame:
+    """``subject_id, text`` of ``notes_concat`` from the chunks, for callers that want one string."""
+    ordered = F.array_sort(F.collect_list(F.struct("chunk", F.col("text").alias("_t"))))
+    return chunks.groupBy(ID).agg(F.array_join(F.transform(ordered, lambda p: p["_t"]), " ").alias("text"))
+
+
 def note_terms(notes: DataFrame, key: str = ID, drop_stop_words: bool = True) -> DataFrame:
     """``<key>, term, n``: token counts per key over whole note texts."""
     t = notes.select(key, F.explode(tokens("text")).alias("term"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortlab.functions.text import STOP_WORDS, tokens, without_stop_words
 from cohortlab.operators import notes
 from cohortlab.plans import q_cohort
-from cohortlab.plans.catalog import register
+from cohortlab.plans.catalog import ORACLES, register
 from cohortlab.sources.tables import Clinical, with_views
 
 VOCAB_SIZE = 10000
@@ -38,6 +38,25 @@ def notes_concat(spark, d):
     return notes.notes_concat(_notes(spark, d))
 
 
+CHUNK_BYTES = 16_384
+_STARTS_SQL = (f"SELECT subject_id, chartdate, note_id, text, sum(strlen(text) + 1) OVER (PARTITION BY subject_id ORDER BY chartdate, note_id "
+               f"ROWS UNBOUNDED PRECEDING) - strlen(text) - 1 AS start FROM ({_NOTES_SQL}) x WHERE text IS NOT NULL")
+
+
+@register("note_chunks", with_views(
+    f"SELECT subject_id, cast(start // {CHUNK_BYTES} AS BIGINT) AS chunk, cast(min(start) AS BIGINT) AS offset, "
+    f"string_agg(text, ' ' ORDER BY chartdate, note_id) AS text FROM ({_STARTS_SQL}) s GROUP BY 1, 2", "noteevents", "patient_anchor"))
+def note_chunks(spark, d):
+    """Each patient's joined text as chunks of bounded size."""
+    return notes.note_chunks(_notes(spark, d), chunk_bytes=CHUNK_BYTES)
+
+
+@register("notes_concat_chunked", ORACLES["notes_concat"])
+def notes_concat_chunked(spark, d):
+    """The joined text rebuilt from the chunks."""
+    return notes.text_of_chunks(notes.note_chunks(_notes(spark, d), chunk_bytes=CHUNK_BYTES))
+
+
 @register("tokenize", f"SELECT doc_id, pos, term FROM (SELECT doc_id, unnest(toks) AS term, generate_subscripts(toks, 1) - 1 AS pos "
                       f"FROM (SELECT doc_id, {_TOK_SQL} AS toks FROM documents) t) u")
 def tokenize(spark, d):
@@ -96,7 +115,13 @@ def count_vectors(spark, d):
     return topics.vector_entries(docs)
 
 
-@register("note_terms_from_details", q_cohort.with_details(_BAG_SQL))
+#: The patients of the details lived thirty years before the notes; their notes are those of the same day of the month then.
+_EARLIER_DAYS = 10_957
+
+
+@register("note_terms_from_details", q_cohort.with_details(_BAG_SQL.replace(
+    "noteevents n", f"(SELECT subject_id, note_id, cast(chartdate - {_EARLIER_DAYS} AS DATE) AS chartdate, text FROM noteevents) n")))
 def note_terms_from_details(spark, d):
     """The chained job: dates, patient details, bag of words."""
-    return notes.patient_terms(q_cohort.patient_details(spark, d), Clinical(spark, d).noteevents)
+    earlier = Clinical(spark, d).noteevents.withColumn("chartdate", F.date_sub("chartdate", _EARLIER_DAYS))
+    return notes.patient_terms(q_cohort.patient_details(spark, d), earlier)

@@ -91,3 +91,22 @@ def test_running_meter_and_numbers(spark):
     assert [(r["batch"], r["idx"]) for r in numbered.orderBy("idx").collect()] == [(r[0], k) for k, r in enumerate(order)]
     plan = numbered._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in plan.splitlines() if "Exchange SinglePartition" in x and "_add_" in x]
+
+
+def test_chunks_of_a_hot_patient(spark):
+    """A patient with a third of all notes is many chunks over several ranges; the chunks join to the whole text."""
+    from cohortlab.operators import notes
+    rnd = random.Random(2)
+    rows = [(1 if i % 3 == 0 else rnd.randrange(2, 40), f"2024-01-{1 + i % 28:02d}", i, None if i % 41 == 0 else "é" * rnd.randrange(0, 60)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "subject_id long, chartdate string, note_id long, text string").repartition(5)
+    chunks = notes.note_chunks(df, chunk_bytes=500)
+    whole: dict = {}
+    for s, _, _, t in sorted((r for r in rows if r[3] is not None), key=lambda r: (r[0], r[1], r[2])):
+        whole.setdefault(s, []).append(t)
+    whole = {s: " ".join(t) for s, t in whole.items()}
+    got = chunks.collect()
+    assert {r["subject_id"]: r["text"] for r in notes.text_of_chunks(chunks).collect()} == whole
+    assert len([r for r in got if r["subject_id"] == 1]) > 50 and max(len(r["text"].encode()) for r in got) < 500 + 121
+    for r in got:
+        part = r["text"].encode()
+        assert whole[r["subject_id"]].encode()[r["offset"]:r["offset"] + len(part)] == part
