@@ -37,9 +37,10 @@ from cohortlab.llm.vectors import typed, usable
 
 THRESHOLD = 0.98
 TREES, LEAF, SAMPLE, LEAST_SAMPLE = 4, 512, 2048, 16
-#: Half width of the strip around a split whose vectors go to both sides.  Two unit vectors at
-#: cosine 0.98 are 0.2 apart, 0.025 on a random direction of 64 dimensions, and part only if 0.08 apart there.
-SPILL = 0.04
+#: Half width of the strip around a split whose vectors go to both sides, times the root of the dimension, since
+#: projections of unit vectors spread as one over that root.  Two of them at cosine 0.98 are 0.2 apart, 0.025 on a
+#: random direction of 64 dimensions, and part only if 0.08 apart there.
+SPILL = 0.32
 #: LEAF is at most BLOCK, so a group without a forest is one block.  PART: vectors that meet one copy of their group's forest.
 #: OUT_ROWS: rows that a task hands on at once.
 BLOCK, PART, OUT_ROWS = 1024, 2048, 4096
@@ -50,9 +51,14 @@ def _direction(tree: int, node: int, dim: int) -> np.ndarray:
     return v / np.linalg.norm(v)
 
 
+def half_width(dim: int, spill: float) -> float:
+    return spill / max(dim, 1) ** 0.5
+
+
 def fit_tree(sample: np.ndarray, members: int, tree: int, most: int = LEAF, spill: float = SPILL) -> dict[int, float]:
     """Split points by node (root 1, children 2n and 2n + 1), until a leaf would hold ``most`` of the ``members``."""
     out: dict[int, float] = {}
+    width = half_width(sample.shape[1], spill)
     todo = [(1, sample)]
     while todo:
         node, own = todo.pop()
@@ -60,7 +66,7 @@ def fit_tree(sample: np.ndarray, members: int, tree: int, most: int = LEAF, spil
             continue
         at = own @ _direction(tree, node, sample.shape[1])
         cut = float(np.median(at))
-        low, high = own[at <= cut + spill], own[at >= cut - spill]
+        low, high = own[at <= cut + width], own[at >= cut - width]
         if len(low) ** 2 + len(high) ** 2 >= len(own) ** 2:
             continue  # what goes to both sides, such as a dense group, outweighs the split: blocks will part them
         out[node] = cut
@@ -71,6 +77,7 @@ def fit_tree(sample: np.ndarray, members: int, tree: int, most: int = LEAF, spil
 def leaves(vectors: np.ndarray, tree: int, cuts: dict[int, float], spill: float = SPILL) -> tuple[np.ndarray, np.ndarray]:
     """(vector number, leaf) of all leaves that each vector is in."""
     who, leaf = [], []
+    width = half_width(vectors.shape[1], spill)
     todo = [(1, np.arange(len(vectors)))]
     while todo:
         node, own = todo.pop()
@@ -79,7 +86,7 @@ def leaves(vectors: np.ndarray, tree: int, cuts: dict[int, float], spill: float
             leaf.append(np.full(len(own), node))
         elif len(own):
             at = vectors[own] @ _direction(tree, node, vectors.shape[1])
-            todo += [(2 * node, own[at <= cuts[node] + spill]), (2 * node + 1, own[at >= cuts[node] - spill])]
+            todo += [(2 * node, own[at <= cuts[node] + width]), (2 * node + 1, own[at >= cuts[node] - width])]
     return np.concatenate(who), np.concatenate(leaf)
 
 

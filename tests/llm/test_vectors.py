@@ -62,7 +62,6 @@ def plain_links(rows):
 def test_planted_copies(spark, monkeypatch, leaf, block):
     monkeypatch.setattr(embedding_dedup, "LEAF", leaf)
     monkeypatch.setattr(embedding_dedup, "BLOCK", block)
-    monkeypatch.setattr(embedding_dedup, "SPILL", 0.1)  # 16 dimensions: near pairs part by more
     rows = planted()
     got = embedding_dedup.dedup(frame(spark, rows)).collect()
     assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got), key=str) == plain_links(rows)
@@ -73,7 +72,6 @@ def test_forests_of_many_labels_stay_off_the_driver(spark, monkeypatch):
     from pyspark.sql import DataFrame
     monkeypatch.setattr(embedding_dedup, "LEAF", 8)
     monkeypatch.setattr(embedding_dedup, "BLOCK", 8)
-    monkeypatch.setattr(embedding_dedup, "SPILL", 0.1)
     monkeypatch.setattr(embedding_dedup, "PART", 16, raising=False)
     rng = np.random.default_rng(5)
     rows = []
@@ -95,6 +93,28 @@ def test_forests_of_many_labels_stay_off_the_driver(spark, monkeypatch):
     assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got), key=str) == plain_links(rows)
 
 
+@pytest.mark.parametrize("dim", [16, 64, 384, 768])
+def test_forest_splits_and_keeps_near_pairs_in_any_dimension(dim):
+    """With the shipped constants: leaves far below the group, and near pairs that share one in some tree."""
+    rng = np.random.default_rng(dim)
+    x = rng.standard_normal((2048, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    # partners at cosine 0.98
+    away = rng.standard_normal(x.shape)
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    partners = 0.98 * x + math.sqrt(1 - 0.98 ** 2) * away
+    together = np.zeros(len(x), bool)
+    for tree in range(embedding_dedup.TREES):
+        cuts = embedding_dedup.fit_tree(x, 100_000, tree)
+        who, leaf = embedding_dedup.leaves(x, tree, cuts)
+        assert len(cuts) >= 15 and np.unique(leaf, return_counts=True)[1].max() < 0.25 * len(x)
+        own = set(zip(who.tolist(), leaf.tolist(), strict=True))
+        for i, f in zip(*(a.tolist() for a in embedding_dedup.leaves(partners, tree, cuts)), strict=True):
+            together[i] |= (i, f) in own
+    assert together.mean() > 0.995
+
+
 def test_dedup_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
