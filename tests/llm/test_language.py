@@ -56,3 +56,37 @@ def test_defined_cases(spark, docs_of):
     assert language.predict_documents(none).count() == 0
     unlabelled = docs_of([(1, "some text")])
     assert [(r.lang_pred, r.score) for r in language.predict_documents(unlabelled).collect()] == [("und", 0.0)]
+
+
+def test_query_equals_plain_parsing(spark):
+    """The whole query on a whole table: sample, parse by plain search, bits, choice and score."""
+    import math
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    learned = {k: v for k, v in language.sample(docs)}
+    alphabet = {c for blocks in learned.values() for t in blocks for c in t.lower() if c.isalpha()}
+
+    def symbols(text):
+        out = []
+        for c in text.lower():
+            if c.isalpha():
+                out.append(c if c in alphabet else "\1")
+            elif not out or out[-1] != " ":
+                out.append(" ")
+        return "".join(out)
+
+    known = {k: "".join(symbols(t) + "\0" for t in blocks) for k, blocks in learned.items()}
+    want = []
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        s = symbols(text or "")
+        if not any(c.isalpha() for c in text or ""):
+            want.append((doc_id, "und", 0.0))
+            continue
+        cost = sorted((sum(phrases(s[i:i + language.BLOCK], known[k]) for i in range(0, len(s), language.BLOCK)) * math.log2(len(known[k]) + 1) / len(s), k)
+                      for k in known)
+        want.append((doc_id, cost[0][1], cost[1][0] / (cost[0][0] + cost[1][0])))
+    got = sorted((r.doc_id, r.lang_pred, r.score) for r in queries.QUERIES["op3_language_id"](spark, sf).collect())
+    assert len(got) == len(want) > 100
+    for a, b in zip(got, sorted(want), strict=True):
+        assert a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-9)
