@@ -59,3 +59,17 @@ def test_stages_on_their_own_input(spark, which):
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out) == pieces
     n = check_packing(out, 2048)
     assert n <= 1.02 * np.ceil(sum(r.length for r in out) / 2048) + 2
+
+
+def test_further_columns_of_any_name_pass_the_stages(spark):
+    from pyspark.sql import functions as F
+    names = ("score", "lang_pred", "_id", "_tie", "_n", "_rows", "_place", "_times", "_pass", "_hash", "_spans", "words", "extra_0", "kept")
+    rows = [(d, t, "en", "a", None) for d, t in planted(4) if d is not None and t][:60]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = plain.withColumns({c: F.concat(F.lit(c + "-"), F.col("doc_id").cast("string")) for c in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        bare, docs = keep(stage(spark, docs.select(*plain.columns), SF), "bare"), keep(stage(spark, docs, SF), "named")
+        assert docs.columns == [*plain.columns, *names] and docs.count() > 0
+        assert sorted(map(str, bare.collect())) == sorted(map(str, docs.select(*plain.columns).collect()))
+        for r in docs.collect():
+            assert all(r[c] == f"{c}-{r['doc_id']}" for c in names)
