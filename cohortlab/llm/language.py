@@ -34,9 +34,12 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from cohortlab.llm.common import held_out
+from cohortlab.llm.tokens import slices
 
 SAMPLE_DOCS, SAMPLE_BLOCKS, SAMPLE_CHARS = 256, 96, 512
 BLOCK = 1024
+#: Bytes of text that are parsed in step (one longer text alone).
+PARSE_BYTES = 2 << 20
 UND = "und"
 #: Symbols: separator of labelled blocks (in no text), letters outside the alphabet, non-letters, then the alphabet.
 _BREAK, _OTHER, _GAP, _FIRST = 0, 1, 2, 3
@@ -206,9 +209,9 @@ def identify(docs: DataFrame, learned: tuple) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = _parser(learned)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                found = parser.predict(part.column("text").to_pylist())
+            for at, texts in slices(batch.column("text"), PARSE_BYTES):
+                part = batch.slice(at, len(texts))
+                found = parser.predict(texts.to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                     names=[*part.schema.names, "lang_pred", "score"])

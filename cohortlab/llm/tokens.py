@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text in a slice (one longer text is a slice of its own), and pieces per call.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 4 << 20
 CALL_PIECES = 200
 
 _LATIN = "[a-zA-ZÀ-ÖØ-öø-ÿ]+"
