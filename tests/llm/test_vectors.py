@@ -156,11 +156,11 @@ def plain_nearest(rows, k):
     return {q: sorted(((round(-s, 12), i) for i, s in found.items()))[:k] for q, found in out.items()}
 
 
-def test_planted_neighbours_are_exact_below_the_least_candidates(spark):
+def test_planted_neighbours_are_exact_when_none_may_be_missed(spark):
     from pyspark.sql import functions as F
     rows = planted(3)
     got = {}
-    for r in ann_forest.search(frame(spark, rows), F.col("vec_id") % 20 == 0, k=7).collect():
+    for r in ann_forest.search(frame(spark, rows), F.col("vec_id") % 20 == 0, k=7, miss=0.0).collect():
         got.setdefault(r.query_id, []).append((r.rank, round(-r.score, 12), r.vec_id))
     want = plain_nearest(rows, 7)
     assert {q: [(s, i) for _, s, i in sorted(v)] for q, v in got.items()} == want
@@ -185,17 +185,85 @@ def test_recall_against_brute_force(spark):
     assert hits >= 0.9 * total
 
 
-def test_forest_candidates_share_the_longest_prefixes():
-    rng = np.random.default_rng(1)
-    x, q = rng.standard_normal((3000, 32)), rng.standard_normal((20, 32))
-    norm = float(np.linalg.norm(x, axis=1).max())
-    f = ann_forest.Forest(x, norm, trees=6)
-    rest = np.sqrt(np.maximum(norm ** 2 - (x * x).sum(axis=1), 0))
-    hx, hq = f._hash(np.column_stack([x, rest])), f._hash(np.column_stack([q, np.zeros(20)]))
-    got = f.candidates(q, 200)
-    for n in range(20):
-        for up in range(ann_forest.BITS + 1):
-            share = (hx >> up) == (hq[:, n:n + 1] >> up)
-            if share.sum() >= 200:
-                break
-        assert (got[n] == share.any(axis=0)).all()
+def test_final_levels_are_the_longest_that_miss_seldom_enough():
+    trees, miss = 5, 0.1
+    z = np.random.default_rng(3).standard_normal((4, trees, ann_forest.BITS))
+    cosines = np.array([0.9999, 0.99, 0.97, -0.5])
+    for cos, own, levels in zip(cosines, z, ann_forest.final_levels(cosines, z, miss).tolist(), strict=True):
+        def chance(lengths):
+            out = 1.0
+            for t, n in enumerate(lengths):  # noqa: B023
+                kept = [0.5 * (1 + math.erf(abs(x) * cos / math.sqrt(1 - cos * cos) / math.sqrt(2))) for x in own[t][:n]]  # noqa: B023
+                out *= 1 - math.prod(kept)
+            return out
+
+        if -1 in levels:  # the root of one tree
+            assert levels == [0, -1, -1, -1, -1]
+            continue
+        assert max(levels) - min(levels) <= 1 and levels == sorted(levels) and chance(levels) <= miss
+        last = [t for t, n in enumerate(levels) if n == levels[0]][-1] if max(levels) > min(levels) else trees - 1  # the tree that climbed last
+        if levels[last] < ann_forest.BITS:
+            assert chance([n + (t == last) for t, n in enumerate(levels)]) > miss
+    assert (ann_forest.final_levels(cosines, z, 0.0) == [0, -1, -1, -1, -1]).all()
+
+
+def test_kept_signs_follow_the_projections():
+    rng = np.random.default_rng(8)
+    x, cos = unit(rng.standard_normal((1, 48))), 0.9
+    other = rng.standard_normal((4000, 48))
+    other = unit(other - (other @ x.T) * x)
+    y = cos * x + math.sqrt(1 - cos * cos) * other
+    first, second = ann_forest.projections(x, 0.0), ann_forest.projections(y, 0.0)
+    kept = np.interp(np.abs(first) * cos / math.sqrt(1 - cos * cos), ann_forest._AT, ann_forest._NORMAL)
+    same = ((first > 0) == (second > 0)).mean(axis=0)
+    assert abs(same - kept[0]).mean() < 0.03 and abs(same.mean() - kept.mean()) < 0.01
+    strings = ann_forest.hashes(first)
+    assert [f"{h:062b}" for h in strings[0].tolist()] == ["".join("01"[int(b)] for b in t > 0) for t in first[0]]
+
+
+def nearest_of_forest(spark, x):
+    """Recall at 20 and rows compared of each query (ids divisible by 50) of unit vectors."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+    table = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": [r.tolist() for r in np.float32(x)]}))
+    got = ann_forest.search(table, F.col("vec_id") % 50 == 0).toPandas()
+    x = np.float64(np.float32(x))
+    recall, scored = {}, got.groupby("query_id").n_scored.first().to_dict()
+    found = got.groupby("query_id").vec_id.apply(set).to_dict()
+    for q in range(0, len(x), 50):
+        s = x @ x[q]
+        s[q] = -np.inf
+        recall[q] = len(set(np.argpartition(-s, 20)[:20].tolist()) & found.get(q, set())) / 20
+    return recall, scored
+
+
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def clustered(rng, n, dim=48, size=40):
+    """``n`` vectors in clusters of about ``size``, whatever ``n`` is."""
+    centres = unit(rng.standard_normal((n // size, dim)))
+    return unit(centres[rng.integers(0, len(centres), n)] + 0.35 * rng.standard_normal((n, dim)) / dim ** 0.5)
+
+
+def test_recall_over_several_cells_inside_and_outside_a_hot_group(spark):
+    rng = np.random.default_rng(4)
+    n = 24_000
+    for base in (unit(rng.standard_normal((n, 48))), clustered(rng, n)):
+        hot = rng.permutation(n)[:n // 3]  # near copies of one vector: a third of all rows
+        base[hot] = unit(base[hot[0]] + 0.1 * rng.standard_normal((len(hot), 48)) / 48 ** 0.5)
+        recall, _ = nearest_of_forest(spark, base)
+        inside = np.isin(list(recall), hot)
+        values = np.array(list(recall.values()))
+        assert values[inside].mean() >= 0.9 and values[~inside].mean() >= 0.9
+
+
+def test_rows_compared_grow_slower_than_the_table(spark):
+    rng = np.random.default_rng(6)
+    means = []
+    for n in (6_000, 24_000):
+        recall, scored = nearest_of_forest(spark, clustered(rng, n))
+        assert np.mean(list(recall.values())) >= 0.9
+        means.append(np.mean(list(scored.values())))
+    assert means[1] < 3.5 * means[0] and means[1] < 0.03 * 24_000
