@@ -43,8 +43,8 @@ _BYTE = np.random.default_rng(2024).integers(1, 1 << 63, 256, dtype=np.uint64) *
 RUN = 64
 #: Minimisers and bytes of strings packed at once, and bytes of text looked at together.
 _PACK, _PACK_BYTES, _STEP = 1_000_000, 8 << 20, 1 << 20
-#: Buckets at least; there are as many as shuffle partitions if those are more.
-BUCKETS = 64
+#: Bytes of text to a bucket, and buckets at least; a task takes up to ``TOGETHER`` of them, one after the other.
+BUCKET_BYTES, BUCKETS, TOGETHER = 8 << 20, 64, 4
 
 
 @dataclass(frozen=True)
@@ -220,6 +220,18 @@ def _by_document(doc: np.ndarray, *values: np.ndarray):
     return doc[cuts[:-1]], [raw[n * a:n * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def _buckets(docs: DataFrame) -> int:
+    """As many buckets as the whole text asks for, so that what a task holds at once stays the same at every size."""
+    size = docs.agg(F.sum(F.octet_length("text")).alias("size")).first().size or 0
+    return max(BUCKETS, -(-size // BUCKET_BYTES))
+
+
+def _dealt(rows: DataFrame, n_buckets: int) -> DataFrame:
+    """Rows by bucket; neighbouring numbers go to different tasks, so all tasks have the same number of buckets."""
+    tasks = min(n_buckets, max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_buckets // TOGETHER)))
+    return rows.repartitionById(tasks, (F.col("bucket") % F.lit(tasks)).cast("int")).sortWithinPartitions("bucket", "kind")
+
+
 def _wanted(docs: DataFrame, u: Units, n_buckets: int) -> DataFrame:
     """(doc_id, keys): the minimisers of each document that other documents have too, as packed 64-bit keys.
 
@@ -290,8 +302,7 @@ def _wanted(docs: DataFrame, u: Units, n_buckets: int) -> DataFrame:
             if hit.any():
                 yield rows(doc[hit], np.int64(bucket) << 32 | h[hit].astype(np.int64))
 
-    return (docs.mapInArrow(run, "bucket long, kind int, data binary").repartition("bucket").sortWithinPartitions("bucket", "kind")
-            .mapInArrow(answer, "doc_id long, keys binary"))
+    return _dealt(docs.mapInArrow(run, "bucket long, kind int, data binary"), n_buckets).mapInArrow(answer, "doc_id long, keys binary")
 
 
 def _spans(docs: DataFrame, wanted: DataFrame, u: Units, n_buckets: int, resolve: Callable) -> DataFrame:
@@ -422,8 +433,7 @@ def _spans(docs: DataFrame, wanted: DataFrame, u: Units, n_buckets: int, resolve
                 if len(place):
                     yield spans(doc[place], text_hash[place], first[place] + p[use], first[place] + q[use] + (u.width - 1))
 
-    return (docs.join(wanted, "doc_id", "left").mapInArrow(run, "bucket long, kind int, data binary")
-            .repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(solve, "doc_id long, spans binary"))
+    return _dealt(docs.join(wanted, "doc_id", "left").mapInArrow(run, "bucket long, kind int, data binary"), n_buckets).mapInArrow(solve, "doc_id long, spans binary")
 
 
 def earlier_spans(docs: DataFrame, u: Units, resolve: Callable) -> DataFrame:
@@ -433,7 +443,7 @@ def earlier_spans(docs: DataFrame, u: Units, resolve: Callable) -> DataFrame:
     one or more whole minimisers the (string number, first window, last window + 1, least document)
     tuples that matter, i.e. whose least document is under the string's greatest one.
     """
-    n_buckets = max(BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n_buckets = _buckets(docs)
     digest = docs.where("doc_id is not null and text is not null").select("doc_id", "text_hash", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"))
     least = digest.groupBy("digest").agg(F.min("doc_id").alias("least"))
     against = digest.join(least, "digest").select("doc_id", "text_hash", (F.col("doc_id") > F.col("least")).alias("copy"))

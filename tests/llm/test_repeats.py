@@ -181,3 +181,20 @@ def test_a_copy_and_another_text_under_one_id(spark):
     assert got == [(1, 60, 0), (2, 60, 0), (5, 60, 60), (5, 61, 60)]
     cut = sorted((r.doc_id, r.n_bytes - r.n_removed) for r in suffix_repeats.dedup(docs).collect())
     assert cut == [(1, len(a)), (2, len(b)), (5, 0), (5, 5)]
+
+
+def test_buckets_follow_the_text_and_change_nothing(spark, docs_of, monkeypatch):
+    docs = planted(11)
+    table = repeats.with_hash(docs_of(docs))
+    size = sum(len((t or "").encode()) for _, t in docs)
+    assert repeats._buckets(table) == repeats.BUCKETS
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 250)
+    n = repeats._buckets(table)
+    assert n == -(-size // 250) > 2 * repeats.BUCKETS
+    dealt = repeats._dealt(spark.range(4 * n).selectExpr("id % %d AS bucket" % n, "0 AS kind"), n)
+    per_task = [r.n for r in dealt.selectExpr("spark_partition_id() AS p", "bucket").distinct().groupBy("p").agg({"bucket": "count"}).toDF("p", "n").collect()]
+    assert sum(per_task) == n and max(per_task) <= repeats.TOGETHER
+    got = superkmer.dedup(docs_of(docs)).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == plain_words(docs)
+    got = suffix_repeats.dedup(docs_of(docs)).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=str) == plain_bytes(docs)
