@@ -191,7 +191,7 @@ def test_buckets_follow_the_text_and_change_nothing(spark, docs_of, monkeypatch)
     monkeypatch.setattr(repeats, "BUCKET_BYTES", 250)
     n = repeats._buckets(table)
     assert n == -(-size // 250) > 2 * repeats.BUCKETS
-    dealt = repeats._dealt(spark.range(4 * n).selectExpr("id % %d AS bucket" % n, "0 AS kind"), n)
+    dealt = repeats._dealt(spark.range(4 * n).selectExpr(f"id % {n} AS bucket", "0 AS kind"), n)
     per_task = [r.n for r in dealt.selectExpr("spark_partition_id() AS p", "bucket").distinct().groupBy("p").agg({"bucket": "count"}).toDF("p", "n").collect()]
     assert sum(per_task) == n and max(per_task) <= repeats.TOGETHER
     got = superkmer.dedup(docs_of(docs)).collect()
