@@ -134,11 +134,13 @@ class Restorer:
 
     def decode(self, s: str) -> str:
         """The best reading of ``s`` (lower case)."""
-        best: list[dict] = [{} for _ in range(len(s) + 1)]  # (last two symbols) -> (cost, text link)
-        best[0][_GAP, _GAP] = (0.0, None)
+        # position -> (last two symbols) -> (cost, text link); a position is dropped once its arcs are taken, so only
+        # living readings stay in memory, however long the text
+        best: dict[int, dict] = {0: {(_GAP, _GAP): (0.0, None)}}
         for i in range(len(s)):
-            arcs = self._arcs(s, i) if best[i] else []
-            for (a, b), (cost, back) in best[i].items():
+            here = best.pop(i, {})
+            arcs = self._arcs(s, i) if here else []
+            for (a, b), (cost, back) in here.items():
                 for out, j, extra in arcs:
                     x, y, total, link = a, b, cost + extra, back
                     for ch in out:
@@ -147,10 +149,11 @@ class Restorer:
                             continue
                         total += self.cost[x][y][z]
                         x, y, link = y, z, (ch, link)
-                    old = best[j].get((x, y))
+                    there = best.setdefault(j, {})
+                    old = there.get((x, y))
                     if old is None or total < old[0]:
-                        best[j][x, y] = (total, link)
-        ends = [(c + self.cost[a][b][_GAP] * (b != _GAP), n, link) for n, ((a, b), (c, link)) in enumerate(best[-1].items())]
+                        there[x, y] = (total, link)
+        ends = [(c + self.cost[a][b][_GAP] * (b != _GAP), n, link) for n, ((a, b), (c, link)) in enumerate(best[len(s)].items())]
         out, link = [], min(ends, key=lambda e: e[:2])[2]
         while link:
             out.append(link[0])

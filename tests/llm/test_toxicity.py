@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -55,6 +56,18 @@ def test_viterbi_is_the_best_reading():
         assert any(squeeze(t) == got and abs(cost(t) + c - best) < 1e-9 for t, c in readings(s)), s
 
 
+def test_a_long_token_is_decoded_whole_in_bounded_memory():
+    r = model()
+    peaks = []
+    for n in (500, 8000):
+        tracemalloc.start()
+        text = r.decode("s7up1d_m0r0n_" * n)
+        peaks.append(tracemalloc.get_traced_memory()[1] / (13 * n))
+        tracemalloc.stop()
+        assert text.split() == ["stupid", "moron"] * n
+    assert peaks[1] < 300  # bytes a character: the reading itself, not a table of all readings
+
+
 def test_trigram_counts_are_plain_counts(spark, sf_docs):
     texts = ["Ab, c!", "É x1y", "日本 a"]
     c = trigram_counts(texts)
