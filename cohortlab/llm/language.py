@@ -51,8 +51,8 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """Transitions [state, symbol] of the automaton of all substrings; state 1 is the start, 0 means none."""
+def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Per state the transitions (symbol -> state) of the automaton of all substrings; state 1 is the start, 0 means none."""
     step: list[dict[int, int]] = [{}, {}]
     link, longest = [0, 0], [0, 0]
     last = 1
@@ -81,11 +81,52 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.zeros((len(step), alphabet), np.int32)
-    for s, out in enumerate(step):
-        for c, to in out.items():
-            table[s, c] = to
-    return table
+    return step
+
+
+def packed(step: list[dict[int, int]], alphabet: int) -> tuple[np.ndarray, int]:
+    """(table, start state): all transitions in one array of little more entries than there are transitions, however large
+    the alphabet is.
+
+    A state becomes an offset of its own; entry ``offset + symbol`` holds the offset of its owner in the high 32 bits and
+    that of the target in the low ones.  States of many transitions are placed first, each at an offset where all fit.
+    """
+    offset = [0] * len(step)
+    used, taken = bytearray(alphabet), {0}  # entries in use; offsets of states, 0 means none
+    degree = start = 0
+    for s in sorted(range(1, len(step)), key=lambda s: (-len(step[s]), s)):
+        symbols = sorted(step[s])
+        if len(symbols) != degree:
+            degree, start = len(symbols), 1
+        first, tries = (symbols[0] if symbols else 0), 0
+        at = start + first
+        while True:
+            spot = used.find(0, at)
+            if spot < 0:
+                spot = max(at, len(used))
+            if spot + alphabet > len(used):
+                used.extend(bytes(spot + alphabet))
+            base = spot - first
+            if base not in taken and not any(used[base + c] for c in symbols):
+                break
+            at, tries = spot + 1, tries + 1
+        if degree <= 1 or tries > 8:
+            start = base  # the entries before are nearly full
+        offset[s] = base
+        taken.add(base)
+        for c in symbols:
+            used[base + c] = 1
+    table = np.zeros(max(taken) + alphabet, np.int64)
+    for s in range(1, len(step)):
+        for c, to in step[s].items():
+            table[offset[s] + c] = offset[s] << 32 | offset[to]
+    return table, offset[1]
+
+
+def follow(table: np.ndarray, state: np.ndarray | int, symbol: np.ndarray) -> np.ndarray:
+    """The states that follow; 0 where there is no transition."""
+    entry = table[state + symbol]
+    return np.where(entry >> 32 == state, entry & 0xFFFFFFFF, 0)
 
 
 class CrossParser:
@@ -102,8 +143,7 @@ class CrossParser:
             seq: list[int] = []
             for text in blocks[name]:
                 seq += [*self.symbols([text])[0].tolist(), _BREAK]
-            # offsets instead of states: one addition and one look-up per symbol
-            self.tables.append((suffix_automaton(seq, self.alphabet) * self.alphabet).ravel())
+            self.tables.append(packed(suffix_automaton(seq), self.alphabet))
             self.bits.append(np.log2(len(seq) + 1))
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -131,23 +171,22 @@ class CrossParser:
         owner, starts, lengths = owner[order], starts[order], lengths[order]
         active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(BLOCK), side="right")
         phrases = np.zeros((len(self.languages), len(texts)), np.int64)
-        root = self.alphabet  # offset of the start state
-        states = [np.full(len(owner), root, np.int32) for _ in self.languages]
+        states = [np.full(len(owner), root, np.int64) for _, root in self.tables]
         found = [np.zeros(len(owner), np.int32) for _ in self.languages]
         for t in range(int(lengths[0]) if len(lengths) else 0):
             a = active[t]
             c = code[starts[:a] + t]
-            for table, state, seen in zip(self.tables, states, found, strict=True):
-                to = table[state[:a] + c]
+            for (table, root), state, seen in zip(self.tables, states, found, strict=True):
+                to = follow(table, state[:a], c)
                 stop = np.flatnonzero(to == 0)
                 if len(stop):
                     # the phrase so far ends; the next starts with this symbol, and one that never occurs is a phrase of its own
-                    again = table[root + c[stop]]
+                    again = follow(table, root, c[stop])
                     seen[stop] += (state[stop] != root).astype(np.int32) + (again == 0)
                     to[stop] = np.where(again == 0, root, again)
                 state[:a] = to
         for k, seen in enumerate(found):  # the phrase at the end of each block
-            np.add.at(phrases[k], owner, seen + (states[k] != root))
+            np.add.at(phrases[k], owner, seen + (states[k] != self.tables[k][1]))
         return phrases, counts
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import random
 import zlib
 
+import numpy as np
+
 from cohortlab.llm import language, queries
 from cohortlab.llm.language import CrossParser
 
@@ -35,6 +38,25 @@ def test_parse_equals_plain_search(sf_docs):
             assert got[k, j] == want, (text, name)
 
 
+def test_packed_transitions_are_the_automatons_and_do_not_grow_with_the_alphabet():
+    rng = random.Random(5)
+    for size, n in ((3, 400), (40, 4000), (4000, 6000)):
+        step = language.suffix_automaton([language._FIRST + min(size - 1, int(rng.paretovariate(0.5))) for _ in range(n)])
+        alphabet = language._FIRST + size
+        table, root = language.packed(step, alphabet)
+        at, todo = {1: root}, [1]
+        while todo:
+            s = todo.pop()
+            got = language.follow(table, at[s], np.arange(alphabet))
+            assert set(np.flatnonzero(got).tolist()) == set(step[s])
+            for c, to in step[s].items():
+                if to not in at:
+                    todo.append(to)
+                assert at.setdefault(to, int(got[c])) == got[c]
+        assert len(set(at.values())) == len(step) - 1
+        assert len(table) <= 2 * sum(map(len, step)) + 2 * alphabet
+
+
 def test_held_out_accuracy(spark, sf_docs):
     lang = {r[0]: r[2] for r in sf_docs}
     rows = queries.QUERIES["op3_language_id"](spark, SF).collect()
