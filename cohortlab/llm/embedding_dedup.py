@@ -9,8 +9,10 @@ inside a component all pairs are verified and counted once.
 Equal vectors of a label are one representative with a weight.  Leaves and
 components of more than ``BLOCK`` members are dealt into blocks that meet two
 at a time.  The split points of a label come from about ``SAMPLE`` of its
-representatives, chosen by hash and fitted in a task, never on the driver;
-every vector is indexed and compared.
+representatives, chosen by hash and fitted in a task, never on the driver.
+Where that sample is too thin for the leaves of a large label, those leaves are
+split again from a sample of their own, round after round, so leaves stay as
+small at any size.  Every vector is indexed and compared.
 
 Defined cases: vectors with a null label, and null or zero ones or ones with a
 null or non-finite component, link with nothing and are kept; vectors of
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,8 @@ from cohortlab.llm.components import components
 from cohortlab.llm.vectors import typed, usable
 
 THRESHOLD = 0.98
-TREES, LEAF, SAMPLE, LEAST_SAMPLE = 4, 512, 2048, 16
+#: LEAST_SAMPLE: sampled vectors that a split needs.  ENOUGH: sampled vectors in a leaf on which it is final, however large it is.
+TREES, LEAF, SAMPLE, LEAST_SAMPLE, ENOUGH = 4, 512, 2048, 16, 256
 #: Half width of the strip around a split whose vectors go to both sides, times the root of the dimension, since
 #: projections of unit vectors spread as one over that root.  Two of them at cosine 0.98 are 0.2 apart, 0.025 on a
 #: random direction of 64 dimensions, and part only if 0.08 apart there.
@@ -44,6 +48,10 @@ SPILL = 0.32
 #: LEAF is at most BLOCK, so a group without a forest is one block.  PART: vectors that meet one copy of their group's forest.
 #: OUT_ROWS: rows that a task hands on at once.
 BLOCK, PART, OUT_ROWS = 1024, 2048, 4096
+#: Marks leaves to be split again, in place of a number of blocks, and groups whose trees are still to be chosen.
+AGAIN, ALL_TREES = 0, -1
+#: Nodes are numbered in 63 bits.
+_DEEPEST = 1 << 61
 
 
 def _direction(tree: int, node: int, dim: int) -> np.ndarray:
@@ -55,14 +63,14 @@ def half_width(dim: int, spill: float) -> float:
     return spill / max(dim, 1) ** 0.5
 
 
-def fit_tree(sample: np.ndarray, members: int, tree: int, most: int = LEAF, spill: float = SPILL) -> dict[int, float]:
-    """Split points by node (root 1, children 2n and 2n + 1), until a leaf would hold ``most`` of the ``members``."""
+def fit_tree(sample: np.ndarray, members: int, tree: int, most: int = LEAF, spill: float = SPILL, root: int = 1) -> dict[int, float]:
+    """Split points by node (children of n: 2n and 2n + 1), until a leaf would hold ``most`` of the ``members``."""
     out: dict[int, float] = {}
     width = half_width(sample.shape[1], spill)
-    todo = [(1, sample)]
+    todo = [(root, sample)]
     while todo:
         node, own = todo.pop()
-        if len(own) < LEAST_SAMPLE or len(own) / len(sample) * members <= most:
+        if len(own) < LEAST_SAMPLE or len(own) / len(sample) * members <= most or node >= _DEEPEST:
             continue
         at = own @ _direction(tree, node, sample.shape[1])
         cut = float(np.median(at))
@@ -74,11 +82,11 @@ def fit_tree(sample: np.ndarray, members: int, tree: int, most: int = LEAF, spil
     return out
 
 
-def leaves(vectors: np.ndarray, tree: int, cuts: dict[int, float], spill: float = SPILL) -> tuple[np.ndarray, np.ndarray]:
+def leaves(vectors: np.ndarray, tree: int, cuts: dict[int, float], spill: float = SPILL, root: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """(vector number, leaf) of all leaves that each vector is in."""
     who, leaf = [], []
     width = half_width(vectors.shape[1], spill)
-    todo = [(1, np.arange(len(vectors)))]
+    todo = [(root, np.arange(len(vectors)))]
     while todo:
         node, own = todo.pop()
         if node not in cuts:
@@ -90,11 +98,13 @@ def leaves(vectors: np.ndarray, tree: int, cuts: dict[int, float], spill: float
     return np.concatenate(who), np.concatenate(leaf)
 
 
-def leaf_blocks(sample: np.ndarray, members: int, tree: int, cuts: dict[int, float], spill: float, block: int) -> dict[int, int]:
-    """Leaves that are expected to hold more than ``block`` of the ``members``, with the number of blocks to deal them into."""
-    found, n = np.unique(leaves(sample, tree, cuts, spill)[1], return_counts=True)
+def leaf_blocks(sample: np.ndarray, members: int, tree: int, cuts: dict[int, float], spill: float, block: int, root: int = 1) -> dict[int, int]:
+    """Leaves that are expected to hold more than ``block`` of the ``members``, with the number of blocks to deal them into,
+    or ``AGAIN`` where too little of the sample lies in the leaf to leave it unsplit."""
+    found, n = np.unique(leaves(sample, tree, cuts, spill, root)[1], return_counts=True)
     blocks = np.ceil(n / len(sample) * members / block).astype(int)
-    return {int(f): int(k) for f, k in zip(found, blocks, strict=True) if k > 1}
+    return {int(f): int(k) if f == root or m >= ENOUGH or f >= _DEEPEST else AGAIN
+            for f, m, k in zip(found, n, blocks, strict=True) if k > 1}
 
 
 def _unit(column) -> np.ndarray:
@@ -103,6 +113,10 @@ def _unit(column) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _vectors(packed: list[bytes], kind: str) -> np.ndarray:
+    return _unit(np.frombuffer(b"".join(packed), kind).reshape(len(packed), -1))
+
+
 def _linked(vectors: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
     i, j = np.nonzero(vectors[left] @ vectors[right].T >= THRESHOLD)
     if same:
@@ -110,82 +124,122 @@ def _linked(vectors: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool
     return left[i], right[j]
 
 
-def _forests(sized: DataFrame) -> DataFrame:
-    """(label, dim, n, forest) of every group with more than ``LEAF`` representatives, fitted in tasks; ``forest``: per tree
-    the split points and the leaves to be dealt into blocks, pickled."""
-    most, spill, block = LEAF, SPILL, BLOCK
+GROUP = ["label", "dim", "tree", "leaf"]
+_GROUP_TYPES = "label long, dim int, tree int, leaf long"
+
+
+def _packed(rows: DataFrame, kind: str) -> DataFrame:
+    """label, dim, rep, vector: the components as bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            e = batch.column("embedding")
+            at, flat = e.offsets.to_numpy(), e.values.to_numpy(zero_copy_only=False).astype(kind)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("label", "dim", "rep")), pa.array([flat[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())],
+                                             names=["label", "dim", "rep", "vector"])
+
+    return rows.select("label", "dim", "rep", "embedding").mapInArrow(run, "label long, dim int, rep long, vector binary")
+
+
+def _forests(sized: DataFrame, kind: str) -> DataFrame:
+    """(group, n, again, forest) of every group with more than ``LEAF`` members, fitted in tasks; ``forest``: per tree
+    its number, the split points and the leaves to be dealt into blocks, pickled; ``again``: are there leaves to be split again?"""
+    most, spill, block, trees = LEAF, SPILL, BLOCK, TREES
     # a uniform number per representative: about SAMPLE of each group, or all of a smaller one
-    at = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "rep", "embedding"), 11) / F.lit(2.0 ** 53)
-    sample = sized.where((F.col("n") > most) & (at * F.col("n") < SAMPLE)).select("label", "dim", "n", "rep", "embedding")
+    at = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "rep", "vector"), 11) / F.lit(2.0 ** 53)
+    sample = sized.where((F.col("n") > most) & (at * F.col("n") < SAMPLE)).select(*GROUP, "n", "rep", "vector")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (label, dim, n), (_, vectors) in sorted_groups(batches, ["label", "dim", "n"], ["rep", "embedding"]):
-            x, trees = _unit(vectors), []
-            for t in range(TREES):
-                cuts = fit_tree(x, n, t, most, spill)
-                trees.append((cuts, leaf_blocks(x, n, t, cuts, spill, block)))
-            yield pa.RecordBatch.from_arrays([pa.array([label], pa.int64()), pa.array([dim], pa.int32()), pa.array([n], pa.int64()), pa.array([pickle.dumps(trees)], pa.binary())],
-                                             names=["label", "dim", "n", "forest"])
+        for (label, dim, tree, leaf, n), (_, vectors) in sorted_groups(batches, [*GROUP, "n"], ["rep", "vector"]):
+            x, forest = _vectors(vectors, kind), []
+            for t in range(trees) if tree == ALL_TREES else [tree]:
+                cuts = fit_tree(x, n, t, most, spill, leaf)
+                forest.append((t, cuts, leaf_blocks(x, n, t, cuts, spill, block, leaf)))
+            again = any(AGAIN in blocks.values() for _, _, blocks in forest)
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in ((label, pa.int64()), (dim, pa.int32()), (tree, pa.int32()), (leaf, pa.int64()), (n, pa.int64()),
+                                                                            (again, pa.bool_()), (pickle.dumps(forest), pa.binary()))],
+                                             names=[*GROUP, "n", "again", "forest"])
 
-    return (sample.repartition("label", "dim").sortWithinPartitions("label", "dim", "n", "rep")
-            .mapInArrow(fit, "label long, dim int, n long, forest binary"))
+    return (sample.repartition(*GROUP).sortWithinPartitions(*GROUP, "n", "rep")
+            .mapInArrow(fit, f"{_GROUP_TYPES}, n long, again boolean, forest binary"))
 
 
-def _forest_edges(reps: DataFrame, kind: str) -> DataFrame:
-    """Spanning edges (u, v) of the linked pairs inside leaves; ``kind``: the number type that holds a component exactly.
+def _split(sized: DataFrame, forests: DataFrame, kind: str) -> DataFrame:
+    """(label, dim, tree, leaf, blocks, rep, vector): every vector in all leaves of its group's forest.
 
     Forests and vectors meet in tasks: the vectors of a group are dealt into parts of about ``PART``, and each part gets
     a copy of its group's forest.  Nothing grows on the driver with the number of labels.
     """
-    sizes = keep(reps.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "label-sizes")
-    sized, spill = reps.join(sizes, ["label", "dim"]), SPILL
+    spill = SPILL
     parts = F.ceil(F.col("n") / F.lit(PART)).cast("int")
-    forests = _forests(sized).select("label", "dim", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("row"),
-                                     F.lit(None).cast("long").alias("rep"), F.lit(None).cast("array<double>").alias("embedding"), "forest")
-    vectors = sized.select("label", "dim", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part"), F.lit(1).alias("row"),
-                           "rep", "embedding", F.lit(None).cast("binary").alias("forest"))
+    copies = forests.select(*GROUP, F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("row"),
+                            F.lit(None).cast("long").alias("rep"), F.lit(None).cast("binary").alias("vector"), "forest")
+    vectors = sized.select(*GROUP, F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part"), F.lit(1).alias("row"),
+                           "rep", "vector", F.lit(None).cast("binary").alias("forest"))
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def placed(batch, sent, t, all_who, all_leaf, all_blocks):
+        def placed(batch, trees, all_who, all_leaf, all_blocks):
             for k in range(0, len(all_who), OUT_ROWS):  # a dense group spills into many leaves
                 who, leaf, blocks = (x[k:k + OUT_ROWS] for x in (all_who, all_leaf, all_blocks))
+                rows = batch.take(pa.array(who))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("label").take(pa.array(who)), batch.column("dim").take(pa.array(who)), pa.array(np.full(len(who), t, np.int32)), pa.array(leaf.astype(np.int64)),
-                     pa.array(blocks.astype(np.int32)), batch.column("rep").take(pa.array(who)), pa.array([sent[w] for w in who.tolist()], pa.binary())],
-                    names=["label", "dim", "tree", "leaf", "blocks", "rep", "vector"])
+                    [rows.column("label"), rows.column("dim"), rows.column("tree") if trees is None else pa.array(np.full(len(who), trees, np.int32)),
+                     pa.array(leaf.astype(np.int64)), pa.array(blocks.astype(np.int32)), rows.column("rep"), rows.column("vector")],
+                    names=[*GROUP, "blocks", "rep", "vector"])
 
         of, forest = None, None  # the group whose forest came last; it lies before its vectors
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("label", "dim", "part", "row")), strict=True))
+            keys = list(zip(*(batch.column(c).to_pylist() for c in (*GROUP, "part", "row")), strict=True))
             starts = [k for k in range(len(keys)) if k == 0 or keys[k] != keys[k - 1]]
-            sent: dict[int, bytes] = {}
             whole = []  # rows of groups that are one leaf
             for a, b in zip(starts, [*starts[1:], len(keys)], strict=True):
                 if keys[a][-1] == 0:
                     of, forest = keys[a][:-1], pickle.loads(batch.column("forest")[a].as_py())
                     continue
-                raw = batch.column("embedding").slice(a, b - a).flatten().to_numpy(zero_copy_only=False).reshape(b - a, -1)
-                sent |= {a + k: v.tobytes() for k, v in enumerate(raw.astype(kind))}
                 if keys[a][:-1] != of:
                     whole.append(np.arange(a, b))
                     continue
-                x = _unit(raw)
-                for t, (cuts, blocks) in enumerate(forest):
-                    who, leaf = leaves(x, t, cuts, spill)
-                    yield from placed(batch, sent, t, a + who, leaf, np.array([blocks.get(f, 1) for f in leaf.tolist()]))
+                x, root = _vectors(batch.column("vector").slice(a, b - a).to_pylist(), kind), keys[a][3]
+                for t, cuts, blocks in forest:
+                    who, leaf = leaves(x, t, cuts, spill, root)
+                    yield from placed(batch, t, a + who, leaf, np.array([blocks.get(f, 1) for f in leaf.tolist()]))
             if whole:
                 who = np.concatenate(whole)
-                yield from placed(batch, sent, 0, who, np.ones(len(who)), np.ones(len(who)))
+                yield from placed(batch, None, who, batch.column("leaf").to_numpy()[who], np.ones(len(who)))
+
+    met = vectors.unionByName(copies).repartition(*GROUP, "part").sortWithinPartitions(*GROUP, "part", "row")
+    return met.mapInArrow(grow, f"{_GROUP_TYPES}, blocks int, rep long, vector binary")
+
+
+def _in_leaves(groups: DataFrame, kind: str) -> DataFrame:
+    """(label, dim, tree, leaf, blocks, rep, vector) for ``groups`` (label, dim, rep, vector): every vector in its leaves.
 
-    key = ["label", "dim", "tree", "leaf"]
-    met = vectors.unionByName(forests).repartition("label", "dim", "part").sortWithinPartitions("label", "dim", "part", "row")
-    rows = met.mapInArrow(grow, "label long, dim int, tree int, leaf long, blocks int, rep long, vector binary")
+    Each round splits the groups that are left; the leaves of large groups on which a sample says too little are the
+    groups of the next round.  A round takes a group of n to leaves of about n * ENOUGH / SAMPLE, so rounds are few.
+    """
+    groups = groups.withColumns({"tree": F.lit(ALL_TREES), "leaf": F.lit(1).cast("long")})
+    done: list[DataFrame] = []
+    while True:
+        sizes = keep(groups.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "group-sizes")
+        sized = groups.join(sizes, GROUP)
+        forests = keep(_forests(sized, kind), "forests")
+        rows = _split(sized, forests, kind)
+        if forests.where("again").isEmpty():
+            return reduce(DataFrame.unionByName, [*done, rows])
+        rows = keep(rows, "leaves")
+        done.append(rows.where(F.col("blocks") != AGAIN))
+        groups = rows.where(F.col("blocks") == AGAIN).drop("blocks")
+
+
+def _forest_edges(reps: DataFrame, kind: str) -> DataFrame:
+    """Spanning edges (u, v) of the linked pairs inside leaves; ``kind``: the number type that holds a component exactly."""
+    key = GROUP
+    rows = _in_leaves(_packed(reps, kind), kind)
     dealt = pairs_of_blocks(rows, F.col("rep"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for now, (ids, vectors, sides) in sorted_groups(batches, [*key, "bi", "bj"], ["rep", "vector", "side"]):
             same = now[-1] == now[-2]
-            x, side, ids = _unit(np.frombuffer(b"".join(vectors), kind).reshape(len(ids), -1)), np.array(sides), np.array(ids, np.int64)
+            x, side, ids = _vectors(vectors, kind), np.array(sides), np.array(ids, np.int64)
             left = np.flatnonzero(side == 0)
             i, j = _linked(x, left, left if same else np.flatnonzero(side == 1), same)
             label = np.arange(len(ids))

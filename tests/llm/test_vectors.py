@@ -5,6 +5,7 @@ import math
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlab.llm import ann_forest, embedding_dedup, queries
 
@@ -115,6 +116,41 @@ def test_forest_splits_and_keeps_near_pairs_in_any_dimension(dim):
     assert together.mean() > 0.995
 
 
+def test_leaves_of_a_large_label_are_split_again_from_their_own_sample(spark, monkeypatch):
+    """A sample of a 1/64 of the label: thin leaves go on, a dense group ends in blocks, and every link is found."""
+    for name, value in (("LEAF", 32), ("BLOCK", 40), ("SAMPLE", 128), ("LEAST_SAMPLE", 8), ("ENOUGH", 32), ("PART", 512)):
+        monkeypatch.setattr(embedding_dedup, name, value)
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((8000, 48))
+    x[4000:5000] = x[0] + 0.02 * rng.standard_normal((1000, 48))  # near copies, one dense group
+    x[5000:6000] = x[1000:2000] * 3 + 0.05 * rng.standard_normal((1000, 48))
+    rows = [(i, [float(a) for a in np.float32(v)], 0 if i < 7900 else 1) for i, v in enumerate(x)]
+    seen = []
+    real = embedding_dedup._in_leaves
+
+    def watched(groups, kind):
+        out = real(groups, kind).persist()
+        seen.append([(r.n, r.blocks) for r in out.groupBy("label", "tree", "leaf", "blocks").agg(F.count("rep").alias("n")).collect()])
+        assert out.select("rep").distinct().count() == 8000 and out.where("blocks < 1").isEmpty()
+        return out
+    monkeypatch.setattr(embedding_dedup, "_in_leaves", watched)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.dedup(frame(spark, rows)).collect()}
+    unit = np.array([v for _, v, _ in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    near = (unit @ unit.T >= 0.98) & (label[:, None] == label[None])
+    np.fill_diagonal(near, False)
+    least = np.arange(8000)
+    while True:
+        new = np.minimum(least, np.where(near, least[None], 8000).min(axis=1))
+        if (new == least).all():
+            break
+        least = new
+    assert {i: (int(n), int(c)) for i, n, c in zip(range(8000), near.sum(axis=1), least, strict=True)} == got
+    # leaves are small, or are the dense group, which is dealt into blocks
+    assert len(seen[0]) > 4 * 64 and all(n <= 2 * 40 * blocks for n, blocks in seen[0])
+
+
 def test_dedup_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
