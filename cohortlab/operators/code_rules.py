@@ -1,10 +1,9 @@
 """Code sets as a rule table: ``code_set, prefix, len`` rows, any number of sets and prefixes of any length.
 
-A rule holds for a code whose first ``len`` characters are ``prefix``.  Each distinct code is
-exploded into its leading parts, one per length up to the longest rule, and these meet the
-rules in an equi-join: no literal list in the plan, no test per rule, and a code
-that a third of all rows carry is looked up once.  The codes' sets, a small table,
-then join the rows.
+A rule holds for a code whose first ``len`` characters are ``prefix``.  The rules of each length, one row per
+prefix, go to every task and meet the rows there in an equi-join: no literal list in the plan, no test per rule,
+and the rows stay where they are, so a code that a third of all rows carry, or a missing one, makes no large
+task.  What goes to the tasks is the rule table, which does not grow with the rows.
 """
 
 from __future__ import annotations
@@ -19,23 +18,23 @@ def rule_table(spark: SparkSession, code_sets: dict[str, dict[int, list[str]]])
     return spark.createDataFrame(rows, "code_set string, prefix string, len int")
 
 
+def with_code_sets(codes: DataFrame, rules: DataFrame, code_col: str = "icd9_code", out: str = "code_sets") -> DataFrame:
+    """``codes`` with the sorted array of the sets that each row's code is in; empty for none and for a missing code."""
+    none = F.array().cast("array<string>")
+    lengths = sorted(r[0] for r in rules.where("len > 0").select("len").distinct().collect())  # one number per length
+    found, parts = codes, [none]
+    for k in lengths:
+        of_prefix = (rules.where(F.col("len") == k).groupBy(F.col("prefix").alias(f"_prefix_{k}"))
+                     .agg(F.collect_set("code_set").alias(f"_sets_{k}")))
+        found = found.join(F.broadcast(of_prefix), F.substring(code_col, 1, k) == F.col(f"_prefix_{k}"), "left")
+        parts.append(F.coalesce(f"_sets_{k}", none))
+    return found.select(*codes.columns, F.sort_array(F.array_distinct(F.concat(*parts))).alias(out))
+
+
 def sets_of_codes(codes: DataFrame, rules: DataFrame, code_col: str = "icd9_code") -> DataFrame:
     """``<code_col>, code_sets``: the sorted sets of each distinct code that is in one."""
-    longest = rules.agg(F.max("len")).collect()[0][0] or 0  # one number
     distinct = codes.where(F.col(code_col).isNotNull()).select(code_col).distinct()
-    if not longest:
-        return distinct.where("false").withColumn("code_sets", F.array().cast("array<string>"))
-    parts = distinct.withColumn("_len", F.explode(F.sequence(F.lit(1), F.lit(longest))))
-    parts = parts.withColumn("_prefix", F.substring(code_col, F.lit(1), F.col("_len")))
-    met = parts.join(rules, (parts["_len"] == rules["len"]) & (parts["_prefix"] == rules["prefix"]))
-    return met.groupBy(code_col).agg(F.sort_array(F.collect_set("code_set")).alias("code_sets"))
-
-
-def with_code_sets(codes: DataFrame, rules: DataFrame, code_col: str = "icd9_code", out: str = "code_sets") -> DataFrame:
-    """``codes`` with the sorted array of the sets that each row's code is in; empty for none and for a missing code."""
-    found = sets_of_codes(codes, rules, code_col).select(F.col(code_col).alias("_code"), F.col("code_sets").alias(out))
-    joined = codes.join(found, codes[code_col] == found["_code"], "left").drop("_code")
-    return joined.withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
+    return with_code_sets(distinct, rules, code_col).where(F.size("code_sets") > 0)
 
 
 def with_flags(codes: DataFrame, rules: DataFrame, sets: list[str], code_col: str = "icd9_code") -> DataFrame:
