@@ -36,6 +36,8 @@ from pyspark.sql.window import Window
 from cohortlab.llm.common import keep
 from cohortlab.llm.tokens import encoder, slices
 
+#: Bytes of earlier pieces of text and their ids that a worker keeps.
+KNOWN_BYTES = 96 << 20
 _TAIL = b"\x00\x00\x00\x00"
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -72,13 +74,13 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, rule: str = "l
     """Encode ``docs`` (doc_id, text) and write shard files under ``path`` in ascending ``doc_id`` order.
 
     ``seq_len`` is a multiple of 8.  One shuffle: the texts, range-partitioned by ``doc_id``.  A task holds one
-    shard (``shard_tokens`` ids, or one longer document) at a time.
+    shard (``shard_tokens`` ids, or one longer document) at a time, and ``KNOWN_BYTES`` of pieces met before.
     """
     if seq_len % 8:
         raise ValueError("seq_len must be a multiple of 8: a mask is a whole number of bytes")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path, rule)
+        enc = encoder(tokenizer_path, rule, KNOWN_BYTES)
         parts, doc_ids, lengths, total = [], [], [], 0
 
         def shard() -> pa.RecordBatch:

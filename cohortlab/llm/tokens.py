@@ -12,14 +12,16 @@ safe for a file:
 * ``"whole"``: no cut; any other tokenizer.
 
 A text with the string of an added token is encoded in one call, so it gets the
-library's own ids.  Nothing is remembered between slices: a worker holds one
-slice of texts, its pieces and their ids.
+library's own ids.  A worker holds one slice of texts, its pieces and their ids;
+an encoder with ``known_bytes`` also keeps about as many bytes of earlier pieces
+and their ids, which it does not encode again (``Known``).
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,11 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa
         at = upto
 
 
+def _strings(column: pa.Array) -> list[str]:
+    """The values of a column without nulls (by way of numpy, which is faster than ``to_pylist``)."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _gathered(ids: np.ndarray, counts: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the pieces ``order`` one after the other, and where each begins and the last ends; ``counts``: ids of each piece."""
     sizes = counts[order]
@@ -51,16 +58,59 @@ def _gathered(ids: np.ndarray, counts: np.ndarray, order: np.ndarray) -> tuple[n
     return ids[np.repeat(starts[order] - ends[:-1], sizes) + np.arange(ends[-1])], ends
 
 
+class Known:
+    """Ids of pieces met before, about ``limit`` bytes of them; when these are full it starts anew with the last slice's."""
+
+    #: A piece as a key of a dict beside its text: the string and number objects, the entry, the count of ids.
+    PIECE_BYTES = 160
+
+    def __init__(self, limit: int, dtype: np.dtype):
+        self.limit, self._dtype = limit, dtype
+        self._clear()
+
+    def _clear(self) -> None:
+        self._place: dict[str, int] = {}
+        self._ids, self._counts, self._size = np.zeros(0, self._dtype), np.zeros(0, np.int64), 0
+
+    def _cost(self, texts: list[str], ids: np.ndarray) -> int:
+        return self.PIECE_BYTES * len(texts) + 2 * sum(map(len, texts)) + ids.nbytes
+
+    def encode(self, pieces: list[str], ids_of: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, number of ids of each, places): piece i of the distinct ``pieces`` is number ``places[i]``; ``ids_of`` encodes new ones."""
+        if not self.limit:
+            return *ids_of(pieces), np.arange(len(pieces))
+        place = self._place
+        places = np.fromiter(map(place.get, pieces, repeat(-1)), np.int64, len(pieces))
+        unmet = np.flatnonzero(places < 0)
+        new = [pieces[i] for i in unmet.tolist()]
+        new_ids, new_counts = ids_of(new)
+        first = len(self._counts)
+        places[unmet] = first + np.arange(len(new))
+        ids, counts = np.concatenate([self._ids, new_ids]), np.concatenate([self._counts, new_counts]).astype(np.int64)
+        cost = self._cost(new, new_ids)
+        if self._size + cost <= self.limit:
+            place.update(zip(new, range(first, first + len(new)), strict=True))
+            self._ids, self._counts, self._size = ids, counts, self._size + cost
+        else:
+            self._clear()
+            own_ids, ends = _gathered(ids, counts, places)
+            if (cost := self._cost(pieces, own_ids)) <= self.limit:
+                self._place, self._ids, self._counts, self._size = dict(zip(pieces, range(len(pieces)), strict=True)), own_ids, np.diff(ends), cost
+        return ids, counts, places
+
+
 class Encoder:
     """Encodes slices of texts to one array of ids and the texts' bounds in it."""
 
-    def __init__(self, path: str, rule: str):
+    def __init__(self, path: str, rule: str, known_bytes: int = 0):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.rule = rule
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        # of two parts words, one other pieces
+        self._words, self._others = Known(known_bytes * 2 // 3, self.dtype), Known(known_bytes // 3, self.dtype)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocab = self.tokenizer.get_vocab()
         #: the ids whose tokens begin with a space (rule "lead": each piece's first and no other) or end a word (rule "drop")
@@ -115,19 +165,21 @@ class Encoder:
         """
         base = pc.utf8_rtrim(pieces, ".,")
         latin = pc.match_substring_regex(base, f"^{_LATIN}$")
-        with_word, others = pieces.filter(latin), pieces.filter(pc.invert(latin)).to_pylist()
+        with_word, others = pieces.filter(latin), _strings(pieces.filter(pc.invert(latin)))
         words = base.filter(latin)
         words = (words if self.rule == "lead" else pc.utf8_lower(words)).dictionary_encode()
         stops = pc.replace_substring_regex(with_word, f"^{_LATIN}", "").dictionary_encode()
-        found = [self._joined(words.dictionary.to_pylist(), self._marks), self._each(stops.dictionary.to_pylist()),
-                 self._joined(others, self._marks if self.rule == "lead" else None) if self.rule == "lead" or self._stop else self._each(others)]
+        found = [self._words.encode(_strings(words.dictionary), lambda new: self._joined(new, self._marks)),
+                 self._each(_strings(stops.dictionary)),
+                 self._others.encode(others, lambda new: self._joined(new, self._marks if self.rule == "lead" else None)
+                                     if self.rule == "lead" or self._stop else self._each(new))]
         ids, counts = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-        n_words, n_stops = len(words.dictionary), len(stops.dictionary)
+        n_words, n_stops = len(found[0][1]), len(stops.dictionary)
         order = np.full((len(pieces), 2), len(counts), np.int64)
         is_word = latin.to_numpy(zero_copy_only=False)
-        order[is_word, 0] = words.indices.to_numpy()
+        order[is_word, 0] = found[0][2][words.indices.to_numpy()]
         order[is_word, 1] = n_words + stops.indices.to_numpy()
-        order[~is_word, 0] = n_words + n_stops + np.arange(len(others))
+        order[~is_word, 0] = n_words + n_stops + found[2][2]
         ids, ends = _gathered(ids, np.append(counts, 0).astype(np.int64), order.ravel())
         return ids, np.diff(ends[::2])
 
@@ -149,7 +201,7 @@ class Encoder:
             if self.rule == "lead":  # a text's first piece has no space before it
                 heads = flat.take(pa.array(first)).dictionary_encode()
                 own[first] = heads.indices.to_numpy() + len(pieces)
-                head = heads.dictionary.to_pylist()
+                head = _strings(heads.dictionary)
                 spaced = pc.or_(pc.equal(pieces, ""), pc.not_equal(pc.utf8_trim_whitespace(pieces), pieces))
                 bad = np.concatenate([spaced.to_numpy(zero_copy_only=False), [p[-1:].isspace() for p in head]])
                 whole |= np.logical_or.reduceat(bad[own], first)
@@ -158,7 +210,7 @@ class Encoder:
                 parts = [self._pieces(pieces)]
             ids, counts = ([p[k] for p in parts] for k in (0, 1))
         alone = np.flatnonzero(whole)
-        lone, lone_counts = self._each(texts.take(pa.array(alone)).to_pylist())
+        lone, lone_counts = self._each(_strings(texts.take(pa.array(alone))))
         known = sum(map(len, counts))
         ids, counts = np.concatenate([*ids, lone, end]), np.concatenate([*counts, lone_counts, [len(end)]]).astype(np.int64)
         # the numbers of all pieces in order: those of a text, or the text itself, and the end
@@ -174,11 +226,12 @@ class Encoder:
         return ids, ends[place]
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_ENCODERS: dict[tuple[str, str, int], Encoder] = {}
 
 
-def encoder(path: str, rule: str) -> Encoder:
-    """The encoder of this Python worker for a tokenizer file; it holds the file's vocabulary alone."""
-    if (path, rule) not in _ENCODERS:
-        _ENCODERS[path, rule] = Encoder(path, rule)
-    return _ENCODERS[path, rule]
+def encoder(path: str, rule: str, known_bytes: int = 0) -> Encoder:
+    """The encoder of this Python worker for a tokenizer file; it holds the file's vocabulary and ``known_bytes`` of pieces."""
+    key = path, rule, known_bytes
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]

@@ -200,3 +200,30 @@ def test_shards_are_in_order_by_number(spark, docs_of, tmp_path):
     order = list(dict.fromkeys(r.shard.split(".")[0] for r in rows))
     assert order == names
     assert [r.start for r in rows] == np.concatenate([[0], np.cumsum([r.n_tokens for r in rows])[:-1]]).tolist()
+
+
+@pytest.mark.parametrize("path, rule", [(BYTE, "lead"), (WORDS, "drop")])
+def test_pieces_met_before_are_not_encoded_again(path, rule, sf_docs):
+    enc, asked = Encoder(path, rule, 1 << 24), []
+    joined = enc._joined
+    enc._joined = lambda pieces, marks: (asked.extend(pieces), joined(pieces, marks))[1]
+    texts = ODD + [r[1] for r in sf_docs[:100]]
+    first = enc.encode(texts, 2)
+    n = len(asked)
+    again = enc.encode(texts, 2)
+    assert n > 1000 and len(asked) == n
+    assert [x.tolist() for x in first] == [x.tolist() for x in again]
+
+
+@pytest.mark.parametrize("path, rule", [(BYTE, "lead"), (WORDS, "drop")])
+@pytest.mark.parametrize("known", [0, 3000, 60_000, 400_000])
+def test_known_pieces_are_bounded_and_change_no_id(path, rule, known, sf_docs):
+    plain = Tokenizer.from_file(path)
+    enc = Encoder(path, rule, known)
+    texts = ODD + [r[1] for r in sf_docs[:80]] + ODD + [r[1] for r in sf_docs[:10]]
+    for at in range(0, len(texts), 7):
+        part = texts[at:at + 7]
+        ids, bounds = enc.encode(part, 7)
+        for text, a, b in zip(part, bounds[:-1], bounds[1:], strict=True):
+            assert ids[a:b].tolist() == plain.encode(text or "", add_special_tokens=False).ids + [7], repr(text)
+        assert all(k._size <= k.limit and len(k._place) * k.PIECE_BYTES <= k.limit for k in (enc._words, enc._others))
